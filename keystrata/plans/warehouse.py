@@ -37,27 +37,26 @@ def long_texts(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
     return df.filter(reduce(or_, tests)).withColumn("long_columns", found)
 
 
-class TextTooLong(ValueError):
-    pass
+def refuse_long_texts(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
+    """The same rows; the job that reads them fails at a text above the limit."""
+
+    def checked(field: T.StructField):
+        column = quoted(field.name)
+        if not isinstance(field.dataType, T.StringType):
+            return column
+        message = F.lit(f"{field.name}: text of more than {limit} characters")
+        return F.when(too_long(column, limit), F.raise_error(message).cast("string")).otherwise(column).alias(field.name)
+
+    return df.select(*map(checked, df.schema.fields))
 
 
 def write_staging(
     lake: Lake, table: str, df: DataFrame, business_keys: str | list[str] | None = None, buckets: int | None = None, area: str = "dimlayer"
 ) -> None:
     """Overwrite a staging table. With keys and ``buckets`` rows are laid out by hash key, else as they come."""
-    rows = staging_rows(df, business_keys)
-    too_long_columns = long_texts(rows).select("long_columns").head()
-    if too_long_columns:
-        raise TextTooLong(f"{table}: more than {MAX_TEXT} characters in {', '.join(too_long_columns[0])}")
+    rows = refuse_long_texts(staging_rows(df, business_keys))
     layout = (buckets, ["HSH_KEY"]) if buckets and key_list(business_keys) else None
-    name = lake.name(table, area)
-    lake.create_database(area)
-    folder = f"{lake.folder(table, area)}/{dt.datetime.now():%Y%m%d%H%M%S%f}"
-    lake.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = rows.write.format("parquet").option("path", folder)
-    if layout:
-        writer = writer.bucketBy(layout[0], *layout[1])
-    writer.saveAsTable(name)
+    lake.replace(table, rows, area, layout)
 
 
 def _rows_of(lake: Lake, settings: Mapping[str, Any], params: Mapping[str, Any]) -> DataFrame:

@@ -43,7 +43,8 @@ class Lake:
         return f"{self.root.rstrip('/')}/im{self.env}/{area}/{table}"
 
     def create_database(self, area: str = "rawvault") -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(area)}")
+        database = self.database(area)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root.rstrip('/')}/{database}.db'")
 
     def create(
         self,
@@ -121,9 +122,19 @@ class Lake:
         """Write the table as plain parquet files for readers outside Spark."""
         self.read(table, area).write.mode("overwrite").parquet(folder)
 
-    def copy_from(self, table: str, rows: DataFrame, area: str = "transform") -> None:
-        """Drop and recreate a table from a query, such as a JDBC scan."""
-        name = self.name(table, area)
+    def replace(
+        self, table: str, rows: DataFrame, area: str = "transform", bucket_by: tuple[int, Sequence[str]] | None = None
+    ) -> None:
+        """Drop and recreate a table from a query, such as a JDBC scan.
+
+        The rows are written under another name first, so a failing query leaves the old table as it was.
+        """
         self.create_database(area)
+        fresh, name = self.name(f"{table}__new", area), self.name(table, area)
+        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        writer = rows.write.format("parquet").option("path", self._version(table, area))
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
+        writer.saveAsTable(fresh)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        rows.write.option("path", self._version(table, area)).format("parquet").saveAsTable(name)
+        self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
