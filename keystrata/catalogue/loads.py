@@ -21,13 +21,15 @@ from keystrata.session import shared_folder
 from keystrata.sources.tables import Lake
 
 
-def _empty(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)
+def _lake(spark: SparkSession, **tables: str) -> Lake:
+    """A vault of its own for one run, kept in the shared folder, with empty tables."""
+    lake = Lake(spark, f"q{uuid.uuid4().hex[:12]}", shared_folder(spark, "lake"))
+    for name, ddl in tables.items():
+        lake.create(name, ddl)
+    return lake
 
 
-def _lake(spark: SparkSession) -> Lake:
-    """A vault of its own for one run, kept in the shared folder."""
-    return Lake(spark, f"q{uuid.uuid4().hex[:12]}", shared_folder(spark, "lake"))
+_META = "RECORD_SOURCE string, LOAD_DATE_TIME timestamp_ntz"
 
 
 def _order_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -53,10 +55,11 @@ _TWO_BATCHES = """
 )
 def hub_load_two_batches(spark: SparkSession, sf: str) -> DataFrame:
     hub = HubSpec("HUB_CUSTOMER", ("CUSTOMER_NO",), {"o_custkey": "CUSTOMER_NO"})
-    state = _empty(spark, "HUB_CUSTOMER_HSH_KEY string, CUSTOMER_NO bigint, RECORD_SOURCE string, LOAD_DATE_TIME timestamp_ntz")
+    lake = _lake(spark, HUB_CUSTOMER=f"HUB_CUSTOMER_HSH_KEY string, CUSTOMER_NO bigint, {_META}")
     for batch, source in zip(_order_batches(spark, sf), ("b1", "b2")):
-        state = state.unionByName(V.key_rows(V.augment_hub(batch, hub, source), state, hub.hash_key))
-    return state
+        rows = V.key_rows(V.map_hub(batch, hub, source), lake.read(hub.name), hub.hash_key, V.hub_hash(hub))
+        lake.append(hub.name, rows)
+    return lake.read(hub.name)
 
 
 @query(
@@ -67,13 +70,13 @@ def hub_load_two_batches(spark: SparkSession, sf: str) -> DataFrame:
 def hub_split_by_discriminator(spark: SparkSession, sf: str) -> DataFrame:
     split = {"p_type": {"HUB_ECONOMY": "ECONOMY", "HUB_SMALL": "SMALL"}}
     parts = table(spark, sf, "part")
-    empty = _empty(spark, "hsh_key string, p_name string")
-
-    def rows(hub: str) -> DataFrame:
-        named = subset_for(parts, split, hub).withColumn("hsh_key", hash_key(["p_name"]))
-        return V.key_rows(named, empty, "hsh_key").select(F.lit(hub).alias("hub"), "hsh_key", "p_name")
-
-    return rows("HUB_ECONOMY").union(rows("HUB_SMALL"))
+    ddl = "hsh_key string, p_name string"
+    lake = _lake(spark, HUB_ECONOMY=ddl, HUB_SMALL=ddl)
+    for hub in ("HUB_ECONOMY", "HUB_SMALL"):
+        hashes = {"hsh_key": V.KeyHash(("p_name",))}
+        lake.append(hub, V.key_rows(subset_for(parts, split, hub), lake.read(hub), "hsh_key", hashes))
+    economy, small = (lake.read(h).withColumn("hub", F.lit(h)) for h in ("HUB_ECONOMY", "HUB_SMALL"))
+    return economy.union(small)
 
 
 @query(
@@ -86,17 +89,14 @@ def hub_split_by_discriminator(spark: SparkSession, sf: str) -> DataFrame:
 )
 def link_load_two_batches(spark: SparkSession, sf: str) -> DataFrame:
     link = LinkSpec("LINK_CUSTOMER_PRIORITY", ("o_custkey", "o_orderpriority"))
-    state = _empty(
-        spark,
-        "LINK_CUSTOMER_PRIORITY_HSH_KEY string, HUB_CUSTOMER_HSH_KEY string, HUB_PRIORITY_HSH_KEY string,"
-        " RECORD_SOURCE string, LOAD_DATE_TIME timestamp_ntz",
-    )
+    hashes = {
+        "HUB_CUSTOMER_HSH_KEY": V.KeyHash(("o_custkey",)),
+        "HUB_PRIORITY_HSH_KEY": V.KeyHash(("o_orderpriority",)),
+    } | V.link_hash(link)
+    lake = _lake(spark, **{link.name: ", ".join(f"{h} string" for h in hashes) + f", {_META}"})
     for batch in _order_batches(spark, sf):
-        batch = batch.withColumns(
-            {"HUB_CUSTOMER_HSH_KEY": hash_key(["o_custkey"]), "HUB_PRIORITY_HSH_KEY": hash_key(["o_orderpriority"])}
-        )
-        state = state.unionByName(V.key_rows(V.augment_link(batch, link), state, link.hash_key))
-    return state
+        lake.append(link.name, V.key_rows(batch, lake.read(link.name), link.hash_key, hashes))
+    return lake.read(link.name)
 
 
 _SPELLINGS = """
@@ -113,8 +113,9 @@ _SPELLINGS = """
 def salink_hub_spellings(spark: SparkSession, sf: str) -> DataFrame:
     hub = HubSpec("HUB_NAME", ("NAME",), {"c_name": "NAME", "alias": "NAME", "c_mktsegment": "NAME"}, same_as=True)
     customers = table(spark, sf, "customer").withColumn("alias", F.concat(F.lit("K"), F.col("c_custkey").cast("string")))
-    empty = _empty(spark, "HUB_NAME_HSH_KEY string, NAME string, RECORD_SOURCE string")
-    return V.key_rows(V.augment_hub(customers, hub, "CRM"), empty, hub.hash_key)
+    lake = _lake(spark, HUB_NAME="HUB_NAME_HSH_KEY string, NAME string, RECORD_SOURCE string")
+    lake.append("HUB_NAME", V.key_rows(V.map_hub(customers, hub, "CRM"), lake.read("HUB_NAME"), hub.hash_key, V.hub_hash(hub)))
+    return lake.read("HUB_NAME")
 
 
 @query(
@@ -136,11 +137,11 @@ def salink_load(spark: SparkSession, sf: str) -> DataFrame:
         F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("seg"),
         F.concat(F.lit(" N"), F.col("c_nationkey").cast("string")).alias("nat"),
     )
-    empty = _empty(
-        spark,
-        "HUB_NAME_HSH_KEY_1 string, HUB_NAME_HSH_KEY_2 string, NAME_1_DEF string, NAME_2_DEF string, SALINK_NAME_HSH_KEY string",
-    )
-    return V.key_rows(V.augment_same_as(customers, spec), empty, spec.link.hash_key)
+    columns = ["HUB_NAME_HSH_KEY_1", "HUB_NAME_HSH_KEY_2", "NAME_1_DEF", "NAME_2_DEF", "SALINK_NAME_HSH_KEY"]
+    lake = _lake(spark, SALINK_NAME=", ".join(f"{c} string" for c in columns))
+    rows = V.key_rows(V.define_same_as(customers, spec), lake.read("SALINK_NAME"), spec.link.hash_key, V.same_as_hashes(spec))
+    lake.append("SALINK_NAME", rows)
+    return lake.read("SALINK_NAME")
 
 
 _SAT_DDL = (
@@ -187,8 +188,9 @@ _L1, _L2 = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
     """
 )
 def sat_load_delta_check(spark: SparkSession, sf: str) -> DataFrame:
-    loaded = V.satellite_rows(_event_batch(spark, sf, _FIRST, _L1), _empty(spark, _SAT_DDL), direct=True)
-    return V.satellite_rows(_event_batch(spark, sf, _SECOND, _L2), loaded)
+    lake = _lake(spark, SAT_EVENT=_SAT_DDL)
+    lake.append("SAT_EVENT", V.satellite_rows(_event_batch(spark, sf, _FIRST, _L1), lake.read("SAT_EVENT"), direct=True))
+    return V.satellite_rows(_event_batch(spark, sf, _SECOND, _L2), lake.read("SAT_EVENT"))
 
 
 @query(
@@ -209,7 +211,9 @@ def sat_load_partition_filtered(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""select {_SAT_COLUMNS}, timestamp '{_L1}' as "LOAD_DATE_TIME" from events""")
 def sat_direct_insert(spark: SparkSession, sf: str) -> DataFrame:
     both = _event_batch(spark, sf, _FIRST, _L1).union(_event_batch(spark, sf, _SECOND, _L1))
-    return V.satellite_rows(both, _empty(spark, _SAT_DDL), direct=True)
+    lake = _lake(spark, SAT_EVENT=_SAT_DDL)
+    lake.append("SAT_EVENT", V.satellite_rows(both, lake.read("SAT_EVENT"), direct=True))
+    return lake.read("SAT_EVENT")
 
 
 @query(
@@ -441,7 +445,7 @@ _FEED = {
 )
 def vault_feed_load(spark: SparkSession, sf: str) -> DataFrame:
     lake = _lake(spark)
-    meta = "RECORD_SOURCE string, LOAD_DATE_TIME timestamp_ntz"
+    meta = _META
     lake.create("HUB_ORDER", f"HUB_ORDER_HSH_KEY string, ORDER_NO bigint, {meta}")
     lake.create("HUB_CUSTOMER", f"HUB_CUSTOMER_HSH_KEY string, CUSTOMER_NO bigint, {meta}")
     lake.create(

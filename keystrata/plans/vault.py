@@ -63,33 +63,69 @@ def staged_rows(raw: DataFrame, config: FeedConfig, load_ts: C.Moment) -> DataFr
     return apply_staging(df, config.transforms)
 
 
-def augment_hub(df: DataFrame, hub: HubSpec, record_source: str, spellings: bool = True) -> DataFrame:
-    """Add key columns, record source and hash key of a hub."""
+@dataclass(frozen=True)
+class KeyHash:
+    """How a hash column follows from other columns; ``raw`` keeps blanks and skips NULLs."""
+
+    columns: tuple[str, ...]
+    raw: bool = False
+
+    def column(self) -> Column:
+        return hash_raw(self.columns) if self.raw else hash_key(self.columns)
+
+
+# Hash columns by name. A later one may be built on earlier ones.
+Hashes = dict[str, KeyHash]
+
+
+def with_hashes(df: DataFrame, hashes: Hashes) -> DataFrame:
+    for name, spec in hashes.items():
+        df = df.withColumn(name, spec.column())
+    return df
+
+
+def map_hub(df: DataFrame, hub: HubSpec, record_source: str, spellings: bool = True) -> DataFrame:
+    """Add the key columns and record source of a hub; a same-as hub gets a row per spelling of its key."""
     if hub.same_as and spellings:
-        df = C.map_same_as_keys(df, hub.mapping, record_source)
-    else:
-        first: dict[str, str] = {}
-        for source, key in hub.mapping.items():
-            if not hub.same_as or key not in first.values():
-                first[source] = key
-        df = C.map_keys(df, first, record_source)
-    return df.withColumn(hub.hash_key, hash_key(hub.keys))
+        return C.map_same_as_keys(df, hub.mapping, record_source)
+    first: dict[str, str] = {}
+    for source, key in hub.mapping.items():
+        if not hub.same_as or key not in first.values():
+            first[source] = key
+    return C.map_keys(df, first, record_source)
+
+
+def hub_hash(hub: HubSpec) -> Hashes:
+    return {hub.hash_key: KeyHash(hub.keys)}
+
 
+def link_hash(link: LinkSpec) -> Hashes:
+    return {link.hash_key: KeyHash(link.columns)}
 
-def augment_link(df: DataFrame, link: LinkSpec) -> DataFrame:
-    return df.withColumn(link.hash_key, hash_key(link.columns))
 
+def same_as_hashes(spec: SameAsSpec) -> Hashes:
+    """Hash of every spelling (raw values), then the link's own hash key."""
+    return {k: KeyHash(columns, raw=True) for k, columns in spec.key_columns.items()} | link_hash(spec.link)
 
-def augment_same_as(df: DataFrame, spec: SameAsSpec) -> DataFrame:
-    """Add the hash of every spelling (raw values), the definition columns and the link's own hash key."""
-    df = df.withColumns({key: hash_raw(columns) for key, columns in spec.key_columns.items()})
-    df = df.withColumns({column: F.lit(value) for column, value in spec.definitions.items()})
-    return augment_link(df, spec.link)
 
+def define_same_as(df: DataFrame, spec: SameAsSpec) -> DataFrame:
+    return df.withColumns({column: F.lit(value) for column, value in spec.definitions.items()})
 
-def key_rows(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Rows to append to a hub or link: target columns, one per hash key, unknown keys only."""
-    return insert_only(target, C.select_target(df, target.columns), [key])
+
+def key_rows(df: DataFrame, target: DataFrame, key: str, hashes: Hashes) -> DataFrame:
+    """Rows to append to a hub or link: target columns, one per hash key, unknown keys only.
+
+    A batch names the same key many times. Equal rows are dropped before anything is hashed: that is a hash
+    aggregation with a map-side part, so repeated keys, also a very frequent one, neither get hashed row by
+    row nor sorted nor sent over the network.
+    """
+    wanted = set(target.columns)
+    for name in reversed(hashes):
+        if name in wanted:
+            wanted |= set(hashes[name].columns)
+    used = {name: spec for name, spec in hashes.items() if name in wanted}
+    distinct = C.select_target(df, sorted(wanted - set(used))).distinct()
+    return insert_only(target, C.select_target(with_hashes(distinct, used), target.columns), [key])
 
 
 @dataclass(frozen=True)
@@ -165,8 +201,10 @@ class VaultFeed:
     def __post_init__(self):
         # One literal per run, so that a task that runs again writes the same rows.
         self.load_ts = self.load_ts or dt.datetime.now().replace(microsecond=0)
+        self.hashes: Hashes = {}
 
     def run(self, raw: DataFrame | None = None, count_log: str | None = None) -> None:
+        self.hashes = {}
         raw = raw if raw is not None else read_parquet(self.lake.spark, self.config.paths)
         df = staged_rows(raw, self.config, self.load_ts)
         if self.config.flag("GENERATE_CDC_SEQNO"):
@@ -177,7 +215,8 @@ class VaultFeed:
         df = self.load_hubs(df)
         df = self.load_links(df)
         df = self.load_same_as(df)
-        self.load_satellites(apply_satellite(df, self.config.transforms))
+        # Hash before masking: keys come from clear values. Columns that a satellite lacks are never computed.
+        self.load_satellites(apply_satellite(with_hashes(df, self.hashes), self.config.transforms))
         if self.config.history and count_log:
             for table in self.config.satellites:
                 append_count_log(count_by(self.lake.read(table)), count_log)
@@ -197,33 +236,44 @@ class VaultFeed:
         return C.subset_for(df, rules, table) if rules else df
 
     def load_hubs(self, df: DataFrame) -> DataFrame:
+        """Load the hubs; returns the rows with mapped keys. Hash columns are collected in ``hashes``."""
         config = self.config
         for hub in config.hubs:
-            rows = augment_hub(df, hub, config.record_source)
-            df = rows if config.spellings_everywhere else augment_hub(df, hub, config.record_source, spellings=False)
+            df = self._keep_hashes(df, set(hub.mapping.values()))
+            rows = map_hub(df, hub, config.record_source)
+            df = rows if config.spellings_everywhere else map_hub(df, hub, config.record_source, spellings=False)
+            self.hashes |= hub_hash(hub)
             rows = self._subset(rows, "SPLIT_HUB", hub.name)
             if config.source_is_file:
                 rows = C.source_from_file(rows)
-            self.lake.append(hub.name, key_rows(rows, self.lake.read(hub.name), hub.hash_key))
-            self._finish(hub.name)
+            self._append_keys(hub.name, rows, hub.hash_key)
         if config.source_is_file:
             return C.source_from_file(df)
         return df.withColumn("RECORD_SOURCE", F.lit(config.record_source))
 
+    def _keep_hashes(self, df: DataFrame, overwritten: set[str]) -> DataFrame:
+        """Add hash columns whose key columns are about to change as they are now."""
+        kept = {n: spec for n, spec in self.hashes.items() if overwritten & set(spec.columns)}
+        self.hashes = {n: spec for n, spec in self.hashes.items() if n not in kept}
+        return with_hashes(df, kept)
+
+    def _append_keys(self, table: str, rows: DataFrame, key: str) -> None:
+        self.lake.append(table, key_rows(rows, self.lake.read(table), key, self.hashes))
+        self._finish(table)
+
     def load_links(self, df: DataFrame) -> DataFrame:
         for link in self.config.links:
-            df = augment_link(df, link)
-            self.lake.append(link.name, key_rows(df, self.lake.read(link.name), link.hash_key))
-            self._finish(link.name)
+            self.hashes |= link_hash(link)
+            self._append_keys(link.name, df, link.hash_key)
         return df
 
     def load_same_as(self, df: DataFrame) -> DataFrame:
         spec = self.config.same_as
         if spec is None:
             return df
-        df = augment_same_as(df, spec)
-        self.lake.append(spec.link.name, key_rows(df, self.lake.read(spec.link.name), spec.link.hash_key))
-        self._finish(spec.link.name)
+        df = define_same_as(df, spec)
+        self.hashes |= same_as_hashes(spec)
+        self._append_keys(spec.link.name, df, spec.link.hash_key)
         return df
 
     def load_satellites(self, df: DataFrame) -> None:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, app: str = "keystrata", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("KEYSTRATA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
