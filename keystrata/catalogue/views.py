@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from keystrata.catalogue.registry import query, sql_hash_key, table
 from keystrata.functions.hashing import hash_key
 from keystrata.operators.columns import drop_before_images, drop_deleted
-from keystrata.operators.latest import Hub, ViewShape, current_view, latest_transaction, one_per_key
+from keystrata.operators.latest import Hub, ViewShape, current_view, latest_by, latest_transaction, one_per_key
 
 
 def _hub(df: DataFrame, name: str, key: str, *columns: str) -> Hub:
@@ -131,7 +131,7 @@ def _line_satellite(spark: SparkSession, sf: str, link_key: str, columns: list[s
 )
 def current_view_link_2hubs(spark: SparkSession, sf: str) -> DataFrame:
     key = "LINK_PART_SUPPLIER_HSH_KEY"
-    lines = table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct().select(
         hash_key(["l_partkey", "l_suppkey"]).alias(key),
         hash_key(["l_partkey"]).alias("HUB_PART_HSH_KEY"),
         hash_key(["l_suppkey"]).alias("HUB_SUPPLIER_HSH_KEY"),
@@ -148,7 +148,7 @@ def current_view_link_2hubs(spark: SparkSession, sf: str) -> DataFrame:
         _hub(table(spark, sf, "supplier"), "SUPPLIER", "s_suppkey", "s_name"),
     ]
     sat = _line_satellite(spark, sf, key, ["l_partkey", "l_suppkey"])
-    return current_view(sat, hubs, shape, one_per_key(lines, [key]), key)
+    return current_view(sat, hubs, shape, lines, key)
 
 
 _LINK3 = ["l_orderkey", "l_partkey", "l_suppkey"]
@@ -307,8 +307,6 @@ def cdc_latest_transaction(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def deleted_keys_dropped(spark: SparkSession, sf: str) -> DataFrame:
-    from keystrata.operators.latest import latest_by
-
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
     newest = latest_by(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"])
     return drop_deleted(newest, "o_orderstatus", "F").drop("o_orderdate")
