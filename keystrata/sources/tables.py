@@ -108,7 +108,12 @@ class Lake:
         self.spark.catalog.refreshTable(name)
 
     def truncate(self, table: str, area: str = "rawvault") -> None:
-        self.spark.sql(f"TRUNCATE TABLE {self.name(table, area)}")
+        """Leave the table empty in a new folder; Spark does not truncate tables with a location of their own."""
+        parts = self.partition_columns(table, area)
+        if parts:
+            self.create(table, self.read(table, area).schema, parts, area)
+        else:
+            self.swap(table, self.read(table, area).limit(0), area)
 
     def backup(self, table: str, area: str = "rawvault") -> str:
         """Copy of the table as ``<table>_bkp``, partitioned alike."""
