@@ -21,6 +21,7 @@ from keystrata.functions.times import (
     local_time_compat,
     parse_moment,
 )
+from keystrata.operators.transforms import transform
 from keystrata.plans.calendar import with_business_days
 
 
@@ -143,7 +144,7 @@ def _projection_sql() -> str:
         with a as (select c_custkey, 1e9 + c_acctbal * 20000 - 1e8 as x, 1e9 - c_nationkey * 1e7 as y from customer),
         b as (select *, x / 1000 - 1e6 as dx, ({rho0!r}) - (y / 1000 - 1e6) as dy from a),
         c as (select *, pow(-sqrt(dx * dx + dy * dy) / ({scale!r}), 1 / ({n!r})) as t, atan2(-dx, -dy) / ({n!r}) as theta from b)
-        select c_custkey, round(degrees(theta) + 145, 9) as lon, round(degrees(p6), 9) as lat from ({steps[-1]})
+        select c_custkey, round(degrees(theta) + 145, 7) as lon, round(degrees(p6), 7) as lat from ({steps[-1]})
     """
 
 
@@ -154,7 +155,7 @@ def st_xy(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(1e9) + F.col("c_acctbal") * 20000 - F.lit(1e8)).alias("x"),
         (F.lit(1e9) - F.col("c_nationkey") * 1e7).alias("y"),
     )
-    return points.select("c_custkey", F.round(st_x("x", "y"), 9).alias("lon"), F.round(st_y("x", "y"), 9).alias("lat"))
+    return points.select("c_custkey", F.round(st_x("x", "y"), 7).alias("lon"), F.round(st_y("x", "y"), 7).alias("lat"))
 
 
 _NAME_SQL = "'FEED.D' || strftime(o_orderdate, '%Y%j') || '.T' || o_orderkey"
@@ -178,8 +179,6 @@ def julian_filedate(spark: SparkSession, sf: str) -> DataFrame:
     """select event_id, date_trunc('second', ts) as "EXTRACT_DATE_TIME" from events"""
 )
 def filedate_extract(spark: SparkSession, sf: str) -> DataFrame:
-    from keystrata.operators.transforms import transform
-
     files = table(spark, sf, "events").select(
         "event_id", F.concat(F.lit("feed_"), F.date_format("ts", "yyyy-MM-dd_HHmmss"), F.lit(".parquet")).alias("_srcFileName")
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from keystrata.functions.hashing import quoted
 from keystrata.operators.latest import latest_by, one_per_key, top_row
+from keystrata.session import written
 
 # Up to this many partition values of a batch are sent to the scan as a list; more are joined.
 PARTITION_LIST_LIMIT = 10_000
@@ -63,10 +64,19 @@ def _with_null_key(keys: Sequence[str]) -> Column:
     return reduce(or_, (quoted(k).isNull() for k in keys))
 
 
+def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys that both sides hold.
+
+    The target is only filtered here: with a source small enough to be broadcast it is not shuffled.
+    """
+    names = [*map(quoted, keys)]
+    return target.select(*names).join(source.select(*names), list(keys), "left_semi").distinct()
+
+
 def has_duplicate_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
     """Whether a target row is matched by several source rows."""
     repeated = source.groupBy(*map(quoted, keys)).count().filter("count > 1")
-    return not repeated.join(target.select(*map(quoted, keys)), list(keys), "left_semi").isEmpty()
+    return not matched_keys(target, repeated, keys).isEmpty()
 
 
 def upsert(
@@ -92,8 +102,6 @@ def upsert(
         source = top_row(full, keys, list(newest)).unionByName(source.filter(_with_null_key(keys)))
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'last', not {on_duplicate!r}")
-    elif has_duplicate_match(target, source, keys):
-        raise ValueError("several source rows match one target row")
 
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -101,25 +109,29 @@ def upsert(
     def value(expression: str | Column) -> Column:
         return quoted(expression) if isinstance(expression, str) else expression
 
-    shaped = source.select(
+    batch = source.select(
         *map(quoted, keys),
         F.struct(*(value(e).cast(types[c]).alias(c) for c, e in update.items())).alias("__update"),
         F.struct(
             *((value(insert[c]) if c in insert else F.lit(None)).cast(types[c]).alias(c) for c in columns)
         ).alias("__insert"),
     )
-    # NULL keys would all meet in one task of the join and cannot match anyway.
-    open_target, open_source = target.filter(~_with_null_key(keys)), shaped.filter(~_with_null_key(keys))
-    rows = open_target.select(*map(quoted, keys), F.struct(*map(quoted, columns)).alias("__row"))
-    joined = rows.join(open_source, list(keys), "full_outer")
-
-    def merged(column: str) -> Column:
-        old, new = F.col("__row")[column], F.col("__insert")[column]
-        if column in update:
-            old = F.when(F.col("__update").isNotNull(), F.col("__update")[column]).otherwise(old)
-        return F.when(F.col("__row").isNull(), new).otherwise(old).alias(column)
-
-    state = joined.select(*map(merged, columns))
-    kept = target.filter(_with_null_key(keys))
-    added = shaped.filter(_with_null_key(keys)).select(*(F.col("__insert")[c].alias(c) for c in columns))
-    return state.unionByName(kept).unionByName(added)
+    # Several branches below read the batch.
+    shaped = written(batch, "upsert")
+    if on_duplicate == "error" and has_duplicate_match(target, shaped, keys):
+        raise ValueError("several source rows match one target row")
+    # NULL keys would all meet in one task of a join and cannot match anyway.
+    known, batch = target.filter(~_with_null_key(keys)), shaped.filter(~_with_null_key(keys))
+    # Not one full outer join: that could neither broadcast a small batch nor split a frequent key.
+    updated = known.join(batch.select(*map(quoted, keys), "__update"), list(keys), "left")
+    hit = F.col("__update").isNotNull()
+    state = updated.select(
+        *(
+            F.when(hit, F.col("__update")[c]).otherwise(quoted(c)).alias(c) if c in update else quoted(c)
+            for c in columns
+        )
+    )
+    fresh = batch.join(matched_keys(known, batch, keys), list(keys), "left_anti")
+    added = fresh.unionByName(shaped.filter(_with_null_key(keys)))
+    inserted = added.select(*(F.col("__insert")[c].alias(c) for c in columns))
+    return state.unionByName(target.filter(_with_null_key(keys))).unionByName(inserted)

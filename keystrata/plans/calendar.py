@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from keystrata.functions.hashing import quoted
 from keystrata.functions.times import moment
-from keystrata.operators.columns import Moment, require
-from keystrata.operators.merge import upsert
+from keystrata.operators.columns import Moment
+from keystrata.operators.merge import matched_keys, upsert
+from keystrata.session import written
 from keystrata.sources.files import read_csv_with_header
 from keystrata.sources.tables import Lake
 
@@ -56,12 +57,6 @@ def delivery_rows(wide: DataFrame) -> DataFrame:
     return rows.filter(~holiday | F.coalesce(valid, F.lit(False)))
 
 
-def holiday_rows(wide: DataFrame) -> DataFrame:
-    """Rows that name a holiday."""
-    columns = [f"{HOLIDAY} When", f"{HOLIDAY} Code"]
-    return require(wide.select("Year", *columns, f"{HOLIDAY} Description"), columns, NOT_AVAILABLE)
-
-
 _KEY = ["TYP", "REQ_BY"]
 _CHANGED = ("DLVRY_DESC", "FRM_DT", "TO_DT")
 
@@ -74,7 +69,7 @@ def merge_deliveries(target: DataFrame, wide: DataFrame, load_ts: Moment) -> Dat
     description. A NULL in the key never matches, so such rows are always inserted. Several rows of one group
     for a key that exists already are an error, as in a merge.
     """
-    rows = delivery_rows(wide)
+    rows = written(delivery_rows(wide), "deliveries")  # read by several branches below
     filled = F.col("TYP").isNotNull() & F.col("REQ_BY").isNotNull()
     stamp = moment(load_ts).cast(target.schema["ROW_INSERT_DTM"].dataType)
 
@@ -87,13 +82,13 @@ def merge_deliveries(target: DataFrame, wide: DataFrame, load_ts: Moment) -> Dat
         F.min("branch").alias("first"),
         F.max("branch").alias("last"),
         F.max_by("change", "branch").alias("change"),
-        F.max("n").alias("most"),
         F.max(F.struct((F.col("n") > 1).alias("repeated"), F.col("branch").alias("branch"))).alias("latest_repeat"),
     )
     known = target.filter(filled)
     repeats = per_key.filter("latest_repeat.repeated")
+    matched = matched_keys(known, per_key, _KEY)
     late = repeats.filter("latest_repeat.branch > first").select(*_KEY)
-    clash = late.union(repeats.join(known.select(*_KEY), _KEY, "left_semi").select(*_KEY))
+    clash = late.union(repeats.join(matched, _KEY, "left_semi").select(*_KEY))
     if not clash.isEmpty():
         raise ValueError("several calendar rows of one group match one delivery")
 
@@ -109,7 +104,7 @@ def merge_deliveries(target: DataFrame, wide: DataFrame, load_ts: Moment) -> Dat
             "ROW_INSERT_DTM": F.when(hit, stamp).otherwise(F.col("ROW_INSERT_DTM")),
         }
     )
-    fresh = per_key.join(known.select(*_KEY), _KEY, "left_anti").select(
+    fresh = per_key.join(matched, _KEY, "left_anti").select(
         *_KEY, F.col("first").alias("branch"), "last", F.col("change").alias("__change")
     )
     later = F.col("last") > F.col("branch")
@@ -134,25 +129,28 @@ def load_calendar(lake: Lake, path: str, load_ts: Moment, export_to: str | None
             lake.export(table, f"{export_to.rstrip('/')}/{table.lower()}", area)
 
 
+def _dated(calendar: DataFrame) -> DataFrame:
+    day = F.col("DT_CAL_DATE").cast("date")
+    return calendar.select(day.alias("day"), F.col("VIC_BD_IND").cast("int").alias("open")).filter(
+        F.year("day").between(1, 9999)
+    )
+
+
 def business_day_totals(calendar: DataFrame) -> DataFrame:
     """``(day, through)``: business days up to and including each day from the day before the calendar on.
 
     Running totals are taken within a year and then over years, so no task sees more than a year of days.
     """
-    marked = (
-        calendar.select(F.col("DT_CAL_DATE").cast("date").alias("day"), F.col("VIC_BD_IND").cast("int").alias("open"))
-        .filter(F.year("day").between(1, 9999))
-        .groupBy("day")
-        .agg(F.max(F.coalesce("open", F.lit(0)) == 1).cast("int").alias("open"))
-    )
-    span = marked.agg(F.date_sub(F.min("day"), 1).alias("a"), F.max("day").alias("b"))
+    dated = _dated(calendar)
+    marked = dated.groupBy("day").agg(F.max((F.coalesce("open", F.lit(0)) == 1).cast("int")).alias("open"))
+    span = dated.agg(F.date_sub(F.min("day"), 1).alias("a"), F.max("day").alias("b"))
     days = span.select(F.explode(F.sequence("a", "b")).alias("day")).join(marked, "day", "left")
     days = days.select("day", F.year("day").alias("yr"), F.coalesce("open", F.lit(0)).alias("open"))
     within = Window.partitionBy("yr").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    years = days.groupBy("yr").agg(F.sum("open").alias("n"))
-    before = Window.orderBy("yr").rowsBetween(Window.unboundedPreceding, -1)
-    years = years.select("yr", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return days.withColumn("in_year", F.sum("open").over(within)).join(F.broadcast(years), "yr").select(
+    earlier = Window.orderBy("yr").rowsBetween(Window.unboundedPreceding, 0)
+    spanned = days.groupBy("yr").agg(F.sum("open").alias("n"))
+    before = spanned.select("yr", (F.sum("n").over(earlier) - F.col("n")).alias("before"))
+    return days.withColumn("in_year", F.sum("open").over(within)).join(F.broadcast(before), "yr").select(
         "day", (F.col("before") + F.col("in_year")).alias("through")
     )
 
@@ -164,7 +162,9 @@ def with_business_days(df: DataFrame, start: str, end: str, calendar: DataFrame,
     `MAX_DAYS` rows whatever the data, so it is broadcast and ``df`` is not shuffled.
     """
     totals = business_day_totals(calendar)
-    low, high = totals.select(F.min("day")).scalar(), totals.select(F.max("day")).scalar()
+    dated = _dated(calendar)
+    low = dated.select(F.date_sub(F.min("day"), 1)).scalar()
+    high = dated.select(F.max("day")).scalar()
 
     def clamp(day):
         # greatest and least skip NULLs, so a NULL date needs its own branch.

@@ -11,7 +11,7 @@ to the shared folder once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,8 +25,8 @@ from keystrata.operators.latest import latest_transaction, one_per_key
 from keystrata.operators.merge import current_hashes, in_partitions, insert_only, new_versions
 from keystrata.operators.transforms import apply_satellite, apply_staging, parse_file_date
 from keystrata.plans.config import FeedConfig, HubSpec, LinkSpec, SameAsSpec
-from keystrata.session import shared_folder
-from keystrata.sources.files import append_count_log, read_parquet
+from keystrata.session import written
+from keystrata.sources.files import BatchResult, append_count_log, load_in_batches, read_parquet
 from keystrata.sources.tables import Lake
 
 # Satellite columns that replicated feeds do not load.
@@ -208,7 +208,7 @@ class VaultFeed:
         raw = raw if raw is not None else read_parquet(self.lake.spark, self.config.paths)
         df = staged_rows(raw, self.config, self.load_ts)
         if self.config.flag("GENERATE_CDC_SEQNO"):
-            df = self._written(df)
+            df = written(df, "staged")
         if self.config.flag("REFERENCE_TABLE"):
             self.load_reference(df)
             return
@@ -221,10 +221,9 @@ class VaultFeed:
             for table in self.config.satellites:
                 append_count_log(count_by(self.lake.read(table)), count_log)
 
-    def _written(self, df: DataFrame) -> DataFrame:
-        folder = shared_folder(self.lake.spark, "staged")
-        df.write.parquet(folder)
-        return self.lake.spark.read.parquet(folder)
+    def run_files(self, files: Sequence[str], count_log: str | None = None) -> list[BatchResult]:
+        """Load files in as many groups as the feed asks for; see `load_in_batches`."""
+        return load_in_batches(self.lake.spark, files, self.config.batches, lambda raw: self.run(raw, count_log))
 
     def _finish(self, table: str) -> None:
         folder = self.config.settings.get("extract_folder")

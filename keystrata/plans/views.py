@@ -217,3 +217,13 @@ def view_rows(lake: Lake, name: str) -> DataFrame:
     hubs = [Hub(lake.read(table), f"{table}_HSH_KEY", columns) for table, columns in view.hubs.items()]
     link = lake.read(view.link) if view.link else None
     return current_view(lake.read(view.satellite), hubs, view.shape, link, view.link_key)
+
+
+def register_views(lake: Lake) -> list[str]:
+    """Make every named view whose tables exist a temporary view; returns their names."""
+    found = []
+    for name, view in VIEWS.items():
+        if all(lake.exists(t) for t in (view.satellite, *view.hubs, *([view.link] if view.link else []))):
+            view_rows(lake, name).createOrReplaceTempView(name)
+            found.append(name)
+    return found

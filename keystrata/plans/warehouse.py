@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from keystrata.functions.hashing import key_list, quoted, with_warehouse_hashes
 from keystrata.functions.text import too_long
 from keystrata.plans.template import job_params, run_sql, run_sql_file
-from keystrata.sources.jdbc import write_jdbc
+from keystrata.sources.jdbc import ReadSplit, read_jdbc, write_jdbc
 from keystrata.sources.tables import Lake
 
 # Fixed value: longest text the warehouse staging accepts.
@@ -78,3 +78,10 @@ def to_database(lake: Lake, settings: Mapping[str, Any], given_date: str, url: s
     """Run a job's SQL template over the vault and write the rows to a database table."""
     params = job_params(settings, given_date, dt.date.today(), migration=False)
     write_jdbc(_rows_of(lake, settings, params), url, settings["StagingTable"], settings["WriteMode"], driver)
+
+
+def from_database(
+    lake: Lake, url: str, source: str, table: str, driver: str | None = None, split: ReadSplit | None = None, area: str = "transform"
+) -> None:
+    """Copy a database table to the lake, replacing the earlier copy."""
+    lake.replace(table, read_jdbc(lake.spark, url, source, driver, split), area)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from keystrata.functions.times import moment
 from keystrata.operators.counts import COUNT_LOG
-from keystrata.session import shared_folder
+from keystrata.session import written
 
 FILE_PATH = "_adfFilePath"
 
@@ -74,9 +74,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         "__start",
         (F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
-    folder = shared_folder(spark, "line-offsets")
-    offsets.write.parquet(folder)
-    return lines.join(spark.read.parquet(folder), [FILE_PATH, "__start"]).select(
+    return lines.join(written(offsets, "line-offsets"), [FILE_PATH, "__start"]).select(
         "value", FILE_PATH, (F.col("__id") + F.col("__shift") + 1).alias("line")
     )
 

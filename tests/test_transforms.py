@@ -36,7 +36,7 @@ def test_checksum_uses_the_original_value_twice(spark):
 
 def test_substring_positions(spark):
     df = spark.createDataFrame([("abcdef",)], "c string")
-    for init, expected in ((1, "abc"), (0, "ab"), (-2, "ef")):
+    for init, expected in ((1, "abc"), (0, "abc"), (-2, "ef")):
         spec = {"c": {"targetcolumn": "t", "init": init, "length": 3}}
         assert transform(df, "TRANSFORM_SUBSTRING", spec).head().t == expected
 

@@ -252,6 +252,18 @@ def test_repeated_keys_are_dropped_before_hashing(spark, lake, plan_of):
     assert "HashAggregate" in below and "sha1" not in below and "EvalPython" not in plan
 
 
+def test_feed_in_file_batches(spark, lake, tmp_path):
+    make_tables(lake)
+    files = []
+    for i in range(3):
+        files.append(str(tmp_path / f"f{i}"))
+        raw(spark, (str(i), "N", "I", T1, "1.00", "1"), ("9", "N", "I", T1, "1.00", "1")).write.parquet(files[-1])
+    config = FeedConfig.from_parameters(BASE | {"NUMBER_OF_ITER": "2"})
+    results = V.VaultFeed(lake, config, D(2024, 2, 1)).run_files(files)
+    assert [len(r.files) for r in results] == [2, 1]
+    assert sorted(r.EQUIPMENT_ID for r in lake.read("HUB_EQUIP").collect()) == ["", "1", "2", "9"]
+
+
 def test_configuration():
     rows = [{"ParameterCode": k, "ParameterValue": v, "Source": "ERP", "TableName": "T"} for k, v in BASE.items() if k not in ("Source", "TableName")]
     assert parameters(rows)["TableName"] == "T"

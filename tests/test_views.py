@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keystrata.operators.latest import Hub, ViewShape, current_view, latest_by, latest_transaction, one_per_key
-from keystrata.plans.views import VIEWS, view_rows
+from keystrata.plans.views import VIEWS, register_views
 
 D = dt.datetime
 TIMES = {"EXTRACT_DATE_TIME", "LOAD_DATE_TIME"}
@@ -103,7 +103,8 @@ def test_named_view(spark, lake, name):
     lake.create(view.satellite, ddl)
     lake.append(view.satellite, spark.createDataFrame([tuple(r[n] for n in schema) for r in rows], ddl))
 
-    got = view_rows(lake, name)
+    assert register_views(lake) == [name]
+    got = spark.table(name)
     assert got.columns == list(view.shape.output)
     want = expected(view, hubs, links, rows)
     assert want and sorted(repr([r[c] for c in got.columns]) for r in got.collect()) == want
