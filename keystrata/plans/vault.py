@@ -217,18 +217,24 @@ class VaultFeed:
         df = self.load_same_as(df)
         # Hash before masking: keys come from clear values. Columns that a satellite lacks are never computed.
         self.load_satellites(apply_satellite(with_hashes(df, self.hashes), self.config.transforms))
-        if self.config.history and count_log:
+        if self.config.history:
             for table in self.config.satellites:
-                append_count_log(count_by(self.lake.read(table)), count_log)
+                append_count_log(count_by(self.lake.read(table)), count_log or self._count_log())
 
     def run_files(self, files: Sequence[str], count_log: str | None = None) -> list[BatchResult]:
         """Load files in as many groups as the feed asks for; see `load_in_batches`."""
         return load_in_batches(self.lake.spark, files, self.config.batches, lambda raw: self.run(raw, count_log))
 
+    def _count_log(self) -> str:
+        settings = self.config.settings
+        return "/".join(
+            [self.lake.root.rstrip("/"), "log/HIST_LOAD", settings["Source"], settings["TableName"], settings.get("RunID", "0"), "S2R"]
+        )
+
     def _finish(self, table: str) -> None:
-        folder = self.config.settings.get("extract_folder")
-        if self.config.flag("RefreshExtractTable") and folder:
-            self.lake.export(table, f"{folder.rstrip('/')}/{table}")
+        if self.config.flag("RefreshExtractTable"):
+            base = self.config.settings.get("extract_folder", f"{self.lake.root.rstrip('/')}/external/im{self.lake.env}")
+            self.lake.export(table, f"{base.rstrip('/')}/{table}")
 
     def _subset(self, df: DataFrame, split: str, table: str) -> DataFrame:
         rules = self.config.nested(split)

@@ -155,3 +155,18 @@ def test_view_plan(spark, plan_of):
     # One limit before the shuffle and one after it: a hot key crosses the network once per task.
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert "EvalPython" not in plan and "CartesianProduct" not in plan and "spare" not in plan
+
+
+def test_a_key_with_a_third_of_the_rows(spark):
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id % 500 AS string) END AS HUB_X_HSH_KEY",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS EXTRACT_DATE_TIME",
+        "'I' AS CHANGE_TYPE",
+        "id AS v",
+    )
+    hub = Hub(rows.selectExpr("HUB_X_HSH_KEY", "HUB_X_HSH_KEY AS X").distinct(), "HUB_X_HSH_KEY", ("X",))
+    want = {r.HUB_X_HSH_KEY: r.v for r in rows.groupBy("HUB_X_HSH_KEY").agg(F.max("v").alias("v")).collect()}
+    for place in ("before join", "after join"):
+        shape = ViewShape(("HUB_X_HSH_KEY",), ("X", "v"), ranked=place)
+        got = current_view(rows, [hub], shape).collect()
+        assert {r.X: r.v for r in got} == want and len(got) == len(want) == 501
