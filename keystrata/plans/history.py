@@ -45,5 +45,5 @@ def merge_history(lake: Lake, daily: str, history: str, area: str = "rawvault")
     total = lake.read(daily, area).count()
     if total != before + added:
         raise CountMismatch(f"{daily}: {before} + {added} rows expected, {total} found")
-    lake.create(history, lake.read(history, area).schema, lake.partition_columns(history, area), area)
+    lake.truncate(history, area)
     return {"daily_count": before, "history_count": added, "total_count": total}

@@ -54,7 +54,11 @@ class Lake:
         area: str = "rawvault",
         bucket_by: tuple[int, Sequence[str]] | None = None,
     ) -> None:
-        """Drop the table if it exists and create it empty, in a new folder."""
+        """Drop the table if it exists and create it empty, in a new folder.
+
+        ``bucket_by`` suits hubs and links: their hash keys are unique and even, and joins on the key then read
+        the table without a shuffle. A satellite with a very frequent key would get one very large bucket.
+        """
         ddl = schema if isinstance(schema, str) else schema.toDDL()
         name = self.name(table, area)
         parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
@@ -80,15 +84,26 @@ class Lake:
     def partition_columns(self, table: str, area: str = "rawvault") -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table, area)) if c.isPartition]
 
+    def bucketing(self, table: str, area: str = "rawvault") -> tuple[int, list[str]] | None:
+        """Number of buckets and bucket columns."""
+        columns = [c.name for c in self.spark.catalog.listColumns(self.name(table, area)) if c.isBucket]
+        if not columns:
+            return None
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table, area)}").filter("col_name = 'Num Buckets'")
+        return int(described.head().data_type), columns
+
     def append(self, table: str, rows: DataFrame, area: str = "rawvault") -> None:
         """Insert rows by the target's columns and order.
 
         Rows for a partitioned table are rebalanced by partition, which keeps files few and splits a
-        partition that holds most of the rows over several tasks.
+        partition that holds most of the rows over several tasks. Rows for a bucketed table are brought to one
+        task per bucket, which writes one file.
         """
         rows = select_target(rows, self.columns(table, area))
-        parts = self.partition_columns(table, area)
-        if parts:
+        parts, buckets = self.partition_columns(table, area), self.bucketing(table, area)
+        if buckets:
+            rows = rows.repartition(buckets[0], *buckets[1])
+        elif parts:
             rows = rows.hint("rebalance", *parts)
         rows.write.insertInto(self.name(table, area))
         self.spark.catalog.refreshTable(self.name(table, area))
@@ -96,10 +111,10 @@ class Lake:
     def swap(self, table: str, state: DataFrame, area: str = "rawvault") -> None:
         """Replace the contents by ``state``, which may read the table itself.
 
-        Only for unpartitioned tables, as the ones kept by upsert and reload are.
+        Only for plain tables, as the ones kept by upsert and reload are.
         """
-        if self.partition_columns(table, area):
-            raise ValueError(f"{table} is partitioned; append to it instead")
+        if self.partition_columns(table, area) or self.bucketing(table, area):
+            raise ValueError(f"{table} is partitioned or bucketed; append to it instead")
         name, folder = self.name(table, area), self._version(table, area)
         schema = self.read(table, area).schema
         typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -109,18 +124,18 @@ class Lake:
 
     def truncate(self, table: str, area: str = "rawvault") -> None:
         """Leave the table empty in a new folder; Spark does not truncate tables with a location of their own."""
-        parts = self.partition_columns(table, area)
-        if parts:
-            self.create(table, self.read(table, area).schema, parts, area)
-        else:
-            self.swap(table, self.read(table, area).limit(0), area)
+        self.create_like(table, table, area)
+
+    def create_like(self, table: str, model: str, area: str = "rawvault") -> None:
+        """Create an empty table with the columns, partitions and buckets of another one, or of itself."""
+        schema, parts = self.read(model, area).schema, self.partition_columns(model, area)
+        self.create(table, schema, parts, area, self.bucketing(model, area))
 
     def backup(self, table: str, area: str = "rawvault") -> str:
-        """Copy of the table as ``<table>_bkp``, partitioned alike."""
+        """Copy of the table as ``<table>_bkp``, laid out alike."""
         copy = f"{table}_bkp"
-        source = self.read(table, area)
-        self.create(copy, source.schema, self.partition_columns(table, area), area)
-        self.append(copy, source, area)
+        self.create_like(copy, table, area)
+        self.append(copy, self.read(table, area), area)
         return copy
 
     def export(self, table: str, folder: str, area: str = "rawvault") -> None:

@@ -85,6 +85,30 @@ def test_tables(spark, lake, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ext")).count() == 2
 
 
+def test_bucketed_hub_is_not_shuffled(spark, lake, plan_of):
+    from keystrata.operators.merge import insert_only
+
+    lake.create("HUB", "HUB_HSH_KEY string, K bigint", bucket_by=(16, ["HUB_HSH_KEY"]))
+    batch = spark.range(500).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("HUB_HSH_KEY"), F.col("id").alias("K"))
+    for rows in (batch.filter("K < 300"), batch, batch):
+        lake.append("HUB", insert_only(lake.read("HUB"), rows, ["HUB_HSH_KEY"]))
+    assert lake.read("HUB").count() == 500 and lake.bucketing("HUB") == (16, ["HUB_HSH_KEY"])
+    assert len(lake.read("HUB").inputFiles()) <= 2 * 16
+    # The scan of the target feeds the join directly; only the batch is shuffled.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(insert_only(lake.read("HUB"), batch, ["HUB_HSH_KEY"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    target_side = plan.split("LeftAnti")[1].split("FileScan parquet")[0].split("Range")[1]
+    assert "Exchange" not in target_side and "Bucketed: true" in plan
+    with pytest.raises(ValueError):
+        lake.swap("HUB", batch)
+    assert lake.backup("HUB") == "HUB_bkp" and lake.bucketing("HUB_bkp") == (16, ["HUB_HSH_KEY"])
+    lake.truncate("HUB")
+    assert lake.read("HUB").count() == 0 and lake.read("HUB_bkp").count() == 500
+
+
 def test_swap_may_read_the_table(spark, lake):
     lake.create("REF", "k string, n int")
     for n in range(3):
