@@ -360,10 +360,27 @@ def _delivery_branches_sql() -> str:
         for i, (name, (code, when)) in enumerate(_DELIVERY_CODES.items(), start=1)
     ]
     parts.append("select 5, 'H', e, 'Holiday ' || wk, null, null, yr from w where n > 8")
-    parts.append("select 6, null, e, 'No code ' || wk, s, e, yr from w where false")
     return " union all ".join(parts)
 
 
+def _wide_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    columns = {"Year": F.col("yr"), "Week Id": F.col("wk"), "Start": F.col("s"), "End": F.col("e")}
+    for name, (code, when) in _DELIVERY_CODES.items():
+        columns |= {
+            f"{name} When": F.col(when),
+            f"{name} Code": F.expr(code),
+            f"{name} Description": F.concat(F.lit(f"{name} "), F.col("wk")),
+            f"{name} Start": F.col("s"),
+            f"{name} End": F.col("e"),
+        }
+    columns |= {
+        "Holiday When": F.col("e"),
+        "Holiday Code": F.when(F.col("n") > 8, F.lit("H")).otherwise(F.lit("n/a")),
+        "Holiday Description": F.concat(F.lit("Holiday "), F.col("wk")),
+    }
+    return _weeks(spark, sf).select(*(c.alias(n) for n, c in columns.items()))
+
+
 @query(
     f"""
     with w as ({_WEEKS}),
@@ -378,22 +395,7 @@ def _delivery_branches_sql() -> str:
     """
 )
 def upsert_delivery_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    weeks = _weeks(spark, sf)
-    columns = {"Year": F.col("yr")}
-    for name, (code, when) in _DELIVERY_CODES.items():
-        columns |= {
-            f"{name} When": F.col(when),
-            f"{name} Code": F.expr(code),
-            f"{name} Description": F.concat(F.lit(f"{name} "), F.col("wk")),
-            f"{name} Start": F.col("s"),
-            f"{name} End": F.col("e"),
-        }
-    columns |= {
-        "Holiday When": F.col("e"),
-        "Holiday Code": F.when(F.col("n") > 8, F.lit("H")).otherwise(F.lit("n/a")),
-        "Holiday Description": F.concat(F.lit("Holiday "), F.col("wk")),
-    }
-    wide = weeks.select(*(c.alias(n) for n, c in columns.items()))
+    wide = _wide_calendar(spark, sf)
     known = K.delivery_rows(wide.filter("Year < '1997'")).filter("TYP <> 'H'").select("TYP", "REQ_BY").distinct()
     target = known.select(
         "REQ_BY",
@@ -407,6 +409,32 @@ def upsert_delivery_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return K.merge_deliveries(target, wide, "2024-01-02 00:00:00")
 
 
+@query(
+    f"""
+    with w as ({_WEEKS}),
+    rows_ as ({_delivery_branches_sql()}),
+    agg as (select typ, req, arg_max(descr, br) as descr, max(br) as br, arg_min(yr, br) as yr from rows_ group by typ, req)
+    select a.req as "REQ_BY", a.typ as "TYP", a.descr as "DLVRY_DESC", r.frm as "FRM_DT", r.til as "TO_DT", a.yr as "SRC_YR",
+           timestamp '2024-01-03 00:00:00' as "ROW_INSERT_DTM"
+    from agg a join rows_ r on r.typ = a.typ and r.req = a.req and r.br = a.br
+    """
+)
+def calendar_load(spark: SparkSession, sf: str) -> DataFrame:
+    folder, exported = shared_folder(spark, "calendar"), shared_folder(spark, "exported")
+    _wide_calendar(spark, sf).write.option("header", True).csv(folder)
+    lake = Lake(spark, f"q{uuid.uuid4().hex[:12]}", shared_folder(spark, "lake"))
+    stamp = "ROW_INSERT_DTM timestamp_ntz"
+    lake.create(K.WEEK_TABLE, f"YR string, WK string, BILL_PD_START_DT string, BILL_PD_END_DT string, {stamp}", area="transform")
+    lake.create(
+        K.DELIVERY_TABLE,
+        f"REQ_BY string, TYP string, DLVRY_DESC string, FRM_DT string, TO_DT string, SRC_YR string, {stamp}",
+        area="transform",
+    )
+    for load_ts in ("2024-01-02 00:00:00", "2024-01-03 00:00:00"):  # the second load updates every row
+        K.load_calendar(lake, folder, load_ts, exported)
+    return spark.read.parquet(f"{exported}/{K.DELIVERY_TABLE.lower()}")
+
+
 _FEED = {
     "Source": "ERP",
     "TableName": "ORDERS",
