@@ -81,16 +81,22 @@ class Lake:
     def columns(self, table: str, area: str = "rawvault") -> list[str]:
         return self.read(table, area).columns
 
+    def layout(self, table: str, area: str = "rawvault") -> tuple[list[str], list[str]]:
+        """Partition columns and bucket columns."""
+        columns = self.spark.catalog.listColumns(self.name(table, area))
+        return [c.name for c in columns if c.isPartition], [c.name for c in columns if c.isBucket]
+
     def partition_columns(self, table: str, area: str = "rawvault") -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.name(table, area)) if c.isPartition]
+        return self.layout(table, area)[0]
 
     def bucketing(self, table: str, area: str = "rawvault") -> tuple[int, list[str]] | None:
         """Number of buckets and bucket columns."""
-        columns = [c.name for c in self.spark.catalog.listColumns(self.name(table, area)) if c.isBucket]
-        if not columns:
-            return None
+        columns = self.layout(table, area)[1]
+        return (self._bucket_count(table, area), columns) if columns else None
+
+    def _bucket_count(self, table: str, area: str) -> int:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table, area)}").filter("col_name = 'Num Buckets'")
-        return int(described.head().data_type), columns
+        return int(described.head().data_type)
 
     def append(self, table: str, rows: DataFrame, area: str = "rawvault") -> None:
         """Insert rows by the target's columns and order.
@@ -100,9 +106,9 @@ class Lake:
         task per bucket, which writes one file.
         """
         rows = select_target(rows, self.columns(table, area))
-        parts, buckets = self.partition_columns(table, area), self.bucketing(table, area)
+        parts, buckets = self.layout(table, area)
         if buckets:
-            rows = rows.repartition(buckets[0], *buckets[1])
+            rows = rows.repartition(self._bucket_count(table, area), *buckets)
         elif parts:
             rows = rows.hint("rebalance", *parts)
         rows.write.insertInto(self.name(table, area))
@@ -113,7 +119,7 @@ class Lake:
 
         Only for plain tables, as the ones kept by upsert and reload are.
         """
-        if self.partition_columns(table, area) or self.bucketing(table, area):
+        if any(self.layout(table, area)):
             raise ValueError(f"{table} is partitioned or bucketed; append to it instead")
         name, folder = self.name(table, area), self._version(table, area)
         schema = self.read(table, area).schema

@@ -29,3 +29,11 @@ def test_entry(spark):
 
 def test_names():
     assert not set(ORACLES) - set(QUERIES)
+
+
+def test_scans_read_only_what_they_need(spark, plan_of):
+    plan = plan_of(QUERIES["current_view_orders"](spark, SMALL))
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+    assert "o_totalprice" not in plan and "o_orderpriority" not in plan
+    plan = plan_of(QUERIES["count_distinct_in_range"](spark, SMALL))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
