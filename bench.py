@@ -24,6 +24,9 @@ HEADLINE = [
     "current_view_link_3hubs",
     "current_view_link_5hubs_tz",
     "current_view_link_6hubs_8keys",
+    "tmp_doms_network_outage_detail",
+    "tmp_doms_spa_mv_call",
+    "tmp_doms_rpt_details",
     "cdc_latest_transaction",
     "hash_link_key",
     "hash_sat_diff_decimal",

@@ -110,11 +110,11 @@ def trans_default_partition(spark: SparkSession, sf: str) -> DataFrame:
     return apply_satellite(events, settings)
 
 
-@query("select doc_id, replace(text, chr(92) || '¿', '¿') as text, replace(text, ',', chr(92) || ',') as CLIENT_TEXT from documents")
+@query("select doc_id, replace(text, chr(92) || '¿', '¿') as text, replace(text, ',', chr(92) || ',') as CLIENT from documents")
 def trans_clean_strings(spark: SparkSession, sf: str) -> DataFrame:
-    # Every comma arrives escaped; the column named after the client keeps its escapes.
+    # Every comma arrives escaped; the column named CLIENT keeps its escapes.
     escaped = F.replace(F.col("text"), F.lit(","), F.lit("\\,"))
-    texts = table(spark, sf, "documents").select("doc_id", escaped.alias("text"), escaped.alias("CLIENT_TEXT"))
+    texts = table(spark, sf, "documents").select("doc_id", escaped.alias("text"), escaped.alias("CLIENT"))
     return clean_strings(texts)
 
 

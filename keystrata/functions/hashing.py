@@ -94,6 +94,9 @@ def number_text(column: Column, source_type: T.DataType | None = None) -> Column
     """
     if isinstance(source_type, T.DoubleType):
         text = double_text(column)
+    elif isinstance(source_type, T.DecimalType) and source_type.scale > 6:
+        # Below 1e-6 a decimal prints as 1.2E-7; a cast does so only without ANSI mode.
+        text = F.when(column.isNotNull(), F.format_string("%s", column))
     else:
         text = column.cast("string")
     cut = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))

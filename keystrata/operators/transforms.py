@@ -17,7 +17,7 @@ from keystrata.functions.hashing import quoted
 from keystrata.functions.text import unescape
 from keystrata.functions.times import NTZ, extract_day, extract_hour_start
 
-# Text columns whose name contains one of these keep their escapes.
+# Text columns of these names keep their escapes.
 UNESCAPE_EXCLUDES = ("CHANGETYPE", "MANDT", "CLIENT")
 
 
@@ -65,8 +65,12 @@ def regexp(df: DataFrame, column: str, spec: Mapping[str, Any]) -> DataFrame:
 
 
 def regexp_extract_all(df: DataFrame, column: str, spec: Mapping[str, Any]) -> DataFrame:
-    """All matches as an array, or joined to one text with ``joinAll = Y``."""
-    found = F.regexp_extract_all(quoted(column), F.lit(spec["pattern"]), F.lit(int(spec["matchGroup"])))
+    """All matches as an array, or joined to one text with ``joinAll = Y``.
+
+    Feeds write this pattern, unlike that of `regexp`, as a SQL text, where two backslashes stand for one.
+    """
+    pattern = spec["pattern"].replace("\\\\", "\\")
+    found = F.regexp_extract_all(quoted(column), F.lit(pattern), F.lit(int(spec["matchGroup"])))
     return df.withColumn(spec["targetcolumn"], F.array_join(found, "") if spec.get("joinAll") == "Y" else found)
 
 
@@ -99,7 +103,7 @@ def clean_strings(df: DataFrame) -> DataFrame:
     """Remove the backslash before escaped characters in all text columns, in one projection."""
 
     def cleaned(field: T.StructField) -> Column:
-        keep = not isinstance(field.dataType, T.StringType) or any(x in field.name for x in UNESCAPE_EXCLUDES)
+        keep = not isinstance(field.dataType, T.StringType) or field.name in UNESCAPE_EXCLUDES
         return quoted(field.name) if keep else unescape(quoted(field.name)).alias(field.name)
 
     return df.select(*map(cleaned, df.schema.fields))

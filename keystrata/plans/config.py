@@ -135,6 +135,11 @@ class FeedConfig:
         value = self.settings["data_object_name"]
         return [value] if isinstance(value, str) else list(value)
 
+    @property
+    def locations(self) -> dict[str, str]:
+        """Base folders of single hubs, for `Lake.locations`."""
+        return self.nested("DB_MNT_LOCATION") or {}
+
     @property
     def batches(self) -> int:
         return int(self.settings.get("NUMBER_OF_ITER", 1))

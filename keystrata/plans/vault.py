@@ -79,8 +79,14 @@ Hashes = dict[str, KeyHash]
 
 
 def with_hashes(df: DataFrame, hashes: Hashes) -> DataFrame:
-    for name, spec in hashes.items():
-        df = df.withColumn(name, spec.column())
+    """Add hash columns, those built on other hashes after them."""
+    waiting = dict(hashes)
+    while waiting:
+        ready = {n: spec for n, spec in waiting.items() if not set(spec.columns) & set(waiting)}
+        if not ready:
+            raise ValueError(f"hash columns depend on each other: {', '.join(waiting)}")
+        df = df.withColumns({n: spec.column() for n, spec in ready.items()})
+        waiting = {n: spec for n, spec in waiting.items() if n not in ready}
     return df
 
 

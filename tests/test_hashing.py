@@ -1,6 +1,7 @@
 import hashlib
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -43,6 +44,19 @@ def test_decimal_text(spark):
     assert got == ["100", "0", "10.5", "-3.1", "None"] == [python_number(v) for v in values]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_small_decimal_text(spark, ansi):
+    values = [Decimal(v).quantize(Decimal("1E-9")) for v in ("0", "0.000000120", "0.00000001", "1.5", "0.000001", "123.000000001")]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "d decimal(20,9)")
+        got = [r.t for r in df.select(H.number_text(F.col("d"), df.schema["d"].dataType).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == [*map(python_number, values), "None"]
+
+
 @settings(max_examples=1, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.floats(), st.floats(-1e6, 1e6).map(lambda v: round(v, 3))), min_size=300, max_size=300))
 def test_double_text_is_python_text(spark, values):

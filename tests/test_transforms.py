@@ -46,6 +46,8 @@ def test_regexp(spark):
     assert one(transform(df, "TRANSFORM_REGEXP", {"c": {"targetcolumn": "t", "pattern": r"(\d+)", "matchGroup": 1}}), "t") == ["12", "", None]
     spec = {"c": {"targetcolumn": "t", "pattern": r"(\d+)", "matchGroup": 1}}
     assert one(transform(df, "TRANSFORM_REGEXP_EXTRACT_ALL", spec), "t") == [["12", "345"], [], None]
+    spec["c"]["pattern"] = r"(\\d+)"  # as in a SQL text
+    assert one(transform(df, "TRANSFORM_REGEXP_EXTRACT_ALL", spec), "t") == [["12", "345"], [], None]
     spec["c"]["joinAll"] = "Y"
     assert one(transform(df, "TRANSFORM_REGEXP_EXTRACT_ALL", spec), "t") == ["12345", "", None]
     spec["c"]["matchAll"] = "Y"
@@ -75,9 +77,9 @@ def test_default_partition_wins_over_partition(spark):
 
 
 def test_clean_strings_skips_named_columns(spark):
-    df = spark.createDataFrame([("a\\,b", "a\\,b", "a\\,b", "a\\,b", 1)], "t string, CHANGETYPE string, MANDT string, CLIENT_X string, n int")
-    row = clean_strings(df).head()
-    assert tuple(row) == ("a,b", "a\\,b", "a\\,b", "a\\,b", 1)
+    escaped = "a\\,b"
+    df = spark.createDataFrame([(escaped,) * 5 + (1,)], "t string, CHANGETYPE string, MANDT string, CLIENT string, CLIENT_X string, n int")
+    assert tuple(clean_strings(df).head()) == ("a,b", escaped, escaped, escaped, "a,b", 1)
 
 
 def test_no_python_in_transforms(spark, plan_of):
