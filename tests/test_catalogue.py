@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from keystrata.catalogue import ORACLES, QUERIES
 from tools.compare import difference, oracle_connection
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,8 @@ def test_entry(spark):
 
 
 def test_names():
-    assert not set(ORACLES) - set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+    assert not set(entry_module.oracle_sql()) - set(entry_module.queries())
 
 
 def test_scans_read_only_what_they_need(spark, plan_of):
