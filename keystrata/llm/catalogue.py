@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from keystrata.llm.byte_bpe import encode
 from keystrata.llm.exact_dedup import exact_dedup
+from keystrata.llm.licenses import scan_licenses
+from keystrata.llm.packing import pack
+from keystrata.llm.topk import top_k
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -33,3 +39,43 @@ def query(sql: str | None = None):
 )
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"), keep="max")
+
+
+@query()
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    found = encode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded=True)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    with v as (
+      select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+      where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (
+      select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+      from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+    r as (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from s)
+    select query_id, rank, vec_id, score from r where rank <= 5
+    """
+)
+def op9_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@query()
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    found = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
