@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keystrata.llm import language, toxicity
 from keystrata.llm.byte_bpe import encode
 from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.licenses import scan_licenses
@@ -41,6 +42,23 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"), keep="max")
 
 
+def bucket(n: int) -> Column:
+    """Fold of a document by its id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    """Fitted on labelled documents outside the held-out fold."""
+    return toxicity.fit(docs, labels.filter(bucket(5) != 0))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs, toxicity_model(docs, table(spark, folder, "labels")))
+    return found.withColumn("held_out", bucket(5) == 0)
+
+
 @query()
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     found = encode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded=True)
@@ -52,6 +70,13 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs, language.fit(docs.filter(bucket(4) != 2)))
+    return found.withColumn("held_out", bucket(4) == 2)
+
+
 @query()
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
