@@ -10,6 +10,7 @@ from keystrata.llm import language, toxicity
 from keystrata.llm.byte_bpe import encode
 from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.licenses import scan_licenses
+from keystrata.llm.ngram_join import ngram_join
 from keystrata.llm.packing import pack
 from keystrata.llm.topk import top_k
 
@@ -52,6 +53,11 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel
     return toxicity.fit(docs, labels.filter(bucket(5) != 0))
 
 
+@query()
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(table(spark, folder, "documents"), k=3, above=(90, 100))
+
+
 @query()
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
