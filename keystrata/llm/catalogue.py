@@ -12,6 +12,7 @@ from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.licenses import scan_licenses
 from keystrata.llm.ngram_join import ngram_join
 from keystrata.llm.packing import pack
+from keystrata.llm.suffix_dedup import suffix_dedup
 from keystrata.llm.topk import top_k
 
 QUERIES: dict = {}
@@ -83,6 +84,15 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", bucket(4) == 2)
 
 
+@query()
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
