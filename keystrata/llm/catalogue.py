@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keystrata.llm import language, toxicity
+from keystrata.llm import language, lm_scoring, toxicity
 from keystrata.llm.byte_bpe import encode
 from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.licenses import scan_licenses
@@ -84,6 +84,12 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", bucket(4) == 2)
 
 
+@query()
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    found = lm_scoring.score(table(spark, folder, "documents"), bucket(10) != 0)
+    return found.withColumn("held_out", ~F.col("trains")).drop("trains")
+
+
 @query()
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup(table(spark, folder, "documents"))
