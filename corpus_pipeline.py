@@ -1,15 +1,75 @@
-"""The corpus pipeline. Stages are added as their operators are built."""
+"""The corpus pipeline: from documents to packed training sequences.
+
+Each stage takes the documents that its predecessor kept and works on all of them. All but the last return the columns
+of ``documents``. Rows with a NULL text count as empty; rows with a NULL doc_id are kept by every stage that decides
+by id, as nothing can be said about them.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keystrata.llm import toxicity
+from keystrata.llm.exact_dedup import exact_dedup
+from keystrata.llm.ngram_join import ngram_join
+from keystrata.llm.packing import pack
+from keystrata.llm.suffix_dedup import suffix_dedup
+from keystrata.session import written
+
+
+def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these ids, and those without an id."""
+    return docs.join(ids.select("doc_id").filter("doc_id is not null"), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5; the models learn from the labels of these documents."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # The whole row goes along as the id, so that nothing needs to be joined back.
+    scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("document"), "text"), model, id_column="document")
+    return scored.filter("predicted = 0").select("document.*")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group with equal texts: the one with the smallest id."""
+    return _of(docs, exact_dedup(docs).filter("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a Jaccard similarity of 0.8: the one with the smallest id."""
+    return _of(docs, ngram_join(docs, k=5, above=(80, 100)).filter("doc_id = component_id"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 200 bytes that stand at more than one place; only whole characters go."""
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = suffix_dedup(docs.select(F.struct(*rest).alias("document"), "text"), whole_characters=True, id_column="document")
+    text = F.decode("kept", "UTF-8")
+    return cut.select("document.*", text.alias("text"), F.length(text).cast("long").alias("n_chars")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens and their places in sequences of 1024."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("best-fit packing", pack_sequences),
+]
 
-STAGES: list = []
+#: SQL states none of it: the first and the last stage are a trained model and a tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what a stage returns is written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "corpus-pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)

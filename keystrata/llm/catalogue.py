@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,3 +127,12 @@ def op9_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     found = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -126,7 +126,10 @@ class ToxicityModel:
         own = np.maximum(found - DISCOUNT, 0)
         rest = np.minimum(DISCOUNT * different, total)
         p = np.where(total[2] > 0, (own[2] + np.maximum(rest[2], 0.5) * p) / np.maximum(total[2] + 0.5, 1), p)
-        logs = [np.log((own[side] + (rest[side] + TRUST) * p) / (total[side] + TRUST)) for side in (0, 1)]
+        # Both classes back off with one weight, that of the class which knows less, so what is new to both costs both alike.
+        weight = np.max((rest[:2] + TRUST) / (total[:2] + TRUST), axis=0)
+        share = found[:2] / np.maximum(total[:2], 1)
+        logs = np.log((1 - weight) * share + weight * p)
         difference = np.where(depth > 0, logs[1] - logs[0], 0)  # the blank before a word is given
         ends = np.cumsum(np.fromiter((len(w) + 2 for w in words), np.int64, len(words)))
         sums = np.concatenate([[0.0], np.cumsum(difference)])
@@ -229,11 +232,15 @@ def fit(
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, sizes: dict, bounds: dict) -> tuple[float, ...]:
-    """Slopes and offset by Newton steps, with a small penalty; rows weigh as their class does among all labelled ones."""
+    """Slopes and offset by Newton steps, with a small penalty; rows weigh as their class does among all labelled ones.
+
+    A text without any evidence is taken as ordinary: one such row has the weight of a tenth of all ordinary ones.
+    """
     if len(set(y.tolist())) < 2:
         return 0.0, 0.0, 0.0 if not len(y) else (5.0 if y[0] else -5.0)
     weight = np.where(y == 1, max(1.0, sizes[1] / bounds[1]), max(1.0, sizes[0] / bounds[0]))
     scale = np.maximum(np.abs(x).mean(axis=0), 1e-9)
+    x, y, weight = np.vstack([x, np.zeros(x.shape[1])]), np.append(y, 0), np.append(weight, weight[y == 0].sum() / 10)
     features = np.concatenate([x / scale, np.ones((len(x), 1))], axis=1)
     w = np.zeros(features.shape[1])
     for _ in range(100):
