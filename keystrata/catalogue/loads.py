@@ -12,11 +12,11 @@ from keystrata.functions.hashing import hash_key
 from keystrata.functions.times import moment
 from keystrata.operators.columns import delta_metadata, select_target, subset_for
 from keystrata.operators.counts import count_as, count_by, extend_log, reconcile
-from keystrata.operators.merge import upsert
+from keystrata.operators.merge import in_partitions, upsert
 from keystrata.plans import calendar as K
 from keystrata.plans import vault as V
 from keystrata.plans.config import FeedConfig, HubSpec, LinkSpec, SameAsSpec
-from keystrata.plans.history import direct_insert, merge_history, parse_text_date
+from keystrata.plans.history import UnfinishedMerge, direct_insert, merge_history, parse_text_date
 from keystrata.session import shared_folder
 from keystrata.sources.tables import Lake
 
@@ -208,6 +208,29 @@ def sat_load_partition_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return select_target(rows, [c.split()[0] for c in _SAT_DDL.replace("(15,2)", "").split(",")])
 
 
+@query(
+    """
+    with first as (select user_id, event_type, value, cast(ts as date) as day from events where ts < timestamp '2024-01-12'),
+    second as (select * from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-14')
+    select count(*) as rows_in, count(distinct user_id) as users from first f
+    where f.day in (select cast(ts as date) from second) or f.event_type in (select distinct event_type from second where event_type <> 'click')
+    """
+)
+def partitions_of_two_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Known rows in the partitions that a batch touches by either of two columns, one given as text with a format."""
+    events = table(spark, sf, "events")
+    day = F.col("ts").cast("date")
+    known = events.filter("ts < timestamp_ntz'2024-01-12'").select("user_id", "event_type", day.alias("day"))
+    lake = _lake(spark)
+    lake.create("SAT_KNOWN", known.schema, ["event_type", "day"])
+    lake.append("SAT_KNOWN", known)
+    batch = events.filter("ts >= timestamp_ntz'2024-01-10' and ts < timestamp_ntz'2024-01-14'").select(
+        F.date_format("ts", "dd/MM/yyyy").alias("day"), F.when(F.col("event_type") != "click", F.col("event_type")).alias("event_type")
+    )
+    touched = in_partitions(lake.read("SAT_KNOWN"), batch, {"day": "dd/MM/yyyy", "event_type": None})
+    return touched.agg(F.count("*").alias("rows_in"), F.countDistinct("user_id").alias("users"))
+
+
 @query(f"""select {_SAT_COLUMNS}, timestamp '{_L1}' as "LOAD_DATE_TIME" from events""")
 def sat_direct_insert(spark: SparkSession, sf: str) -> DataFrame:
     both = _event_batch(spark, sf, _FIRST, _L1).union(_event_batch(spark, sf, _SECOND, _L1))
@@ -248,6 +271,35 @@ def ref_reload(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read("REF_PART")
 
 
+@query(
+    """select o_orderkey, o_orderdate, o_orderdate < timestamp '1998-01-01' as was_history, true as refused from orders"""
+)
+def history_merge_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge that breaks off after it appended, is refused when repeated, and then resumed: no row twice, copies kept."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lake = _lake(spark)
+    for name, where in (("SAT_ORDER", ">="), ("SAT_ORDER_HIST", "<")):
+        lake.create(name, orders.schema)
+        lake.append(name, orders.filter(f"o_orderdate {where} timestamp_ntz'1998-01-01'"))
+    refused = 0
+    for attempt in (_Interrupted(spark, lake.env, lake.root), lake):
+        try:
+            merge_history(attempt, "SAT_ORDER", "SAT_ORDER_HIST")
+        except InterruptedError:
+            pass
+        except UnfinishedMerge:
+            refused += 1
+    merge_history(lake, "SAT_ORDER", "SAT_ORDER_HIST", resume=True)
+    copied = lake.read("SAT_ORDER_HIST_bkp").select("o_orderkey", F.lit(True).alias("was_history"))
+    rows = lake.read("SAT_ORDER").unionByName(lake.read("SAT_ORDER_HIST")).join(copied, "o_orderkey", "left")
+    return rows.select("o_orderkey", "o_orderdate", F.coalesce("was_history", F.lit(False)).alias("was_history"), F.lit(refused == 1).alias("refused"))
+
+
+class _Interrupted(Lake):
+    def truncate(self, table: str, area: str = "rawvault") -> None:
+        raise InterruptedError("the driver was lost")
+
+
 @query(
     """select count(*) filter (where o_orderdate >= timestamp '1998-01-01') as daily_count,
               count(*) filter (where o_orderdate < timestamp '1998-01-01') as history_count, count(*) as total_count, true as ok

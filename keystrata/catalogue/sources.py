@@ -32,12 +32,27 @@ def record_seq(spark: SparkSession, sf: str) -> DataFrame:
     return staged.join(first, S.FILE_PATH).select("Prop_0", "Prop_1", "Prop_2", position.alias("position"))
 
 
-@query("select count(*) as staging_row_count, timestamp '2024-01-01 00:00:00' as load_ts, true as named from customer")
+@query(
+    """select c_mktsegment as segment, count(*) as staging_row_count, timestamp '2024-01-01 00:00:00' as load_ts,
+              (count(*) filter (c_custkey % 7 = 0))::bigint as wide_rows, (sum(c_custkey) filter (c_custkey % 7 = 0))::bigint as wide_keys
+       from customer group by 1"""
+)
 def landing_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    entries = land(spark, _customer_lines(spark, sf), shared_folder(spark, "staging"), "2024-01-01 00:00:00")
-    return entries.groupBy("load_ts").agg(
-        F.sum("staging_row_count").alias("staging_row_count"), F.bool_and(F.col("file_name").endswith(".csv")).alias("named")
+    """A file per segment, of lines with three and with four fields; the fourth must not be lost."""
+    folder, staging = shared_folder(spark, "landing"), shared_folder(spark, "staging")
+    rows = table(spark, sf, "customer")
+    fields = F.concat_ws(",", F.col("c_custkey").cast("string"), F.concat(F.lit('"'), "c_name", F.lit(', Ltd"')), "c_mktsegment")
+    wide = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit(","), F.col("c_custkey").cast("string"))).otherwise("")
+    lines = rows.select(F.concat(fields, wide).alias("value"), F.col("c_mktsegment").alias("segment"))
+    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
+        lines.filter(F.col("segment") == segment).select("value").coalesce(1).write.mode("append").text(folder)
+    entries = land(spark, folder, staging, "2024-01-01 00:00:00")
+    staged = spark.read.parquet(staging)
+    path = F.split(S.FILE_PATH, "/")
+    kept = staged.groupBy(F.col("Prop_2").alias("segment"), F.element_at(path, -1).alias("file_name")).agg(
+        F.count("Prop_3").alias("wide_rows"), F.sum(F.col("Prop_3").cast("bigint")).alias("wide_keys")
     )
+    return kept.join(entries, "file_name").select("segment", "staging_row_count", "load_ts", "wide_rows", "wide_keys")
 
 
 @query(

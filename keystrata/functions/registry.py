@@ -32,15 +32,14 @@ def register_functions(spark: SparkSession) -> None:
 def register_business_days(spark: SparkSession, calendar_view: str) -> None:
     """Create the table function ``fn_get_business_days(start, end)`` over a calendar view.
 
-    Made for a few look-ups in a template. For a column of date pairs use
+    Business days from start to end, both included: different days of the date key with the indicator set. Made for a few
+    look-ups in a template. For a column of date pairs use
     `keystrata.plans.calendar.with_business_days`, which does not scan the calendar per row.
     """
     spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION fn_get_business_days(start_dt DATE, end_dt DATE)
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION fn_get_business_days(first_day DATE, last_day DATE)
             RETURNS TABLE (businessdays BIGINT)
-            RETURN SELECT count(DISTINCT DT_CAL_DATE)
-                   FROM {calendar_view}
-                   WHERE DT_DATE_KEY >= year(start_dt) * 10000 + month(start_dt) * 100 + day(start_dt)
-                     AND DT_DATE_KEY <= year(end_dt) * 10000 + month(end_dt) * 100 + day(end_dt)
-                     AND VIC_BD_IND = 1"""
+            RETURN SELECT count(DISTINCT day) FROM (
+                SELECT to_date(CAST(DT_DATE_KEY AS STRING), 'yyyyMMdd') AS day, VIC_BD_IND FROM {calendar_view})
+            WHERE VIC_BD_IND = 1 AND day BETWEEN first_day AND last_day"""
     )

@@ -142,10 +142,17 @@ def current_view(
 
 
 def _join_hubs(rows: DataFrame, hubs: Sequence[Hub], link: DataFrame | None, link_key: str | None) -> DataFrame:
-    if link is not None:
-        if link_key is None:
-            raise ValueError("a link needs link_key")
-        rows = rows.join(link.select(*map(quoted, dict.fromkeys([link_key, *(h.key for h in hubs)]))), link_key)
+    def business(hub: Hub) -> DataFrame:
+        return hub.rows.select(*map(quoted, dict.fromkeys([hub.key, *hub.columns])))
+
+    if link is None:
+        for hub in hubs:
+            rows = rows.join(business(hub), hub.key)
+        return rows
+    if link_key is None:
+        raise ValueError("a link needs link_key")
+    # Keys and business columns are narrow: they are joined first, and the wide rows move once.
+    bridge = link.select(*map(quoted, dict.fromkeys([link_key, *(h.key for h in hubs)])))
     for hub in hubs:
-        rows = rows.join(hub.rows.select(*map(quoted, dict.fromkeys([hub.key, *hub.columns]))), hub.key)
-    return rows
+        bridge = bridge.join(business(hub), hub.key)
+    return rows.join(bridge, link_key)

@@ -12,14 +12,12 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keystrata.functions.hashing import quoted
 from keystrata.operators.latest import latest_by, one_per_key, top_row
 from keystrata.session import written
 
-# Up to this many partition values of a batch are sent to the scan as a list; more are joined.
-PARTITION_LIST_LIMIT = 10_000
-
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks, one per key.
@@ -30,9 +28,15 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return one_per_key(source, keys).join(target.select(*map(quoted, keys)), list(keys), "left_anti")
 
 
-def current_hashes(target: DataFrame, key: str, diff: str, order_by: str = "EXTRACT_DATE_TIME") -> DataFrame:
-    """Key and change hash of the current version of every key."""
+def current_hashes(target: DataFrame, key: str, diff: str, order_by: str = "EXTRACT_DATE_TIME", of: DataFrame | None = None) -> DataFrame:
+    """Key and change hash of the current version of every key, or of the keys that ``of`` holds.
+
+    With a batch as ``of`` the target is cut to the batch's keys before anything is ranked: a small batch is
+    broadcast, and the history of other keys is neither shuffled nor sorted.
+    """
     narrow = target.select(quoted(key), quoted(diff), quoted(order_by))
+    if of is not None:
+        narrow = narrow.join(of.select(quoted(key)).distinct(), key, "left_semi")
     return latest_by(narrow, [key], order_by).select(quoted(key), quoted(diff))
 
 
@@ -45,19 +49,56 @@ def new_versions(source: DataFrame, known: DataFrame, key: str, diff: str) -> Da
     return one_per_key(source, [key, diff]).join(known.select(quoted(key), quoted(diff)), [key, diff], "left_anti")
 
 
-def in_partitions(target: DataFrame, source: DataFrame, column: str, limit: int = PARTITION_LIST_LIMIT) -> DataFrame:
-    """Target rows in the partitions that the batch touches.
+def partition_values(source: DataFrame, column: str, kind: T.DataType, text_format: str | None = None) -> DataFrame:
+    """Distinct values of a batch for a target column of the given type, without NULL.
 
-    The distinct values become a static list, which prunes the scan of a table partitioned by the column. A
-    batch with more values than ``limit`` uses a semi join instead; the result is the same. NULL never matches.
+    Text is parsed by ``text_format`` when there is one; what does not parse matches nothing.
+    """
+    value = quoted(column)
+    if text_format and isinstance(source.schema[column].dataType, T.StringType) and not isinstance(kind, T.StringType):
+        value = F.try_to_timestamp(value, F.lit(text_format))
+    return source.select(value.try_cast(kind.simpleString()).alias(column)).distinct().na.drop()
+
+
+def _value_range(values: DataFrame, column: str, kind: T.DataType) -> Column | None:
+    """Condition that all values meet, for pruning only; None if there are none or they have no useful range."""
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.IntegralType)):
+        return F.lit(True)
+    low, high = values.agg(F.min(quoted(column).cast("string") if isinstance(kind, T.StringType) else quoted(column)).cast("string"), F.max(quoted(column)).cast("string")).first()
+    if low is None:
+        return None
+    low, high = F.lit(low).cast(kind), F.lit(high).cast(kind)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):  # as text, an hour of the clock change is ambiguous
+        low, high = low - F.expr("interval 1 day"), high + F.expr("interval 1 day")
+    return (quoted(column) >= low) & (quoted(column) <= high)
+
+
+def in_partitions(target: DataFrame, source: DataFrame, columns: str | Mapping[str, str | None]) -> DataFrame:
+    """Target rows in the partitions that the batch touches in any of the columns.
+
+    ``columns`` names a column, or columns with the format of their values where the batch has them as text. Values
+    are compared in the target's type by a join; the range of the batch's values is a static condition that prunes
+    the scan of a table partitioned by the column. NULL never matches.
     """
-    kind = target.schema[column].dataType
-    touched = source.select(quoted(column).cast(kind).alias(column)).distinct().na.drop()
-    # As text and back, so that a timestamp does not pass through the driver's time zone.
-    values = [row[0] for row in touched.select(quoted(column).cast("string")).limit(limit + 1).collect()]
-    if len(values) > limit:
-        return target.join(touched, column, "left_semi")
-    return target.filter(quoted(column).isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False))
+    formats = {columns: None} if isinstance(columns, str) else dict(columns)
+    touched, ranges = {}, []
+    for column, text_format in formats.items():
+        values = partition_values(source, column, target.schema[column].dataType, text_format)
+        near = _value_range(values, column, target.schema[column].dataType)
+        if near is not None:
+            touched[column] = values
+            ranges.append(near)
+    if not touched:
+        return target.filter(F.lit(False))
+    rows = target.filter(reduce(or_, ranges))
+    if len(touched) == 1:
+        [(column, values)] = touched.items()
+        return rows.join(values, column, "left_semi").select(*map(quoted, target.columns))
+    flags = []
+    for i, (column, values) in enumerate(touched.items()):  # distinct values: no row is doubled
+        rows = rows.join(values.withColumn(f"__in{i}", F.lit(True)), column, "left")
+        flags.append(F.col(f"__in{i}").isNotNull())
+    return rows.filter(reduce(or_, flags)).select(*map(quoted, target.columns))
 
 
 def _with_null_key(keys: Sequence[str]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from keystrata.functions.hashing import quoted
 from keystrata.functions.times import NTZ
+from keystrata.session import written
 from keystrata.sources.tables import Lake
 
 # Distribution column and columns of the dimensions and the fact, in table order.
@@ -400,10 +401,13 @@ class Field:
         return {"bigint": T.LongType(), "int": T.IntegerType(), "date": T.DateType()}[self.declared]
 
     def convert(self, column: Column) -> Column:
-        """Value in the declared type; what cannot be converted becomes NULL."""
+        """Value in the declared type; what cannot be converted becomes NULL, which `violations` reports.
+
+        ``datetime2(0)`` is rounded to the nearest second, half a second up.
+        """
         if self.declared.startswith("datetime"):
             value = column.try_cast(NTZ)
-            return F.date_trunc("second", value).cast(NTZ) if self.declared == "datetime2(0)" else value
+            return F.date_trunc("second", value + F.expr("interval '0.5' second")).cast(NTZ) if self.declared == "datetime2(0)" else value
         return column.try_cast(self.spark_type.simpleString())
 
 
@@ -447,9 +451,11 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """``(column_name, rule, row_count)`` of broken NOT NULL and length rules, from one pass over the rows.
+    """``(column_name, rule, row_count)`` of broken rules, from one pass over the source rows.
 
-    An identity column is not checked: its values are given later.
+    The rules are NOT NULL, the length of texts, and that a value can be converted to the declared type. Rows that were
+    conformed before have lost what cannot be converted. An identity column is only checked for the latter: its values
+    are given later.
     """
     rules: list[tuple[str, str, Column]] = []
     for f in contract.fields:
@@ -457,7 +463,9 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
             continue
         if f.required and not f.identity:
             rules.append((f.name, "not null", quoted(f.name).isNull()))
-        if f.length is not None:
+        if f.length is None:
+            rules.append((f.name, "not convertible", quoted(f.name).isNotNull() & f.convert(quoted(f.name)).isNull()))
+        else:
             rules.append((f.name, f.declared, F.octet_length(quoted(f.name).cast("string")) > f.length))
     counts = df.agg(*(F.count_if(test).alias(f"r{i}") for i, (_, _, test) in enumerate(rules)))
     found = F.array(
@@ -475,19 +483,20 @@ def create_table(lake: Lake, contract: Contract, area: str = "dimlayer", buckets
     lake.create(contract.table, contract.schema, area=area, bucket_by=layout)
 
 
-def with_surrogate_keys(rows: DataFrame, name: str, last: int | Column = 0, key: str = "HSH_KEY", digits: int = 4) -> DataFrame:
-    """Number rows from ``last + 1`` in the order of their unique hash key, without one global sort.
+def with_surrogate_keys(rows: DataFrame, name: str, last: int | Column = 0, key: str = "HSH_KEY") -> DataFrame:
+    """Number rows from ``last + 1`` in the order of a key, NULL first, without one global sort.
 
-    The first hexadecimal digits of a hash split the rows evenly and keep their order. Rows are numbered
-    within such a part and start after the rows of earlier parts; there are ``16 ** digits`` parts at most.
+    Rows are dealt to tasks by ranges of the key and written with their place in the task; each range starts after
+    the rows of earlier ones. Equal and NULL keys are spread by the other columns, and every row gets a number.
     """
-    part = F.substring(quoted(key), 1, digits)
-    marked = rows.withColumn("__part", part)
+    tie = F.xxhash64(*map(quoted, rows.columns))
+    placed = rows.withColumn("__tie", tie).repartitionByRange(quoted(key).asc_nulls_first(), "__tie")
+    placed = placed.sortWithinPartitions(quoted(key).asc_nulls_first(), "__tie").withColumn("__id", F.monotonically_increasing_id())
+    placed = written(placed.drop("__tie"), "surrogate-keys").withColumn("__part", F.shiftright("__id", 33))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = marked.groupBy("__part").agg(F.count("*").alias("n"))
-    starts = starts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    position = F.row_number().over(Window.partitionBy("__part").orderBy(quoted(key)))
+    starts = placed.groupBy("__part").agg(F.count("*").alias("n"), F.min("__id").alias("__first"))
+    starts = starts.select("__part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
     base = last if isinstance(last, Column) else F.lit(last)
-    numbered = marked.withColumn("__position", position).join(F.broadcast(starts), "__part")
-    number = (base + F.col("__start") + F.col("__position")).cast("bigint")
-    return numbered.withColumn(name, number).drop("__part", "__position", "__start")
+    numbered = placed.join(F.broadcast(starts), "__part")  # a row per shuffle partition
+    number = (base + F.col("__id") + F.col("__shift") + 1).cast("bigint")
+    return numbered.withColumn(name, number).drop("__part", "__id", "__shift")

@@ -33,17 +33,35 @@ class CountMismatch(RuntimeError):
     pass
 
 
-def merge_history(lake: Lake, daily: str, history: str, area: str = "rawvault") -> dict[str, int]:
+class UnfinishedMerge(RuntimeError):
+    pass
+
+
+def merge_history(lake: Lake, daily: str, history: str, area: str = "rawvault", resume: bool = False) -> dict[str, int]:
     """Append a history table to its daily table, check the counts, then leave the history table empty.
 
-    Both tables are copied to ``<table>_bkp`` first. A count mismatch stops before anything is removed.
+    Both tables are copied to ``<table>_bkp`` first. A count mismatch stops before anything is removed. From the
+    first change on until the end, the table ``<daily>_merging`` marks the merge as unfinished: another call refuses, so
+    that nothing is added twice and the good copies stay, unless ``resume`` puts both tables back from their copies and
+    merges anew. With an empty history table nothing is done.
     """
-    lake.backup(daily, area)
-    lake.backup(history, area)
+    marker = f"{daily}_merging"
+    if lake.exists(marker, area):
+        if not resume:
+            raise UnfinishedMerge(f"a merge into {daily} did not finish; its tables are kept as {daily}_bkp and {history}_bkp")
+        for table in (daily, history):
+            lake.create_like(table, f"{table}_bkp", area)
+            lake.append(table, lake.read(f"{table}_bkp", area), area)
     before, added = lake.read(daily, area).count(), lake.read(history, area).count()
-    lake.append(daily, lake.read(history, area), area)
-    total = lake.read(daily, area).count()
-    if total != before + added:
-        raise CountMismatch(f"{daily}: {before} + {added} rows expected, {total} found")
-    lake.truncate(history, area)
-    return {"daily_count": before, "history_count": added, "total_count": total}
+    if added:
+        if not lake.exists(marker, area):
+            lake.backup(daily, area)
+            lake.backup(history, area)
+            lake.create(marker, "history string", area=area)
+        lake.append(daily, lake.read(history, area), area)
+        total = lake.read(daily, area).count()
+        if total != before + added:
+            raise CountMismatch(f"{daily}: {before} + {added} rows expected, {total} found")
+        lake.truncate(history, area)
+    lake.drop(marker, area)
+    return {"daily_count": before, "history_count": added, "total_count": before + added}

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from keystrata.functions.times import archive_folder
 from keystrata.operators.columns import Moment
-from keystrata.sources.files import FILE_PATH, csv_width, ledger, numbered_lines, parse_numbered, write_parquet
+from keystrata.sources.files import FILE_PATH, ledger, numbered_lines, parse_numbered, widest, write_parquet
 
 
 def staged_lines(spark: SparkSession, paths: str | Sequence[str], width: int | None = None) -> DataFrame:
-    """Text columns ``Prop_0..n`` where the last is the line number, and the file of each row."""
-    return parse_numbered(numbered_lines(spark, paths), width or csv_width(spark, paths))
+    """Text columns ``Prop_0..n`` where the last is the line number, and the file of each row.
+
+    There are as many fields as the widest line has, or ``width`` if that is more.
+    """
+    numbered = numbered_lines(spark, paths)
+    return parse_numbered(numbered, max(width or 1, widest(numbered)))
 
 
 def with_file_day(df: DataFrame, name: str = "file_day") -> DataFrame:

@@ -169,20 +169,21 @@ def satellite_rows(
     target: DataFrame,
     key: str | None = None,
     ignore: tuple[str, ...] = (),
-    partition: str | None = None,
+    partition: str | Mapping[str, str | None] | None = None,
     direct: bool = False,
 ) -> DataFrame:
     """Rows to append to a satellite.
 
     ``direct`` appends every distinct version of the batch. Otherwise versions equal to the current one are
-    left out; with ``partition`` a version is compared with all versions in the partitions the batch touches.
+    left out; with ``partition``, a column or columns with the format of text values, a version is compared with
+    all versions in the partitions the batch touches.
     """
     shape = SatelliteShape.of(target.schema, key)
     versions = satellite_versions(df, shape, ignore)
     if direct:
         return one_per_key(versions, [shape.key, shape.diff])
     if partition is None:
-        known = current_hashes(target, shape.key, shape.diff)
+        known = current_hashes(target, shape.key, shape.diff, of=versions)
     else:
         known = in_partitions(target, versions, partition)
     return new_versions(versions, known, shape.key, shape.diff)
@@ -197,7 +198,12 @@ def reference_rows(
 
 @dataclass
 class VaultFeed:
-    """One run of a feed against the vault of an environment. A repeated run adds nothing twice."""
+    """One run of a feed against the vault of an environment.
+
+    A repeated run adds nothing twice to hubs and links, nor to satellites that are compared with their current
+    version, as long as the batch holds one version of a key. Direct inserts (``DIRECTINSERT``, history feeds) append what they get, so a run
+    that is repeated appends it again.
+    """
 
     lake: Lake
     config: FeedConfig
@@ -302,14 +308,16 @@ class VaultFeed:
             self.lake.append(table, rows)
             self._finish(table)
 
-    def _partition(self, table: str) -> str | None:
-        """Partition column to compare within, when the feed asks for it and the table has it."""
+    def _partition(self, table: str) -> dict[str, str | None] | None:
+        """Partition columns to compare within and the formats of their values, when the feed asks for it.
+
+        All configured columns by which the table is partitioned count.
+        """
         wanted = self.config.nested("filter_on_partition_column")
         if not wanted:
             return None
-        names = {p["partition_column_name"].lower() for p in wanted["partition_config"]}
-        found = [c for c in self.lake.partition_columns(table) if c.lower() in names]
-        return found[-1] if found else None
+        formats = {p["partition_column_name"].lower(): p.get("partition_column_date_format") for p in wanted["partition_config"]}
+        return {c: formats[c.lower()] for c in self.lake.partition_columns(table) if c.lower() in formats} or None
 
     def load_reference(self, df: DataFrame) -> None:
         name = self.config.settings["Ref_Name"]

@@ -31,10 +31,13 @@ def read_csv_with_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_positional(spark: SparkSession, paths: str | Sequence[str], with_path: bool = True) -> DataFrame:
-    """Header-less CSV as text columns ``Prop_0..n``, with the file of each row."""
-    raw = spark.read.option("header", False).option("inferSchema", False).csv(paths)
-    named = raw.select(*(F.col(c).alias(n) for c, n in zip(raw.columns, positional_names(len(raw.columns)))), "_metadata")
-    return (named.withColumn(FILE_PATH, F.col("_metadata.file_path")) if with_path else named).drop("_metadata")
+    """Header-less CSV as text columns ``Prop_0..n``, with the file of each row.
+
+    There are as many columns as the widest line of all files has fields; shorter rows are filled with NULL.
+    """
+    schema = ", ".join(f"`{n}` string" for n in positional_names(csv_width(spark, paths)))
+    rows = spark.read.schema(schema).option("header", False).csv(paths)
+    return (rows.withColumn(FILE_PATH, F.col("_metadata.file_path")) if with_path else rows)
 
 
 def read_count_log(spark: SparkSession, path: str) -> DataFrame:
@@ -55,10 +58,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of text files as ``(value, _adfFilePath, line)`` with the 1-based line number in each file.
 
-    Files are split as usual, also a file that holds most of the data. A line's number is its position in
-    its split plus the lines in earlier splits of the file. The per-split totals (a row per split) are
-    written to the shared folder first; their known size lets Spark broadcast them when they are small and
-    join them by shuffle when they are not. Lines themselves are never shuffled to be counted.
+    Files are split as usual, also a file that holds most of the data. One pass writes every line with its split
+    and its place there to the shared folder; splits may be cut differently in another pass, so the lines in
+    earlier splits of a file are counted on that copy too. Their known size lets Spark broadcast these counts
+    (a row per split) when they are small and join them by shuffle when they are not. Lines themselves are never
+    shuffled to be counted.
     """
     lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
         "value",
@@ -67,6 +71,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         # Within a task the id counts rows, and a split is read by one task from its start to its end.
         F.monotonically_increasing_id().alias("__id"),
     )
+    lines = written(lines, "landed-lines")
     per_split = lines.groupBy(FILE_PATH, "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__lines"))
     earlier = Window.partitionBy(FILE_PATH).orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.select(
@@ -79,13 +84,30 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     )
 
 
+def field_count(line: str = "value"):
+    """Fields of a CSV line, or more: commas outside quoted fields, plus one; all commas where quotes are doubled."""
+    text = F.col(line)
+    quoted_away = F.regexp_replace(text, r'(^|,)\s*"(?:[^"\\]|\\.)*"', "$1")
+    counted = F.when(F.contains(text, F.lit('""')), text).otherwise(quoted_away)
+    return F.length(counted) - F.length(F.replace(counted, F.lit(","))) + 1
+
+
+def widest(lines: DataFrame) -> int:
+    """Fields of the widest line, 1 at least."""
+    return max(1, lines.agg(F.max(field_count())).first()[0] or 1)
+
+
 def csv_width(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """Number of fields in the first line."""
-    return len(spark.read.option("header", False).option("inferSchema", False).csv(paths).columns)
+    """Fields of the widest line of all files."""
+    return widest(spark.read.text([paths] if isinstance(paths, str) else list(paths)))
 
 
 def parse_numbered(numbered: DataFrame, width: int) -> DataFrame:
-    """Fields of each line as ``Prop_0..``, the line number as the last text column, then the file."""
+    """Fields of each line as ``Prop_0..``, the line number as the last text column, then the file.
+
+    Files of different widths get as many columns as the widest line of any needs; missing fields are NULL. A line
+    with more fields than ``width`` would lose some and must not come here: take `widest` of the lines.
+    """
     names = positional_names(width + 1)
     schema = ", ".join(f"`{n}` string" for n in names[:-1])
     fields = F.from_csv("value", F.lit(schema))

@@ -129,8 +129,18 @@ class Lake:
         self.spark.catalog.refreshTable(name)
 
     def truncate(self, table: str, area: str = "rawvault") -> None:
-        """Leave the table empty in a new folder; Spark does not truncate tables with a location of their own."""
-        self.create_like(table, table, area)
+        """Leave the table empty in a new folder; Spark does not truncate tables with a location of their own.
+
+        A plain table is pointed at the new folder. A partitioned or bucketed one is dropped and created again; its name
+        is missing for that moment.
+        """
+        if any(self.layout(table, area)):
+            self.create_like(table, table, area)
+        else:
+            self.swap(table, self.read(table, area).limit(0), area)
+
+    def drop(self, table: str, area: str = "rawvault") -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table, area)}")
 
     def create_like(self, table: str, model: str, area: str = "rawvault") -> None:
         """Create an empty table with the columns, partitions and buckets of another one, or of itself."""
@@ -153,11 +163,14 @@ class Lake:
     ) -> None:
         """Drop and recreate a table from a query, such as a JDBC scan.
 
-        The rows are written under another name first, so a failing query leaves the old table as it was.
+        The rows are written under another name first, so a failing query leaves the old table as it was. Between the
+        drop and the renaming the name is missing for a moment. Bucketed rows are brought to one task per bucket.
         """
         self.create_database(area)
         fresh, name = self.name(f"{table}__new", area), self.name(table, area)
         self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        if bucket_by:
+            rows = rows.repartition(bucket_by[0], *bucket_by[1])
         writer = rows.write.format("parquet").option("path", self._version(table, area))
         if bucket_by:
             writer = writer.bucketBy(bucket_by[0], *bucket_by[1])

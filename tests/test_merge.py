@@ -34,13 +34,35 @@ def test_new_versions_and_returning_values(spark):
     assert new_versions(again, loaded, "k", "d").count() == 0
 
 
-def test_in_partitions_by_list_and_by_join(spark):
-    schema = "k string, p timestamp_ntz"
-    target = spark.createDataFrame([("a", D(2024, 1, 1)), ("b", D(2024, 1, 2)), ("c", None)], schema)
-    source = spark.createDataFrame([("z", D(2024, 1, 1)), ("y", D(2024, 1, 1)), ("x", None)], schema)
-    for limit in (10_000, 0):
-        assert [r.k for r in in_partitions(target, source, "p", limit).collect()] == ["a"]
-    assert in_partitions(target, source.filter("k = 'x'"), "p").count() == 0
+def test_in_partitions(spark, plan_of):
+    target = spark.createDataFrame([("a", "p", 1), ("b", "q", 2), ("c", None, 3), ("d", "r", 4)], "k string, p string, q int")
+    source = spark.createDataFrame([("x", "p", 4), ("y", "zz", None), ("z", None, None)], "k string, p string, q int")
+    assert [r.k for r in in_partitions(target, source, "p").collect()] == ["a"]
+    assert sorted(r.k for r in in_partitions(target, source, {"p": None, "q": None}).collect()) == ["a", "d"]
+    assert in_partitions(target, source.filter("k = 'z'"), "p").count() == 0
+    assert in_partitions(target, source, "p").columns == target.columns
+
+
+def test_in_partitions_compares_instants_in_every_session_zone(spark):
+    """Two instants an hour apart in the autumn clock change have the same text."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Australia/Melbourne"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            hours = spark.range(3).selectExpr("id", "timestamp_seconds(1712415600 + 3600 * id) as p")
+            assert sorted(r.id for r in in_partitions(hours, hours.filter("id < 2"), "p").collect()) == [0, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_in_partitions_prunes_and_reads_formats(spark, lake, plan_of):
+    lake.create("SAT", "k string, day date", ["day"])
+    lake.append("SAT", spark.sql("select 'k' || d as k, date'2024-01-01' + int(d) as day from (select id as d from range(20))"))
+    source = spark.createDataFrame([("02/01/2024",), ("03/01/2024",), ("no date",)], "day string")
+    found = in_partitions(lake.read("SAT"), source, {"day": "dd/MM/yyyy"})
+    assert sorted(r.k for r in found.collect()) == ["k1", "k2"]
+    plan = plan_of(found)
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-02" in plan and "2024-01-03" in plan
 
 
 def test_partition_list_prunes_the_scan(spark, lake, plan_of):

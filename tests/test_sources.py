@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from keystrata.operators.counts import count_as, count_by, extend_log, reconcile
 from keystrata.plans.calendar import DELIVERY_TABLE, WEEK_TABLE, load_calendar
-from keystrata.plans.history import CountMismatch, direct_insert, merge_history
+from keystrata.plans.history import CountMismatch, UnfinishedMerge, direct_insert, merge_history
 from keystrata.plans.landing import land, staged_lines
 from keystrata.session import shared_folder
 from keystrata.sources import files as S
@@ -40,6 +40,31 @@ def test_numbering_does_not_shuffle_lines(spark, tmp_path, plan_of):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_numbers_hold_when_splits_change_after_building(spark, tmp_path):
+    (tmp_path / "a").write_text("".join(f"{i + 1}\n" for i in range(60_000)))
+    (tmp_path / "b").write_text("".join(f"{i + 1}\n" for i in range(9)))
+    key = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        for first, then in (("4", "8"), ("8", "4"), ("4", "6")):
+            spark.conf.set(key, first)
+            numbered = S.numbered_lines(spark, str(tmp_path))
+            spark.conf.set(key, then)
+            assert numbered.count() == 60_009
+            assert numbered.filter("int(value) <> line").count() == 0
+    finally:
+        spark.conf.unset(key)
+
+
+def test_files_of_different_widths_keep_all_fields(spark, tmp_path):
+    (tmp_path / "a").write_text("1,a\n2,b\n")
+    (tmp_path / "b").write_text('3,"c, d",KEEP\n4\n5,"e, f",g,h\n')
+    staged = staged_lines(spark, str(tmp_path))
+    assert staged.columns == ["Prop_0", "Prop_1", "Prop_2", "Prop_3", "Prop_4", "_adfFilePath"]
+    got = {r.Prop_0: (r.Prop_2, r.Prop_3, r.Prop_4) for r in staged.collect()}
+    assert got == {"1": (None, None, "1"), "2": (None, None, "2"), "3": ("KEEP", None, "1"), "4": (None, None, "2"), "5": ("g", "h", "3")}
+    assert {r.Prop_0: r.Prop_2 for r in S.read_csv_positional(spark, str(tmp_path)).collect()}["3"] == "KEEP"
+
+
 def test_landing_writes_and_counts(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
@@ -134,6 +159,23 @@ def test_history_merge(spark, lake):
     assert lake.read("SAT").count() == 7 and lake.read("SAT_HIST").count() == 0 and lake.read("SAT_HIST_bkp").count() == 4
 
 
+def test_a_broken_history_merge_is_refused_and_resumed(spark, lake, monkeypatch):
+    for name, n in (("SAT", 3), ("SAT_HIST", 4)):
+        lake.create(name, "id bigint")
+        lake.append(name, spark.range(n))
+    truncate = type(lake).truncate
+    monkeypatch.setattr(type(lake), "truncate", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        merge_history(lake, "SAT", "SAT_HIST")
+    monkeypatch.setattr(type(lake), "truncate", truncate)
+    with pytest.raises(UnfinishedMerge):
+        merge_history(lake, "SAT", "SAT_HIST")
+    assert lake.read("SAT_bkp").count() == 3
+    assert merge_history(lake, "SAT", "SAT_HIST", resume=True)["total_count"] == 7
+    assert merge_history(lake, "SAT", "SAT_HIST") == {"daily_count": 7, "history_count": 0, "total_count": 7}
+    assert lake.read("SAT").count() == 7 and lake.read("SAT_bkp").count() == 3 and lake.read("SAT_HIST").count() == 0
+
+
 def test_history_merge_stops_on_a_count_mismatch(spark, lake, monkeypatch):
     for name in ("SAT", "SAT_HIST"):
         lake.create(name, "id bigint")

@@ -97,7 +97,7 @@ def test_conform_and_violations(spark):
         "NMI string, INSTALLED_ON_DT string, CURRENT_RECORD_FLAG string, ROW_EFFECTIVE_DTM string, HSH_KEY string",
     )
     good, bad = conform(df, contract).collect()
-    assert (good.INSTALLED_ON_DT, good.ROW_EFFECTIVE_DTM) == (dt.date(2024, 1, 2), D(2024, 1, 2, 3, 4, 5))
+    assert (good.INSTALLED_ON_DT, good.ROW_EFFECTIVE_DTM) == (dt.date(2024, 1, 2), D(2024, 1, 2, 3, 4, 6))
     assert (bad.INSTALLED_ON_DT, bad.ROW_EFFECTIVE_DTM) == (None, None)
     found = {(r.column_name, r.rule): r.row_count for r in violations(conform(df, contract), contract).collect()}
     assert found == {
@@ -109,10 +109,24 @@ def test_conform_and_violations(spark):
 
 def test_surrogate_keys(spark):
     rows = spark.range(2000).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("HSH_KEY"))
-    numbered = with_surrogate_keys(rows, "SK", last=10, digits=2).orderBy("SK").collect()
+    numbered = with_surrogate_keys(rows, "SK", last=10).orderBy("SK").collect()
     assert [r.SK for r in numbered] == list(range(11, 2011))
     assert [r.HSH_KEY for r in numbered] == sorted(r.HSH_KEY for r in numbered)
 
 
+def test_surrogate_keys_with_null_and_equal_keys(spark):
+    rows = spark.range(1000).selectExpr("id", "case when id % 3 = 0 then null when id % 3 = 1 then '' else sha1(string(id)) end as HSH_KEY")
+    numbered = with_surrogate_keys(rows.repartition(5), "SK").orderBy("SK").collect()
+    assert [r.SK for r in numbered] == list(range(1, 1001))
+    assert [r.HSH_KEY for r in numbered] == sorted((r.HSH_KEY for r in numbered), key=lambda k: (k is not None, k or ""))
+    assert with_surrogate_keys(rows.limit(0), "SK").collect() == []
+
+
+def test_what_cannot_be_converted_is_reported(spark):
+    df = spark.createDataFrame([("2024-01-02",), ("not a date",), (None,)], "INSTALLED_ON_DT string")
+    found = {(r.column_name, r.rule): r.row_count for r in violations(df, CONTRACTS["DIM_CONNECTION_POINT_DEVICE"]).collect()}
+    assert found[("INSTALLED_ON_DT", "not convertible")] == 1
+
+
 def test_view_names_are_complete():
     assert len(VIEWS) == 9
