@@ -105,15 +105,11 @@ class Automaton:
 
     @property
     def start(self) -> int:
-        """The state behind a word end, in which every text starts."""
-        best = b""
-        for k in range(1, ORDER):
-            best = bytes([WORD_END]) * k if bytes([WORD_END]) * k in self._known else best
-        return self.contexts.index(best)
-
-    @property
-    def _known(self) -> set[bytes]:
-        return set(self.contexts)
+        """The state behind word ends, in which every text starts."""
+        state = 0
+        for _ in range(ORDER - 1):
+            state = int(self.follow[state, self.symbol_of[WORD_END]])
+        return state
 
     def score(self, symbols: np.ndarray, offsets: np.ndarray, start: int) -> np.ndarray:
         """log10 probability of each text.
@@ -168,58 +164,61 @@ def train(texts: DataFrame, text_column: str = "text") -> Automaton:
     return Automaton.of_counts(found)
 
 
-def _words(batches: pa.Table) -> pa.Table:
+def _block_words(table: pa.Table) -> tuple[list[pa.RecordBatch], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Slices of a block, the word hashes of each, and the block's distinct hashes with their numbers in training texts."""
+    parts = list(text_slices(iter(table.combine_chunks().to_batches()), "text"))
+    hashes, unique, counts = [], [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for part in parts:
+        words = Words(*utf8(part.column("text")))
+        hashes.append(words.hashes)
+        trained = np.asarray(part.column("trains"))[words.text_of]
+        found, inverse = np.unique(hashes[-1], return_inverse=True)
+        unique.append(found)
+        counts.append(np.bincount(inverse, weights=trained, minlength=len(found)))
+    merged, inverse = np.unique(np.concatenate(unique), return_inverse=True)
+    return parts, hashes, merged, np.bincount(inverse, weights=np.concatenate(counts), minlength=len(merged)).astype(np.int64)
+
+
+def _words(table: pa.Table) -> pa.Table:
     """The distinct words of a block: hash and how often its training texts have them."""
-    table = batches.combine_chunks()
-    words = Words(*utf8(table.column("text").combine_chunks()))
-    trained = np.asarray(table.column("trains"))[words.text_of]
-    unique, inverse = np.unique(words.hashes, return_inverse=True)
-    n = np.bincount(inverse, weights=trained, minlength=len(unique)).astype(np.int64)
-    block = table.column("block")[0].as_py() if table.num_rows else 0
-    return pa.table({"word": unique.view(np.int64), "n": n, "block": np.full(len(unique), block, np.int64)})
+    _, _, unique, n = _block_words(table)
+    return pa.table({"word": unique.view(np.int64), "n": n, "block": np.full(len(unique), table.column("block")[0].as_py(), np.int64)})
 
 
 def _block_scores(automaton):
     def work(key, texts: pa.Table, counts: pa.Table) -> pa.Table:
-        texts = texts.combine_chunks()
-        known_words = counts.column("word").to_numpy().view(np.uint64)
-        by = np.argsort(known_words)
-        known_words, known_counts = known_words[by], counts.column("c").to_numpy()[by]
-        leads = int(np.count_nonzero(counts.column("leads").to_numpy() & (counts.column("c").to_numpy() > 0)))
+        corpus = counts.column("c").to_numpy()
+        sent_words = counts.column("word").to_numpy().view(np.uint64)
+        leads = int(np.count_nonzero(counts.column("leads").to_numpy() & (corpus > 0)))
         model = automaton.value
         start = model.start
-        trains = np.asarray(texts.column("trains"))
-        data, offsets = utf8(texts.column("text").combine_chunks())
-        words = Words(data, offsets)
-        unique, inverse = np.unique(words.hashes, return_inverse=True)
-        c = np.bincount(inverse, weights=trains[words.text_of], minlength=len(unique))
+        parts, hashes, unique, c = _block_words(texts)
         # Words of this block alone were not sent back: their counts here are all there are.
-        place = np.minimum(np.searchsorted(known_words, unique), max(len(known_words) - 1, 0))
-        sent = known_words[place] == unique if len(known_words) else np.zeros(len(unique), bool)
-        own = int(np.count_nonzero(~sent & (c > 0)))
-        c = np.where(sent, known_counts[place], c) if len(known_words) else c
-        each = c[inverse]
-        m = texts.num_rows
-        logs = np.bincount(words.text_of, weights=np.log10(each + _ADD), minlength=m).astype(np.float64)  # whole numbers without words
-        known = np.bincount(words.text_of, weights=each > 0, minlength=m).astype(np.int64)
-        scores = []
-        for a in range(0, m, 512):
-            b = min(m, a + 512)
-            part = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            scores.append(model.score(*spelled(part), start))
-        first = np.arange(m) == 0
-        return pa.table(
-            {
-                "id": texts.column("id"),
-                "trains": texts.column("trains"),
-                "n_words": words.per_text,
-                "known_words": known,
-                "logs": logs,
-                "score": np.concatenate(scores),
-                "train_words": np.where(trains, words.per_text, 0),
-                "new_words": np.where(first, own + leads, 0),
-            }
-        )
+        sent = np.searchsorted(unique, sent_words)
+        alone = np.ones(len(unique), bool)
+        alone[sent] = False
+        own = int(np.count_nonzero(alone & (c > 0)))
+        c[sent] = corpus
+        out = []
+        for part, h in zip(parts, hashes):
+            words = Words(*utf8(part.column("text")))
+            each = c[np.searchsorted(unique, h)]
+            m, trains = part.num_rows, np.asarray(part.column("trains"))
+            out.append(
+                pa.table(
+                    {
+                        "id": part.column("id"),
+                        "trains": part.column("trains"),
+                        "n_words": words.per_text,
+                        "known_words": np.bincount(words.text_of, weights=each > 0, minlength=m).astype(np.int64),
+                        "logs": np.bincount(words.text_of, weights=np.log10(each + _ADD), minlength=m).astype(np.float64),
+                        "score": model.score(*spelled(words), start),
+                        "train_words": np.where(trains, words.per_text, 0),
+                        "new_words": np.where((np.arange(m) == 0) & (not out), own + leads, 0),
+                    }
+                )
+            )
+        return pa.concat_tables(out)
 
     return work
 

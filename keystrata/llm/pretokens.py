@@ -39,7 +39,7 @@ def _power(n: int) -> list[np.ndarray]:
     """Powers 0..n of the base and of its inverse, modulo 2 ** 64."""
     if len(_powers[0]) <= n:
         for k, base in enumerate((_BASE, _INVERSE)):
-            whole = np.full(2 * n + 1, base, np.uint64)
+            whole = np.full((n // (1 << 18) + 1) << 18, base, np.uint64)
             whole[0] = 1
             _powers[k] = np.multiply.accumulate(whole)
     return _powers
