@@ -112,7 +112,7 @@ class ByteCNN:
 
     def log_probabilities(self, x: np.ndarray, tables: dict[int, list[np.ndarray]]) -> np.ndarray:
         out = np.empty((len(x), len(self.languages)), np.float32)
-        for a in range(0, len(x), _TOGETHER):
+        for a in range(0, len(x) if self.languages else 0, _TOGETHER):
             part = x[a : a + _TOGETHER]
             pairs = part[:, :-1] * 256 + part[:, 1:]
             pooled = []
