@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +20,18 @@ from keystrata.llm.topk import top_k
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def _importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package, wherever the driver was started."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, *paths]))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -130,6 +141,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    _importable(spark)
     return corpus_pipeline.run(spark, folder)
 
 
