@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from keystrata.catalogue.registry import query, sql_hash_key, sql_hash_raw, sql_number_text, table
 from keystrata.functions.geo import NETWORK_GRID, st_x, st_y
 from keystrata.functions.hashing import hash_diff, hash_key, hash_raw, satellite_diff_columns, with_warehouse_hashes
-from keystrata.functions.registry import register_functions
+from keystrata.functions.registry import register_business_days, register_functions
 from keystrata.functions.text import count_substring
 from keystrata.functions.times import (
     BUSINESS_DATE_FORMATS,
@@ -158,6 +158,17 @@ def st_xy(spark: SparkSession, sf: str) -> DataFrame:
     return points.select("c_custkey", F.round(st_x("x", "y"), 7).alias("lon"), F.round(st_y("x", "y"), 7).alias("lat"))
 
 
+@query(_projection_sql())
+def st_xy_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same projection by the functions' SQL names."""
+    register_functions(spark)
+    table(spark, sf, "customer").createOrReplaceTempView("st_xy_customers")
+    return spark.sql(
+        """select c_custkey, round(st_x(x, y), 7) as lon, round(st_y(x, y), 7) as lat from (
+             select c_custkey, 1e9 + c_acctbal * 20000 - 1e8 as x, 1e9 - c_nationkey * 1e7 as y from st_xy_customers)"""
+    )
+
+
 _NAME_SQL = "'FEED.D' || strftime(o_orderdate, '%Y%j') || '.T' || o_orderkey"
 
 
@@ -239,3 +250,23 @@ def business_days(spark: SparkSession, sf: str) -> DataFrame:
     )
     dated = lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
     return with_business_days(dated, "order_date", "ship_date", calendar).drop("order_date")
+
+
+@query(
+    """
+    with cal as (select distinct cast(o_orderdate as date) as d from orders where isodow(o_orderdate) < 6),
+    spans as (select c_mktsegment, min(cast(o_orderdate as date)) as a, max(cast(o_orderdate as date)) - 90 as b
+              from orders join customer on c_custkey = o_custkey group by 1)
+    select c_mktsegment, a as first_day, b as last_day, (select count(*) from cal where d between a and b) as businessdays from spans
+    """
+)
+def business_days_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function by its SQL name, for one span of days per segment."""
+    orders = table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    calendar = orders.select(F.col("day").alias("DT_CAL_DATE"), date_key(F.col("day")).alias("DT_DATE_KEY"), (F.weekday("day") < 5).cast("int").alias("VIC_BD_IND"))
+    calendar.createOrReplaceTempView("business_days_calendar")
+    register_business_days(spark, "business_days_calendar")
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    spans = orders.join(customers, "o_custkey").groupBy("c_mktsegment").agg(F.min("day").alias("first_day"), F.date_sub(F.max("day"), 90).alias("last_day"))
+    spans.createOrReplaceTempView("business_days_spans")
+    return spark.sql("select s.*, f.businessdays from business_days_spans s, lateral fn_get_business_days(first_day, last_day) f")

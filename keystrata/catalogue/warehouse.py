@@ -161,3 +161,69 @@ def surrogate_keys_repeated(spark: SparkSession, sf: str) -> DataFrame:
     key = F.nullif(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")), F.lit("MACHINERY"))
     numbered = with_surrogate_keys(table(spark, sf, "customer").select("c_custkey", key.alias("HSH_KEY")), "sk", last=7)
     return numbered.groupBy("HSH_KEY").agg(F.count("*").alias("rows_numbered"), F.min("sk").alias("first_sk"), F.max("sk").alias("last_sk"))
+
+
+@query(
+    """select s_suppkey, 'im' || 'x' || '/ext/SAT_SUPPLIER' as place, s_name, cast(s_acctbal as double) as s_acctbal from supplier"""
+)
+def external_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A table with a base folder of its own, exported for readers outside Spark and read back as plain files."""
+    base, folder = shared_folder(spark, "elsewhere"), f"{shared_folder(spark, 'external')}/imx/ext/SAT_SUPPLIER"
+    lake = Lake(spark, f"q{uuid.uuid4().hex[:12]}", shared_folder(spark, "lake"), {"SAT_SUPPLIER": f"{base}/"})
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").cast("double").alias("s_acctbal"))
+    lake.create("SAT_SUPPLIER", rows.schema)
+    lake.append("SAT_SUPPLIER", rows)
+    assert all(base.split(":")[-1] in f for f in lake.read("SAT_SUPPLIER").inputFiles())
+    lake.export("SAT_SUPPLIER", folder)
+    place = F.regexp_extract(F.input_file_name(), "(imx/ext/[^/]+)/", 1)
+    return spark.read.parquet(folder).select("s_suppkey", place.alias("place"), "s_name", "s_acctbal")
+
+
+def _dimension_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers under names that several dimensions share."""
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("NMI"),
+        F.col("s_name").alias("SERIAL_NUMBER"),
+        F.lit("Y").alias("CURRENT_RECORD_FLAG"),
+        F.lit("2024-01-31 10:11:12").alias("ROW_EFFECTIVE_DTM"),
+        hash_key(["s_suppkey"]).alias("HSH_KEY"),
+        hash_key(["s_name"]).alias("HSH_DIFF"),
+    )
+
+
+#: Of each dimension: columns that the stage gives, and how many columns the contract declares (fixed values).
+_DIMENSIONS = ("DIM_CONNECTION_POINT_DEVICE", "DIM_METER", "DIM_CONNECTION_POINT", "DIM_MESH_NETWORK_DEVICE", "DIM_METER_CONFIG")
+_GIVEN = {
+    "NMI": "cast(s_suppkey as varchar)",
+    "SERIAL_NUMBER": "s_name",
+    "CURRENT_RECORD_FLAG": "'Y'",
+    "ROW_EFFECTIVE_DTM": "'2024-01-31 10:11:12'",
+    "HSH_KEY": sql_hash_key("s_suppkey"),
+    "HSH_DIFF": sql_hash_key("s_name"),
+}
+
+
+def _dimension_rows(name: str):
+    given = [c for c in (f.name for f in CONTRACTS[name].fields) if c in _GIVEN]
+    values = " union all ".join(f"select s_suppkey, '{c}' as column_name, {_GIVEN[c]} as value from supplier" for c in given)
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """Conformed rows, written to the created table and read back, one row per given value."""
+        contract = CONTRACTS[name]
+        lake = Lake(spark, f"q{uuid.uuid4().hex[:12]}", shared_folder(spark, "lake"))
+        create_table(lake, contract)
+        lake.append(name, conform(with_surrogate_keys(_dimension_stage(spark, sf), contract.identity or "SK"), contract), "dimlayer")
+        rows = lake.read(name, "dimlayer")
+        empty = [c for c in rows.columns if c not in _GIVEN and c != contract.identity]
+        assert rows.columns == [f.name for f in contract.fields]
+        keys = table(spark, sf, "supplier").select("s_suppkey", hash_key(["s_suppkey"]).alias("HSH_KEY"))
+        pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in given))
+        kept = rows.filter(F.concat_ws("", *(F.col(c).cast("string") for c in empty)) == "") if empty else rows
+        return kept.select("HSH_KEY", F.explode(pairs).alias("p")).join(keys, "HSH_KEY").select("s_suppkey", "p.column_name", "p.value")
+
+    run.__name__ = f"conform_{name.lower()}"
+    return query(values)(run)
+
+
+for _name in _DIMENSIONS:
+    _dimension_rows(_name)
