@@ -108,15 +108,29 @@ def is_number_target(target_type: T.DataType | str) -> bool:
     return "decimal" in name or "double" in name
 
 
+def instant_text(column: Column) -> Column:
+    """Text of an instant in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(column).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return (F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)).cast("string")
+
+
+def change_text(column: Column, source_type: T.DataType | None) -> Column:
+    return F.coalesce(instant_text(column), F.lit("")) if isinstance(source_type, T.TimestampType) else key_text(column)
+
+
 def hash_diff(
     columns: Sequence[str],
     target_types: Mapping[str, T.DataType | str],
     source_types: Mapping[str, T.DataType] | None = None,
 ) -> Column:
-    """Satellite change hash; the *target* type of a column decides whether it is a number."""
+    """Satellite change hash; the *target* type of a column decides whether it is a number.
+
+    With ``source_types`` a column of instants (``timestamp``) is hashed as its text in UTC, so that another session zone
+    does not make every version look changed. Hash keys are text as it is; name instants there in a fixed form.
+    """
     source_types = source_types or {}
     return _sha1_of(
-        number_text(quoted(c), source_types.get(c)) if is_number_target(target_types[c]) else key_text(quoted(c))
+        number_text(quoted(c), source_types.get(c)) if is_number_target(target_types[c]) else change_text(quoted(c), source_types.get(c))
         for c in columns
     )
 

@@ -86,3 +86,20 @@ def test_warehouse_hashes(spark):
     assert (row.HSH_KEY, row.HSH_DIFF) == (sha("k:"), sha("k: v:"))
     assert H.with_warehouse_hashes(df, "").head().HSH_KEY == ""
     assert H.key_list(" a, b ,") == ["a", "b"] and H.key_list(None) == []
+
+
+def test_instants_hash_alike_in_every_session_zone(spark):
+    from pyspark.sql import types as T
+
+    before, found = spark.conf.get("spark.sql.session.timeZone"), {}
+    try:
+        for zone in ("UTC", "Australia/Melbourne", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.sql("select timestamp_micros(1712415600000000 + 3600000000 * id + 500000 * (id % 2)) as t from range(4) union all select cast(null as timestamp)")
+            with_types = df.select(H.hash_diff(["t"], {"t": "timestamp"}, {"t": T.TimestampType()}).alias("h"))
+            found[zone] = [r.h for r in with_types.collect()]
+            if zone == "UTC":
+                assert found[zone] == [r.h for r in df.select(H.hash_diff(["t"], {"t": "timestamp"}).alias("h")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found["UTC"] == found["Australia/Melbourne"] == found["America/New_York"] and len(set(found["UTC"])) == 5
