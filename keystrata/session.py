@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/keystrata/{name}-{uuid.uuid4().hex}"
