@@ -6,8 +6,9 @@ which the rare shingles, plus the frequent ones less one, outnumber the shingles
 shingle or a pair of frequent ones in common. So rare shingles are indexed alone and frequent ones by pairs.
 
 Sets that meet in the index are compared by their sizes and by 1024 parity bits, which bound the difference of two
-sets from below. What is left is verified on whole texts: first one spanning forest of each meeting, and then, where
-that left sets apart, every pair that lies between different components.
+sets from below, and pair by pair by as many parity bits as the sets need. What is left is verified on whole texts:
+first one pair of a spanning forest for each set, and then, where that left sets apart, every pair that lies between
+different components.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from keystrata.llm.batches import text_slices, utf8
 from keystrata.llm.components import components
@@ -83,6 +86,7 @@ def _sets(k: int, part: float, lack: tuple[int, int]):
             cells = s.owner * SKETCH_BITS + (s.hashes & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
             odd = (np.bincount(cells, minlength=len(s.sizes) * SKETCH_BITS) & 1).astype(np.uint8).reshape(-1, SKETCH_BITS)
             bits = np.packbits(odd, axis=1)
+            wide = [_wide(s.hashes[a:b]) for a, b in zip(s.bounds, s.bounds[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -92,13 +96,41 @@ def _sets(k: int, part: float, lack: tuple[int, int]):
                     pa.array(_sums(mixed(s.hashes ^ np.uint64(0x14057B7EF767814F)), s.owner, s.bounds)),
                     pa.array([s.hashes[a : a + m].tobytes() for a, m in zip(s.bounds, need)], pa.binary()),
                     pa.array([row.tobytes() for row in bits], pa.binary()),
+                    pa.array(wide, pa.binary()),
                 ],
-                names=["id", "h", "n", "f1", "f2", "order", "bits"],
+                names=["id", "h", "n", "f1", "f2", "order", "bits", "wide"],
             )
 
     return work
 
 
+def _wide(hashes: np.ndarray) -> bytes:
+    """Parity bits of a set, 1 to 2 for each of its shingles."""
+    size = max(64, 1 << (len(hashes) - 1).bit_length()) if len(hashes) else 64
+    return np.packbits(np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _narrowed(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parity bits as if the set had been given only so many bytes of them."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _plausible(above: tuple[int, int]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, m, n in zip(*(batch.column(c).to_pylist() for c in ("wide_a", "wide_b", "n_a", "n_b"))):
+                size = min(len(x), len(y))
+                differ = int(np.bitwise_count(_narrowed(np.frombuffer(x, np.uint8), size) ^ _narrowed(np.frombuffer(y, np.uint8), size)).sum())
+                keep.append(differ * (above[1] + above[0]) <= (above[1] - above[0]) * (m + n))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return work
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = utf8(batch.column("order"))
     return np.frombuffer(raw.tobytes(), np.uint64), offsets // 8
@@ -149,11 +181,9 @@ def _index(frequent, part: float, lack: tuple[int, int]):
                     blocks.append(low << 31 | high)
             if not rows:
                 continue
-            taken = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(signatures).view(np.int64)), pa.array(np.concatenate(blocks))] + [batch.column(c).take(taken) for c in ("s", "n", "bits", "c")],
-                names=["signature", "block", "s", "n", "bits", "c"],
-            )
+            owner = batch.column("s").take(pa.array(np.concatenate(rows)))
+            columns = [pa.array(np.concatenate(signatures).view(np.int64)), pa.array(np.concatenate(blocks)), owner]
+            yield pa.RecordBatch.from_arrays(columns, names=["signature", "block", "s"])
 
     return work
 
@@ -230,17 +260,28 @@ def _and_end(batches):
     yield None
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3)
+    for part in text_slices(batches, "text"):
+        texts = [pack.compress(t.as_buffer()) for t in part.column("text").cast(pa.large_binary())]
+        yield pa.RecordBatch.from_arrays([part.column("s"), pa.array(texts, pa.binary())], names=["s", "z"])
+
+
 def _verified(k: int, above: tuple[int, int]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in text_slices(iter([whole]), "text_a"):
-                x, y = (Shingles(*utf8(batch.column(c)), k) for c in ("text_a", "text_b"))
-                similar = []
-                for i in range(batch.num_rows):
-                    a, b = (t.hashes[t.bounds[i] : t.bounds[i + 1]] for t in (x, y))
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    similar.append(above[1] * both >= above[0] * (len(a) + len(b) - both))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], names=["a", "b", "similar"])
+        unpack = zstandard.ZstdDecompressor()
+
+        def shingles(z: pa.Scalar) -> np.ndarray:
+            text = np.frombuffer(unpack.decompress(z.as_buffer()), np.uint8)
+            return Shingles(text, np.array([0, len(text)]), k).hashes
+
+        for batch in batches:
+            similar = []
+            for x, y in zip(batch.column("z_a"), batch.column("z_b")):
+                a, b = shingles(x), shingles(y)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                similar.append(above[1] * both >= above[0] * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], names=["a", "b", "similar"])
 
     return work
 
@@ -266,14 +307,14 @@ def ngram_join(
     part = min(1.0, 1.6 * lack[0] / lack[1])
     kind = docs.schema[id_column].dataType.simpleString()
     given = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")).withColumn("h", F.md5("text"))
-    rows = given.select("id", "h", "text").mapInArrow(_sets(k, part, lack), f"id {kind}, h string, n long, f1 long, f2 long, order binary, bits binary")
+    rows = given.select("id", "h", "text").mapInArrow(_sets(k, part, lack), f"id {kind}, h string, n long, f1 long, f2 long, order binary, bits binary, wide binary")
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "ngram-join-sets")
 
     # Rows with equal sets are one set from here on, known by the smallest row number.
     sets = rows.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("row").alias("s"))
     members = written(rows.select("row", "id", "n", "f1", "f2").join(sets, ["n", "f1", "f2"], "left").select("row", "id", "n", "s"), "ngram-join-members")
     first = members.filter("row = s").select("s")
-    alone = written(rows.select(F.col("row").alias("s"), "h", "n", "order", "bits").join(first, "s", "left_semi"), "ngram-join-distinct")
+    alone = written(rows.select(F.col("row").alias("s"), "h", "n", "order", "bits", "wide").join(first, "s", "left_semi"), "ngram-join-distinct")
 
     spark = docs.sparkSession
     counted = written(alone.select("order").mapInArrow(_counted(part), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(f"n >= {int(frequent_from)}"), "ngram-join-frequent")
@@ -283,30 +324,42 @@ def ngram_join(
     by = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[by], held[by]))
 
-    def meet(labelled: DataFrame, forest: bool) -> DataFrame:
-        signatures = labelled.select("s", "n", "order", "bits", "c").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long, n long, bits binary, c long")
-        near = signatures.repartition("signature", "block").sortWithinPartitions("signature", "block")
-        return near.mapInArrow(_meetings(above, forest), "a long, b long").distinct()
-
-    def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        side = lambda c: texts.select(F.col("s").alias(c), F.col("text").alias(f"text_{c}"))
+    # Most shingles are in one set alone: only meetings of two sets or more go on.
+    met = Window.partitionBy("signature", "block")
+    index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long")
+    index = written(index.withColumn("m", F.count(F.lit(1)).over(met)).filter("m > 1").drop("m"), "ngram-join-index")
+
+    def meet(labels: DataFrame | None) -> DataFrame:
+        """Pairs that may be similar: a forest of each meeting, or with labels all pairs between different ones."""
+        rows = index.withColumn("c", F.col("s"))
+        if labels is not None:
+            rows = index.join(labels, "s", "left").withColumn("c", F.coalesce("c", "s"))
+            rows = rows.withColumn("apart", F.min("c").over(met) != F.max("c").over(met)).filter("apart").drop("apart")
+        near = rows.join(alone.select("s", "n", "bits"), "s").repartition("signature", "block").sortWithinPartitions("signature", "block")
+        return written(near.mapInArrow(_meetings(above, labels is None), "a long, b long").distinct(), "ngram-join-pairs")
+
+    def plausible(pairs: DataFrame) -> DataFrame:
+        side = lambda c: alone.select(F.col("s").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(above), "a long, b long")
+
+    forest = meet(None)
+    # Every set with any pair is in the forest, so texts are fetched once, for both rounds.
+    wanted = written(alone.select("s", "h").join(forest.select(F.explode(F.array("a", "b")).alias("s")).distinct(), "s"), "ngram-join-wanted")
+    # Equal texts would give one row each; any of them serves.
+    texts = given.select("h", "text").join(wanted, "h").groupBy("s").agg(F.min("text").alias("text"))
+    texts = written(texts.mapInArrow(_packed, "s long, z binary"), "ngram-join-texts")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        side = lambda c: texts.select(F.col("s").alias(c), F.col("z").alias(f"z_{c}"))
         return written(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(k, above), "a long, b long, similar boolean"), "ngram-join-verified")
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-        wanted = written(alone.select("s", "h").join(needed, "s"), "ngram-join-wanted")
-        found = given.select("h", "text").join(wanted, "h")
-        # Equal texts would give one row each; their sets are equal, so any of them serves.
-        return written(found.groupBy("s").agg(F.min("text").alias("text")), "ngram-join-texts")
-
-    forest = written(meet(alone.withColumn("c", F.col("s")), True), "ngram-join-forest")
-    checked = verify(forest, texts_of(forest))
-    joined = components(checked.filter("similar"))
-    if not checked.filter("not similar").isEmpty():
-        # Not all of the forest held: compare what may be similar and is still apart.
-        apart = alone.join(joined.select(F.col("node").alias("s"), "component"), "s", "left").withColumn("c", F.coalesce("component", "s"))
-        more = written(meet(apart, False).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
-        joined = components(checked.filter("similar").select("a", "b").union(verify(more, texts_of(more)).filter("similar").select("a", "b")))
+    checked = verify(written(plausible(forest).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-join-forest"))
+    labels = written(components(checked.filter("similar")), "ngram-join-labels")
+    apart = meet(labels.select(F.col("node").alias("s"), F.col("component").alias("c")))
+    more = written(plausible(apart).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
+    joined = labels
+    if not more.isEmpty():
+        joined = components(checked.filter("similar").select("a", "b").union(verify(more).filter("similar").select("a", "b")))
     classes = members.join(joined.select(F.col("node").alias("s"), "component"), "s", "left")
     classes = written(classes.select("id", "n", F.coalesce("component", "s").alias("c"), "row"), "ngram-join-classes")
     smallest = classes.filter("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))
