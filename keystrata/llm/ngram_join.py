@@ -29,6 +29,7 @@ from keystrata.session import written
 
 SKETCH_BITS = 1024
 FREQUENT = 1000  # sets that hold a shingle, from which on it is frequent; raised so that at most 2 ** 20 are
+MARKS = 1 << 26  # bits by which texts are sorted out before they are moved: 8 MB
 MEETING = 4096  # sets that are compared in one place
 _MULTIPLIERS = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
 
@@ -286,6 +287,19 @@ def _verified(k: int, above: tuple[int, int]):
     return work
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose hash falls on a bit that a wanted one sets, so that few others are moved for the join.
+
+    The bits are a table of at most MARKS / 32,768 rows of 4 kB, whatever the input; more wanted texts let more others by.
+    """
+    mark = F.pmod(F.xxhash64("h"), F.lit(MARKS))
+    bits = wanted.select(F.bitmap_bucket_number(mark).alias("bucket"), F.bitmap_bit_position(mark).alias("bit"))
+    bits = written(bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "ngram-join-marks")
+    placed = texts.withColumn("bucket", F.bitmap_bucket_number(mark)).withColumn("bit", F.bitmap_bit_position(mark))
+    is_set = F.expr("getbit(cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as bigint), cast(bit % 8 as int)) = 1")
+    return placed.join(F.broadcast(bits), "bucket").filter(is_set).select(*texts.columns)
+
+
 def ngram_join(
     docs: DataFrame,
     k: int = 5,
@@ -346,7 +360,7 @@ def ngram_join(
     # Every set with any pair is in the forest, so texts are fetched once, for both rounds.
     wanted = written(alone.select("s", "h").join(forest.select(F.explode(F.array("a", "b")).alias("s")).distinct(), "s"), "ngram-join-wanted")
     # Equal texts would give one row each; any of them serves.
-    texts = given.select("h", "text").join(wanted, "h").groupBy("s").agg(F.min("text").alias("text"))
+    texts = _marked(given.select("h", "text"), wanted).join(wanted, "h").groupBy("s").agg(F.min("text").alias("text"))
     texts = written(texts.mapInArrow(_packed, "s long, z binary"), "ngram-join-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
