@@ -24,16 +24,16 @@ from keystrata.session import written
 
 LENGTH = 200
 ANCHOR = 64
-COLLECTION_BYTES = 96 << 10  # pieces that are inserted together; the pieces of one anchor stay together
+COLLECTION_BYTES = 192 << 10  # pieces that are inserted together; the pieces of one anchor stay together
 BLOCK = 8192  # different pieces of one anchor beyond which they are compared block by block
 
 
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int):
-    """Text, first start, last start, anchor hash and piece hash of each run of strings with one anchor."""
+    """Text, first start, last start, the anchor's place in the piece, anchor hash and piece hash of each run of strings with one anchor."""
     size, spread = len(data), length - anchor + 1
     empty = np.zeros(0, np.int64)
     if size < length:
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty, empty
     up, down = power(size)
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:size], out=sums[1:])
@@ -52,39 +52,58 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int):
     new[1:] = (place[1:] != place[:-1]) | (texts[1:] != texts[:-1])
     first = np.flatnonzero(new & inside)
     if not len(first):
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty, empty
     ends = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True))
     piece = mixed(mixed((sums[ends + length] - sums[first]) * down[first]) + (ends - first).astype(np.uint64))
-    return texts[first], first - offsets[texts[first]], ends - offsets[texts[first]], hashes[place[first]].view(np.int64), piece.view(np.int64)
+    return texts[first], first - offsets[texts[first]], ends - offsets[texts[first]], place[first] - first, hashes[place[first]].view(np.int64), piece.view(np.int64)
 
 
 _NEAR = 64
+_RANKED = 256  # places whose symbols are counted together
+
+
+def _block_of(upto: np.ndarray, symbol: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The block with each symbol's occurrence of that number (from 1), by bisection."""
+    low, high = np.zeros(len(symbol), np.int64), np.full(len(symbol), len(upto) - 1)
+    for _ in range(len(upto).bit_length()):
+        middle = (low + high) >> 1
+        reached = upto[middle, symbol] >= number
+        high = np.where(reached, middle, high)
+        low = np.where(reached, low, np.minimum(middle + 1, high))
+    return high
 
 
 def _places(bwt: np.ndarray, at: np.ndarray, symbol: np.ndarray, kinds: int):
     """For each place: how often its symbol occurs before it, and the nearest places with it before and behind (or -1);
     and how often each symbol occurs at all. Symbols of places are not 0."""
-    blocks = len(bwt) // _NEAR + 1
-    padded = np.zeros((blocks + 2) * _NEAR, bwt.dtype)
-    padded[_NEAR : _NEAR + len(bwt)] = bwt
-    cells = padded[_NEAR:-_NEAR].reshape(blocks, _NEAR) + np.arange(0, blocks * kinds, kinds, dtype=np.int32)[:, None]
+    blocks = len(bwt) // _RANKED + 1
+    padded = np.zeros((blocks + 2) * _RANKED, bwt.dtype)
+    padded[_RANKED : _RANKED + len(bwt)] = bwt
+    cells = padded[_RANKED:-_RANKED].reshape(blocks, _RANKED) + np.arange(0, blocks * kinds, kinds, dtype=np.int32)[:, None]
     upto = np.cumsum(np.bincount(cells.ravel(), minlength=blocks * kinds).reshape(blocks, kinds), axis=0)
-    upto[:, 0] -= blocks * _NEAR - len(bwt)  # only the last row of it is used
-    windows = np.lib.stride_tricks.sliding_window_view(padded, _NEAR)
+    upto[:, 0] -= blocks * _RANKED - len(bwt)  # only the last row of it is used
+    near = np.lib.stride_tricks.sliding_window_view(padded, _NEAR)
+    wide = np.lib.stride_tricks.sliding_window_view(padded, _RANKED)
     wanted = symbol[:, None]
-    back, ahead = windows[at] == wanted, windows[at + _NEAR + 1] == wanted
-    block, rest = at // _NEAR, at % _NEAR
+    block, rest = at // _RANKED, at % _RANKED
     # The last places before ``at`` down to the start of its block.
-    rank = np.where(block > 0, upto[block - 1, symbol], 0) + np.count_nonzero(back & (np.arange(_NEAR) >= (_NEAR - rest)[:, None]), axis=1)
+    back = wide[at] == wanted
+    rank = np.where(block > 0, upto[block - 1, symbol], 0) + np.count_nonzero(back & (np.arange(_RANKED) >= (_RANKED - rest)[:, None]), axis=1)
     before = np.where(back.any(axis=1), at - 1 - back[:, ::-1].argmax(axis=1), -1)
+    ahead = near[at + _RANKED + 1] == wanted
     behind = np.where(ahead.any(axis=1), at + 1 + ahead.argmax(axis=1), -1)
     total = upto[-1]
-    for i in np.flatnonzero((before < 0) & (rank > 0)):  # rare symbols
-        b = int(np.searchsorted(upto[:, symbol[i]], rank[i]))
-        before[i] = b * _NEAR + np.flatnonzero(bwt[b * _NEAR : (b + 1) * _NEAR] == symbol[i])[-1] if b < block[i] else -1
-    for i in np.flatnonzero((behind < 0) & (rank + 1 < total[symbol])):
-        b = int(np.searchsorted(upto[:, symbol[i]], rank[i] + 2))
-        behind[i] = b * _NEAR + np.flatnonzero(bwt[b * _NEAR : (b + 1) * _NEAR] == symbol[i])[0]
+    # Symbols that are rare hereabouts: their block is found by its counts.
+    far = np.flatnonzero((before < 0) & (rank > 0))
+    if len(far):
+        b = _block_of(upto, symbol[far], rank[far])
+        hit = wide[(b + 1) * _RANKED] == wanted[far]
+        before[far] = b * _RANKED + _RANKED - 1 - hit[:, ::-1].argmax(axis=1)
+    far = np.flatnonzero((behind < 0) & (rank + 1 < total[symbol]))
+    if len(far):
+        b = _block_of(upto, symbol[far], rank[far] + 2)
+        start = np.where(b == block[far], at[far] + 1, b * _RANKED)  # later in the own block, or the first of another
+        behind[far] = start + (wide[start + _RANKED] == wanted[far]).argmax(axis=1)
     return rank, before, behind, total
 
 
@@ -178,10 +197,10 @@ def _runs(length: int, anchor: int):
         for batch in batches:
             for a, b, texts in _texts(batch):
                 data = np.frombuffer(b"".join(texts), np.uint8)
-                owner, first, last, anchors, pieces = anchored(data, np.cumsum([0, *map(len, texts)]), length, anchor)
+                owner, first, last, place, anchors, pieces = anchored(data, np.cumsum([0, *map(len, texts)]), length, anchor)
                 rows = batch.column("row").slice(a, b - a).take(pa.array(owner))
-                columns = [rows, *(pa.array(c) for c in (first, last, anchors, pieces))]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "first", "last", "anchor", "piece"])
+                columns = [rows, *(pa.array(c) for c in (first, last, place, anchors, pieces))]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "first", "last", "place", "anchor", "piece"])
 
     return work
 
@@ -195,33 +214,67 @@ def _pieces(length: int):
                     for w in wanted:
                         bytes_ = text[w["first"] : w["last"] + length]
                         mine = (w["piece"] & 0x7FFFFFFF) % w["parts"]
-                        out += [(w["anchor"], min(mine, p), max(mine, p), w["piece"], bytes_) for p in range(w["parts"])]
+                        out += [(w["anchor"], min(mine, p), max(mine, p), w["piece"], w["place"], bytes_) for p in range(w["parts"])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[k] for o in out], pa.binary() if k == 4 else pa.int64()) for k in range(5)], names=["anchor", "low", "high", "piece", "bytes"]
+                    [pa.array([o[k] for o in out], pa.binary() if k == 5 else pa.int64()) for k in range(6)], names=["anchor", "low", "high", "piece", "place", "bytes"]
                 )
 
     return work
 
 
+def _longest_shared(strings: list[bytes]) -> list[int]:
+    """For each string, the longest prefix that it has in common with another one."""
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    shared = [0] * len(strings)
+    for i, j in zip(order, order[1:]):
+        x, y = strings[i], strings[j]
+        low, high = 0, min(len(x), len(y))
+        while low < high:
+            middle = (low + high + 1) // 2
+            if x[:middle] == y[:middle]:
+                low = middle
+            else:
+                high = middle - 1
+        shared[i], shared[j] = max(shared[i], low), max(shared[j], low)
+    return shared
+
+
+def _trimmed(rows: list[tuple], length: int) -> list[tuple]:
+    """(anchor, piece, first start, bytes) of the pieces of one anchor, cut to what they can have in common with others.
+
+    A string that two pieces share lies alike around their anchors, so it cannot reach further on either side than any
+    two of them agree.
+    """
+    left = _longest_shared([r[5][: r[4]][::-1] for r in rows])
+    right = _longest_shared([r[5][r[4] :] for r in rows])
+    return [(r[0], r[3], r[4] - a, r[5][r[4] - a : r[4] + b]) for r, a, b in zip(rows, left, right) if a + b >= length]
+
+
 def _repeats(length: int):
     def found(rows: list[tuple]) -> pa.RecordBatch:
         out = []
-        for (anchor, _, _, piece, _), flags in zip(rows, repeated_starts([r[4] for r in rows], length)):
-            out += [(anchor, piece, int(a), int(b)) for a, b in zip(*_intervals(flags))]
+        for (anchor, piece, start, _), flags in zip(rows, repeated_starts([r[3] for r in rows], length)):
+            out += [(anchor, piece, int(a) + start, int(b) + start) for a, b in zip(*_intervals(flags))]
         return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(4)], names=["anchor", "piece", "a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+        meeting, rows, size, last = [], [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "low", "high", "piece", "bytes"))):
-                # Blocks of one anchor share pieces, so they must not lie in one collection.
-                if rows and row[:3] != rows[-1][:3] and (size >= COLLECTION_BYTES or row[0] == rows[-1][0]):
-                    yield found(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[4])
-        if rows:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "low", "high", "piece", "place", "bytes"))):
+                if meeting and row[:3] != meeting[-1][:3]:
+                    anchor, kept = meeting[0][0], _trimmed(meeting, length)
+                    # Blocks of one anchor share pieces, so they must not lie in one collection.
+                    if rows and (size >= COLLECTION_BYTES or anchor == last):
+                        yield found(rows)
+                        rows, size = [], 0
+                    rows, size, last, meeting = rows + kept, size + sum(len(r[3]) for r in kept), anchor, []
+                meeting.append(row)
+        kept = _trimmed(meeting, length)
+        if rows and meeting and meeting[0][0] == last:
             yield found(rows)
+            rows = []
+        if rows or kept:
+            yield found(rows + kept)
 
     return work
 
@@ -276,17 +329,17 @@ def suffix_dedup(
     texts = given.mapInArrow(_packed, f"id {kind}, n_bytes long, z binary").withColumn("row", F.monotonically_increasing_id())
     texts = written(texts, "suffix-dedup-texts")
 
-    runs = texts.filter(F.col("n_bytes") >= length).select("row", "n_bytes", "z").mapInArrow(_runs(length, anchor), "row long, first long, last long, anchor long, piece long")
-    runs = written(runs.select("row", F.col("first").cast("int"), F.col("last").cast("int"), "anchor", "piece"), "suffix-dedup-runs")
+    runs = texts.filter(F.col("n_bytes") >= length).select("row", "n_bytes", "z").mapInArrow(_runs(length, anchor), "row long, first long, last long, place long, anchor long, piece long")
+    runs = written(runs.select("row", *(F.col(c).cast("int") for c in ("first", "last", "place")), "anchor", "piece"), "suffix-dedup-runs")
     met = written(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "suffix-dedup-anchors")
     shared = written(runs.join(met, "anchor"), "suffix-dedup-shared")
 
-    pieces = shared.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("one"))
+    pieces = shared.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last", "place")).alias("one"))
     pieces = written(pieces.select("anchor", "piece", "n", "one.*"), "suffix-dedup-pieces")
     different = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     compared = pieces.join(different, "anchor").withColumn("parts", F.ceil(F.col("kinds") / block).cast("int"))
-    wanted = compared.groupBy("row").agg(F.collect_list(F.struct("anchor", "piece", "first", "last", "parts")).alias("wanted"))
-    cut = texts.select("row", "n_bytes", "z").join(wanted, "row").mapInArrow(_pieces(length), "anchor long, low long, high long, piece long, bytes binary")
+    wanted = compared.groupBy("row").agg(F.collect_list(F.struct("anchor", "piece", "first", "last", "place", "parts")).alias("wanted"))
+    cut = texts.select("row", "n_bytes", "z").join(wanted, "row").mapInArrow(_pieces(length), "anchor long, low long, high long, piece long, place long, bytes binary")
     placed = cut.repartition("anchor", "low", "high").sortWithinPartitions("anchor", "low", "high")
     partly = placed.mapInArrow(_repeats(length), "anchor long, piece long, a long, b long")
     whole = pieces.filter("n > 1").select("anchor", "piece", F.lit(0).cast("long").alias("a"), (F.col("last") - F.col("first")).cast("long").alias("b"))

@@ -48,9 +48,10 @@ def test_repeated_starts_with_all_byte_values():
 def test_every_string_has_one_anchor(texts, length, anchor):
     raw = [t.encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
-    owner, first, last, anchors, _ = anchored(data, offsets, length, anchor)
+    owner, first, last, place, anchors, _ = anchored(data, offsets, length, anchor)
     starts = sorted((o, s) for o, a, b in zip(owner, first, last) for s in range(a, b + 1))
     assert starts == [(o, s) for o, t in enumerate(raw) for s in range(len(t) - length + 1)]
+    assert all(a <= s and s + anchor <= b + length for a, b, s in zip(first, last, first + place))
     by_string = {}
     for o, a, b, h in zip(owner, first, last, anchors):
         for s in range(a, b + 1):
