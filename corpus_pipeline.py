@@ -1,8 +1,8 @@
 """The corpus pipeline: from documents to packed training sequences.
 
 Each stage takes the documents that its predecessor kept and works on all of them. All but the last return the columns
-of ``documents``. Rows with a NULL text count as empty; rows with a NULL doc_id are kept by every stage that decides
-by id, as nothing can be said about them.
+of ``documents``. Rows with a NULL text count as empty. Ids may be NULL or repeat: rows are told apart by numbers that
+are written once, so of each group exactly one row stays, the one with the smallest doc_id, NULLs last, then row number.
 """
 
 from __future__ import annotations
@@ -19,9 +19,15 @@ from keystrata.llm.suffix_dedup import suffix_dedup
 from keystrata.session import written
 
 
-def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids, and those without an id."""
-    return docs.join(ids.select("doc_id").filter("doc_id is not null"), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with their ``row`` number, and ``place``, by which the rows of a group are ranked and told apart."""
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "corpus-pipeline-rows")
+    return rows.withColumn("place", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+
+
+def _of(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The documents of the numbered rows at these places."""
+    return rows.join(places.select(F.col("place.row").alias("row")), "row", "left_semi").drop("row", "place")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +40,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with equal texts: the one with the smallest id."""
-    return _of(docs, exact_dedup(docs).filter("kept"))
+    rows = _numbered(docs)
+    return _of(rows, exact_dedup(rows, id_column="place").filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a Jaccard similarity of 0.8: the one with the smallest id."""
-    return _of(docs, ngram_join(docs, k=5, above=(80, 100)).filter("doc_id = component_id"))
+    rows = _numbered(docs)
+    return _of(rows, ngram_join(rows, k=5, above=(80, 100), id_column="place").filter("place = component_id"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

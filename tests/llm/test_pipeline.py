@@ -98,3 +98,26 @@ def test_empty_documents(spark, folder, tmp_path):
     spark.read.parquet(f"{folder[0]}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder[0]}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeated_rows_and_null_ids_leave_one_copy(spark):
+    rng = random.Random(7)
+    prose = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    rows = [(1, prose[0]), (1, prose[0]), (None, prose[0])]  # a row repeated whole, and a copy without an id
+    rows += [(None, prose[1]), (None, prose[1]), (None, prose[1] + " end")]  # no id at all
+    rows += [(5, prose[2]), (None, prose[2] + " end"), (5, prose[2] + " the end")]  # near copies, an id shared
+    rows += [(7, prose[3]), (7, prose[4]), (3, prose[4])]  # an id shared by different texts
+    rows += [(9, None), (None, ""), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    exact = corpus_pipeline.drop_copies(spark, docs, "")
+    found = sorted(((r.doc_id, r.text or "") for r in exact.collect()), key=str)
+    once = [(1, prose[0]), (None, prose[1]), (None, prose[1] + " end"), (5, prose[2]), (None, prose[2] + " end"), (5, prose[2] + " the end"), (7, prose[3]), (3, prose[4]), (8, "")]
+    assert found == sorted(once, key=str)
+    for given in (docs, exact):
+        near = corpus_pipeline.drop_near_copies(spark, given, "")
+        assert near.columns == docs.columns
+        kept = [(r.doc_id, r.text) for r in near.collect() if r.text]
+        assert sorted(i for i, _ in kept if i is not None) == [1, 3, 5, 7]
+        assert sum(i is None for i, _ in kept) == 1 and {t[:200] for _, t in kept} == {t[:200] for t in prose[:5]}
+    cut = corpus_pipeline.cut_repeats(spark, corpus_pipeline.drop_near_copies(spark, exact, ""), "")
+    assert {r.text for r in cut.collect() if r.text} >= {prose[0], prose[3], prose[4]}
