@@ -1,9 +1,10 @@
 """N-gram Jaccard join by token-combination prefixes.
 
-A text is its set of word shingles. Sets are put in one global order of shingles: by a part of the hash range, in it
-rare shingles before frequent ones, then by hash. If two sets are similar enough, the shortest prefixes of both in
+A text is its set of word shingles. Sets are put in one global order of shingles: those in the low part of the hash
+range, rare ones before frequent ones, then the rest; each by hash. If two sets are similar enough, the shortest prefixes of both in
 which the rare shingles, plus the frequent ones less one, outnumber the shingles that the set may lack, have a rare
-shingle or a pair of frequent ones in common. So rare shingles are indexed alone and frequent ones by pairs.
+shingle or a pair of frequent ones in common. So rare shingles are indexed alone and frequent ones by pairs; sets so
+small that one common shingle may do have all of theirs indexed alone.
 
 Sets that meet in the index are compared by their sizes and by 1024 parity bits, which bound the difference of two
 sets from below, and pair by pair by as many parity bits as the sets need. What is left is verified on whole texts:
@@ -31,6 +32,7 @@ SKETCH_BITS = 1024
 FREQUENT = 1000  # sets that hold a shingle, from which on it is frequent; raised so that at most 2 ** 20 are
 MARKS = 1 << 26  # bits by which texts are sorted out before they are moved: 8 MB
 MEETING = 4096  # sets that are compared in one place
+ALONE = -1  # the block of rare shingles
 _MULTIPLIERS = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
 
 
@@ -137,20 +139,18 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), np.uint64), offsets // 8
 
 
-def _counted(part: float):
-    border = np.uint64(min(int(part * 2**64), 2**64 - 1))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, _ = _flat(batch)
-            found, n = np.unique(tokens[tokens < border], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
-
-    return work
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets may index each shingle, in the low part of the hash range or above it."""
+    for batch in batches:
+        found, n = np.unique(_flat(batch)[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
 
 
 def _index(frequent, part: float, lack: tuple[int, int]):
-    """Signatures of each set. ``frequent``: sorted frequent shingles and the number of sets that hold each."""
+    """Signatures of each set. ``frequent``: sorted frequent shingles and the number of sets that hold each.
+
+    Rare shingles go to block ALONE, what is frequent to as many blocks as its sets need.
+    """
     border = np.uint64(min(int(part * 2**64), 2**64 - 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,17 +163,21 @@ def _index(frequent, part: float, lack: tuple[int, int]):
             rows, signatures, blocks = [], [], []
             for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
                 need = int(sizes[i]) * lack[0] // lack[1] + 1
-                rare, pairs = prefix(is_hot[a:b], tokens[a:b] < border, need)
+                hot_here = is_hot[a:b]
+                rare, pairs = prefix(hot_here, tokens[a:b] < border, need)
                 rows.append(np.full(len(rare), i))
                 signatures.append(tokens[a:b][rare])
-                blocks.append(np.zeros(len(rare), np.int64))
+                blocks.append(np.full(len(rare), ALONE))
                 if len(pairs):
                     x, y = np.triu_indices(len(pairs), 1)
                     signature = mixed(tokens[a + pairs[x]] * np.uint64(_MULTIPLIERS[0]) + tokens[a + pairs[y]] * np.uint64(_MULTIPLIERS[1]))
                     # A frequent pair may be held by as many sets as its rarer half; they are compared block by block.
                     parts = -(-np.minimum(held[place[a + pairs[x]]], held[place[a + pairs[y]]]) // MEETING)
+                    if int(sizes[i]) <= need:  # the set ends before its prefix: one shingle in common may do
+                        signature = np.concatenate([signature, tokens[a + pairs]])
+                        parts = np.concatenate([parts, -(-held[place[a + pairs]] // MEETING)])
                     mine = int(mixed(np.array([batch.column("s")[i].as_py()], np.int64).view(np.uint64))[0])
-                    number = np.repeat(np.arange(len(x)), parts)
+                    number = np.repeat(np.arange(len(parts)), parts)
                     other = np.arange(len(number)) - np.repeat(np.cumsum(parts) - parts, parts)
                     own = mine % parts[number].astype(np.uint64)
                     low, high = np.minimum(own.astype(np.int64), other), np.maximum(own.astype(np.int64), other)
@@ -192,14 +196,18 @@ def _index(frequent, part: float, lack: tuple[int, int]):
 def prefix(is_hot: np.ndarray, is_low: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the rare and of the frequent shingles in the shortest prefix with rare + (frequent - 1) >= need.
 
-    The order is: rare shingles in the first part of the hash range, frequent ones there, the rest; each by hash.
+    The order is: rare shingles in the first part of the hash range, frequent ones there, the rest; each by hash. Of
+    the rest both kinds are taken as they come: whole sets are not at hand, to tell which of their shingles are rare.
     """
     rare = np.flatnonzero(is_low & ~is_hot)[:need]
     if len(rare) >= need:
         return rare, rare[:0]
-    frequent = np.flatnonzero(is_hot)[: need - len(rare) + 1]
+    frequent = np.flatnonzero(is_low & is_hot)[: need - len(rare) + 1]
     missing = need - len(rare) - max(0, len(frequent) - 1)
-    return np.concatenate([rare, np.flatnonzero(~is_low)[:missing]]), frequent
+    rest = np.flatnonzero(~is_low)
+    # The first frequent shingle does not count.
+    rest = rest[: missing + (missing > 0 and not len(frequent) and bool(is_hot[rest[:missing]].any()))]
+    return np.concatenate([rare, rest[~is_hot[rest]]]), np.concatenate([frequent, rest[is_hot[rest]]])
 
 
 def _meetings(above: tuple[int, int], forest: bool):
@@ -300,6 +308,19 @@ def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(bits), "bucket").filter(is_set).select(*texts.columns)
 
 
+def dealt(index: DataFrame, most: int = MEETING) -> DataFrame:
+    """Signature, block and set; shingles indexed alone by more than ``most`` sets (``m``) are spread over blocks, too.
+
+    Rare ones are that many only where the bound of frequent ones had to be raised above ``most``.
+    """
+    parts = F.when((F.col("block") == ALONE) & (F.col("m") > most), F.ceil(F.col("m") / most)).otherwise(1)
+    own = F.pmod(F.xxhash64("s"), "parts")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+    rows = index.withColumn("parts", parts.cast("long")).select("signature", "block", "s", "parts", own.alias("own"), other)
+    pair = F.shiftleft(F.least("own", "other"), 31).bitwiseOR(F.greatest("own", "other"))
+    return rows.select("signature", F.when(F.col("parts") > 1, pair).otherwise(F.col("block")).alias("block"), "s")
+
+
 def ngram_join(
     docs: DataFrame,
     k: int = 5,
@@ -331,7 +352,7 @@ def ngram_join(
     alone = written(rows.select(F.col("row").alias("s"), "h", "n", "order", "bits", "wide").join(first, "s", "left_semi"), "ngram-join-distinct")
 
     spark = docs.sparkSession
-    counted = written(alone.select("order").mapInArrow(_counted(part), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(f"n >= {int(frequent_from)}"), "ngram-join-frequent")
+    counted = written(alone.select("order").mapInArrow(_counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(f"n >= {int(frequent_from)}"), "ngram-join-frequent")
     bound = int(alone.agg(F.coalesce(F.sum(F.length("order")), F.lit(0))).first()[0]) // 8 // (1 << 20)
     hot = counted.filter(F.col("n") > bound).toArrow()  # at most 2 ** 20 shingles can each have more than the 2 ** 20th part
     tokens, held = hot.column("token").to_numpy().view(np.uint64), hot.column("n").to_numpy()
@@ -341,7 +362,8 @@ def ngram_join(
     # Most shingles are in one set alone: only meetings of two sets or more go on.
     met = Window.partitionBy("signature", "block")
     index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long")
-    index = written(index.withColumn("m", F.count(F.lit(1)).over(met)).filter("m > 1").drop("m"), "ngram-join-index")
+    index = index.withColumn("m", F.count(F.lit(1)).over(met)).filter("m > 1")
+    index = written(dealt(index), "ngram-join-index")
 
     def meet(labels: DataFrame | None) -> DataFrame:
         """Pairs that may be similar: a forest of each meeting, or with labels all pairs between different ones."""

@@ -1,11 +1,14 @@
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from keystrata.llm.components import components
+from keystrata.llm import ngram_join as module
 from keystrata.llm.ngram_join import Shingles, ngram_join, prefix
 
 SCHEMA = "doc_id long, text string, n long, s long, component string"
@@ -113,3 +116,54 @@ def test_components(spark):
     expected = {1: 1, 2: 1, 3: 1, 20: 1, 8: 8, 9: 8, 10: 8, 11: 8} | {100 + i: 100 for i in range(41)} | {1000 + i: 1000 for i in range(100)}
     assert found == expected
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.booleans()), min_size=1, max_size=25), st.integers(1, 10), st.data())
+def test_prefixes_meet_when_frequent_shingles_are_anywhere(kinds, need, data):
+    low = sorted(not a for a, _ in kinds)
+    is_low, is_hot = np.array([not v for v in low]), np.array([h for _, h in kinds])
+    mine = np.array(sorted(data.draw(st.sets(st.integers(0, len(kinds) - 1), min_size=1))))
+    drop = data.draw(st.sets(st.sampled_from(mine.tolist()), max_size=need - 1))
+    add = data.draw(st.sets(st.integers(0, len(kinds) - 1), max_size=need - 1)) - set(mine.tolist())
+    other = np.array(sorted((set(mine.tolist()) - drop) | add), dtype=int)
+    found = [(s, *prefix(is_hot[s], is_low[s], need)) for s in (mine, other) if len(s) > need]
+    for s, rare, hot in found:
+        assert len(rare) + max(0, len(hot) - 1) >= need
+        assert not is_hot[s[rare]].any() and is_hot[s[hot]].all()
+    if len(found) == 2:
+        (s, a, b), (t, c, d) = found
+        assert set(s[a]) & set(t[c]) or len(set(s[b]) & set(t[d])) >= 2
+
+
+def test_a_frequent_shingle_above_the_border_is_not_indexed_alone():
+    """Sets of one template, none of whose shingles is in the low part of the hash range."""
+    part, lack, sets = 0.16, (10, 100), 3 * module.MEETING
+    template = np.sort(np.random.default_rng(1).integers(1 << 62, 1 << 63, 20).astype(np.uint64))
+    order = [template[:4].tobytes()] * sets
+    batch = pa.RecordBatch.from_arrays([pa.array(range(sets)), pa.array([20] * sets), pa.array(order, pa.binary())], names=["s", "n", "order"])
+    counted = next(iter(module._counted([batch])))
+    many = np.asarray(counted.column("n")) >= module.FREQUENT
+    frequent = SimpleNamespace(value=(np.asarray(counted.column("token"))[many].view(np.uint64), np.asarray(counted.column("n"))[many]))
+    index = next(iter(module._index(frequent, part, lack)([batch])))
+    _, met = np.unique(np.stack([np.asarray(index.column(c)) for c in ("signature", "block")]), axis=1, return_counts=True)
+    assert met.max() < 2.5 * module.MEETING
+    rows = set(zip(*(index.column(c).to_pylist() for c in ("signature", "block", "s"))))
+    places = [{(x, y) for x, y, s in rows if s == i} for i in (0, 1, 5000, sets - 1)]
+    assert all(a & b for a in places for b in places)
+
+
+def test_large_meetings_of_rare_shingles_are_dealt(spark):
+    rows = [(1, module.ALONE, s, 40) for s in range(40)] + [(2, module.ALONE, s, 5) for s in range(5)] + [(3, 0, s, 30) for s in range(30)]
+    found = module.dealt(spark.createDataFrame(rows, "signature long, block long, s long, m long"), most=10).collect()
+    places = {}
+    for r in found:
+        places.setdefault((r.signature, r.block), set()).add(r.s)
+    assert max(len(v) for (k, _), v in places.items() if k == 1) < 40
+    assert all(any({a, b} <= v for (k, _), v in places.items() if k == 1) for a in range(40) for b in range(40))
+    assert places[2, module.ALONE] == set(range(5)) and places[3, 0] == set(range(30))
+
+
+def test_small_sets_of_frequent_shingles(spark):
+    rows = [(i, t) for i, t in enumerate(["a", "b", "a b", "c"] + [f"a x{j}" for j in range(8)] + [f"a b y{j}" for j in range(8)])]
+    assert run(spark, rows, 1, (1, 2), frequent_from=3) == brute(rows, 1, (1, 2))
