@@ -1,10 +1,14 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Byte n-grams of the training texts are counted over the whole corpus. A context that is frequent enough is a state. Its
+Byte n-grams of the training texts are counted over the whole corpus. Every context that occurs is a state. Its
 arcs carry smoothed probabilities (interpolated Witten-Bell), and a failure arc with the backoff weight leads
 to the context without its first byte. A text is spelled from left to right, one end sign after each word and one
-after the text; one traversal carries the state and adds up log-probabilities. Word counts, which the base score
-needs, are gathered for blocks of texts: each block sends its words once and gets back their counts in the corpus.
+after the text; its score adds up the log-probabilities on its path.
+
+The automaton grows with the corpus and stays in a table. As no context is left out, the last ORDER - 1 symbols alone
+say where a path goes on, so a step is an n-gram. Its weight, with the failure arcs on the way, is worked out by joins,
+once for each different n-gram. Blocks of texts send their different words and n-grams once and get back the words'
+counts in the corpus and the n-grams' weights.
 """
 
 from __future__ import annotations
@@ -15,16 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keystrata.llm.batches import text_slices, utf8
-from keystrata.llm.words import Words
+from keystrata.llm.words import Words, mixed
 from keystrata.session import written
 
 ORDER = 6  # bytes, the predicted one included
-STATE_SHARE = 1 << 14  # a context is a state from one such part of all symbols on: at most so many of each length
+STATE_SHARE = 1 << 14  # leaves nothing out here: a corpus of fewer symbols, as in tests, has the same states with it
 BLOCK_BYTES = 16 << 20
 WORD_END, TEXT_END = 0x20, 0x00
 _SEGMENT = 2048
@@ -49,27 +54,34 @@ def spelled(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
-def _ngrams(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of the full order, packed, and their numbers. Each text starts behind a word end."""
+def _ngrams(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The n-gram of the full order up to each symbol, packed. Each text starts behind a word end."""
     packed = np.zeros(len(symbols), np.uint64)
     place = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
     for k in range(ORDER):
         shifted = np.full(len(symbols), WORD_END, np.uint64)
-        shifted[k:] = symbols[: len(symbols) - k]
+        shifted[k:] = symbols[: max(len(symbols) - k, 0)]
         shifted[place < k] = WORD_END
         packed |= shifted << np.uint64(8 * k)
-    return np.unique(packed, return_counts=True)
+    return packed
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """N-grams of all texts and how often training texts have them."""
     for part in text_slices(batches, "text"):
-        grams, n = _ngrams(*spelled(Words(*utf8(part.column("text")))))
-        yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+        symbols, offsets = spelled(Words(*utf8(part.column("text"))))
+        packed, trained = _ngrams(symbols, offsets), np.repeat(np.asarray(part.column("trains")), np.diff(offsets))
+        grams, n = np.unique(packed[trained], return_counts=True)
+        others = np.unique(packed[~trained])
+        columns = [np.concatenate([grams, others]).view(np.int64), np.concatenate([n, np.zeros(len(others), np.int64)])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "n"])
 
 
 @dataclass
 class Automaton:
-    """``contexts``: bytes of each state, shortest first, the empty one at 0. ``arcs``: per state, symbol to count."""
+    """The automaton of a small corpus in memory, against which the weights in the table are held.
+
+    ``contexts``: bytes of each state, shortest first, the empty one at 0. ``arcs``: per state, symbol to count."""
 
     contexts: list[bytes]
     follow: np.ndarray  # (states, symbols) next state
@@ -142,26 +154,79 @@ class Automaton:
         return np.bincount(owner, weights=total, minlength=len(sizes))
 
 
-def train(texts: DataFrame, text_column: str = "text") -> Automaton:
-    """The automaton of all given texts; NULL counts as empty.
+def weights(texts: DataFrame) -> DataFrame:
+    """Each n-gram of the texts and its log10 probability; rows of ``texts`` are ``text`` and ``trains``.
 
-    Counts are gathered over all texts. Contexts of 1 to ORDER - 1 symbols that make up at least one STATE_SHARE-th of
-    all symbols are states, so there are at most STATE_SHARE of each length whatever the input.
+    Counts are gathered over all training texts and no context is left out, however rare.
     """
-    rows = texts.select(F.col(text_column).alias("text"))
-    grams = written(rows.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "lm-ngrams")
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # The last k + 1 bytes of an n-gram: a context of k bytes and the symbol behind it.
-    lasts = F.array(*(F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("last")) for k in range(ORDER)))
-    arcs = grams.select(F.explode(lasts).alias("a"), "n").groupBy("a.k", "a.last").agg(F.sum("n").alias("n"))
-    arcs = arcs.select("k", F.shiftright("last", 8).alias("context"), "last", "n")
-    heavy = arcs.groupBy("k", "context").agg(F.sum("n").alias("whole")).filter((F.col("k") == 0) | (F.col("whole") * STATE_SHARE >= total))
-    kept = arcs.join(heavy, ["k", "context"]).select("k", "last", "n").toArrow()  # at most 256 arcs for each state
-    found: dict[bytes, dict[int, int]] = {}
-    for k, last, n in zip(*(kept.column(c).to_pylist() for c in ("k", "last", "n"))):
-        raw = last.to_bytes(k + 1, "big")
-        found.setdefault(raw[:-1], {})[raw[-1]] = n
-    return Automaton.of_counts(found)
+    grams = texts.select("text", "trains").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = written(grams, "lm-ngrams")
+    lower = None
+    for k in range(ORDER):  # a context of k bytes and the symbol behind it
+        last = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+        arcs = grams.groupBy(last.alias("gram")).agg(F.sum("n").alias("n"))
+        context = Window.partitionBy(F.shiftright("gram", 8))  # at most 256 arcs
+        arcs = arcs.select("gram", "n", F.sum("n").over(context).alias("whole"), F.count_if(F.col("n") > 0).over(context).alias("kinds"))
+        if lower is None:
+            arcs = arcs.withColumn("back", F.lit(1 / 256))
+        else:
+            arcs = arcs.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(lower, "shorter")
+        # The failure arc's weight is the share of all that Witten-Bell leaves to the shorter context.
+        p = F.when(F.col("whole") > 0, (F.col("n") + F.col("kinds") * F.col("back")) / (F.col("whole") + F.col("kinds"))).otherwise(F.col("back"))
+        arcs = arcs.select("gram", p.alias("p"))
+        lower = arcs.select(F.col("gram").alias("shorter"), F.col("p").alias("back"))
+    return arcs.select("gram", F.log10("p").alias("weight"))
+
+
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(grams) % np.uint64(buckets)).astype(np.int64)
+
+
+def _bucketed(buckets: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = _bucket(batch.column("gram").to_numpy().view(np.uint64), buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), batch.column("gram"), batch.column("weight")], names=["bucket", "gram", "weight"])
+
+    return work
+
+
+def _steps(parts: list[pa.RecordBatch]) -> np.ndarray:
+    """The different n-grams of a block, sorted."""
+    found = [np.zeros(0, np.uint64)]
+    for part in parts:
+        found.append(np.unique(_ngrams(*spelled(Words(*utf8(part.column("text")))))))
+    return np.unique(np.concatenate(found))
+
+
+def _by_bucket(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of sorted n-grams by bucket, and for each bucket its number, first and last place in it."""
+    bucket = _bucket(grams, buckets)
+    by = np.argsort(bucket, kind="stable")
+    there, first = np.unique(bucket[by], return_index=True)
+    return by, list(zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(by)]))
+
+
+def _asked(buckets: int):
+    """The different n-grams of a block, packed by bucket."""
+
+    def work(table: pa.Table) -> pa.Table:
+        grams = _steps(list(text_slices(iter(table.combine_chunks().to_batches()), "text")))
+        by, ranges = _by_bucket(grams, buckets)
+        packed = [grams[by[a:b]].tobytes() for _, a, b in ranges]
+        block = np.full(len(ranges), table.column("block")[0].as_py(), np.int64)
+        return pa.table({"block": block, "bucket": np.array([k for k, _, _ in ranges], np.int64), "grams": pa.array(packed, pa.binary())})
+
+    return work
+
+
+def _answered(key, arcs: pa.Table, asked: pa.Table) -> pa.Table:
+    """The weights of the n-grams that blocks ask for, packed in their order."""
+    grams, weight = arcs.column("gram").to_numpy().view(np.uint64), arcs.column("weight").to_numpy().astype("<f4")
+    by = np.argsort(grams)
+    grams, weight = grams[by], weight[by]
+    packed = [weight[np.searchsorted(grams, np.frombuffer(g.as_buffer(), np.uint64))].tobytes() for g in asked.column("grams")]
+    return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "weights": pa.array(packed, pa.binary())})
 
 
 def _block_words(table: pa.Table) -> tuple[list[pa.RecordBatch], list[np.ndarray], np.ndarray, np.ndarray]:
@@ -185,14 +250,19 @@ def _words(table: pa.Table) -> pa.Table:
     return pa.table({"word": unique.view(np.int64), "n": n, "block": np.full(len(unique), table.column("block")[0].as_py(), np.int64)})
 
 
-def _block_scores(automaton):
-    def work(key, texts: pa.Table, counts: pa.Table) -> pa.Table:
+def _block_scores(buckets: int):
+    def work(key, texts: pa.Table, sent: pa.Table) -> pa.Table:
+        counts, answers = sent.filter(pc.is_valid(sent.column("word"))), sent.filter(pc.is_valid(sent.column("weights")))
         corpus = counts.column("c").to_numpy()
         sent_words = counts.column("word").to_numpy().view(np.uint64)
         leads = int(np.count_nonzero(counts.column("leads").to_numpy() & (corpus > 0)))
-        model = automaton.value
-        start = model.start
         parts, hashes, unique, c = _block_words(texts)
+        grams = _steps(parts)
+        by, ranges = _by_bucket(grams, buckets)
+        weight = np.empty(len(grams))
+        answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("weights")))
+        for k, a, b in ranges:
+            weight[by[a:b]] = np.frombuffer(answer[k].as_buffer(), "<f4")
         # Words of this block alone were not sent back: their counts here are all there are.
         sent = np.searchsorted(unique, sent_words)
         alone = np.ones(len(unique), bool)
@@ -204,6 +274,9 @@ def _block_scores(automaton):
             words = Words(*utf8(part.column("text")))
             each = c[np.searchsorted(unique, h)]
             m, trains = part.num_rows, np.asarray(part.column("trains"))
+            symbols, offsets = spelled(words)
+            steps, inverse = np.unique(_ngrams(symbols, offsets), return_inverse=True)
+            path = weight[np.searchsorted(grams, steps)][inverse]
             out.append(
                 pa.table(
                     {
@@ -212,7 +285,7 @@ def _block_scores(automaton):
                         "n_words": words.per_text,
                         "known_words": np.bincount(words.text_of, weights=each > 0, minlength=m).astype(np.int64),
                         "logs": np.bincount(words.text_of, weights=np.log10(each + _ADD), minlength=m).astype(np.float64),
-                        "score": model.score(*spelled(words), start),
+                        "score": np.bincount(np.repeat(np.arange(m), np.diff(offsets)), weights=path, minlength=m).astype(np.float64),
                         "train_words": np.where(trains, words.per_text, 0),
                         "new_words": np.where((np.arange(m) == 0) & (not out), own + leads, 0),
                     }
@@ -234,7 +307,6 @@ def score(docs: DataFrame, trains, id_column: str = "doc_id", text_column: str =
     """
     kind = docs.schema[id_column].dataType.simpleString()
     given = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.coalesce(trains, F.lit(False)).alias("trains"))
-    automaton = docs.sparkSession.sparkContext.broadcast(train(given.filter("trains")))
     size = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(size) // block_bytes))
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
@@ -246,8 +318,13 @@ def score(docs: DataFrame, trains, id_column: str = "doc_id", text_column: str =
         "block", "word", F.sum("n").over(by_word).alias("c"), F.count(F.lit(1)).over(by_word).alias("in_blocks"), F.row_number().over(by_word.orderBy("block")).alias("turn")
     )
     counts = counts.filter("in_blocks > 1").select("block", "word", "c", (F.col("turn") == 1).alias("leads"))
+    buckets = blocks
+    arcs = written(weights(given), "lm-arcs").mapInArrow(_bucketed(buckets), "bucket long, gram long, weight double")
+    asked = dealt.groupBy("block").applyInArrow(_asked(buckets), "block long, bucket long, grams binary")
+    answered = arcs.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answered, "block long, bucket long, weights binary")
+    sent = counts.unionByName(answered, allowMissingColumns=True)
     schema = f"id {kind}, trains boolean, n_words long, known_words long, logs double, score double, train_words long, new_words long"
-    scored = written(dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_block_scores(automaton), schema), "lm-scores")
+    scored = written(dealt.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_block_scores(buckets), schema), "lm-scores")
     ends, n_words, kinds = scored.agg(F.count_if("trains"), F.coalesce(F.sum("train_words"), F.lit(0)), F.coalesce(F.sum("new_words"), F.lit(0))).first()
     n, v = n_words + ends, kinds + (ends > 0)
     bottom = math.log10(n + _ADD * (v + 1))

@@ -103,3 +103,22 @@ def test_spelling():
     raw = [b" Ab\tc", b"", b"x", b"\n"]
     out, offsets = spelled(Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])))
     assert [out[a:b].tobytes() for a, b in zip(offsets, offsets[1:])] == [b"ab c \0", b"\0", b"x \0", b"\0"]
+
+
+def test_contexts_stay_whatever_the_size_of_the_corpus(spark):
+    """A word of 2 in 40,000 symbols and more is still known by its longest contexts."""
+    rare = "qvxzkj wyqxvz"
+    texts = ["ab cd ef " * 5000] * 3 + [rare] * 2
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(10, rare, False)]
+    counts = {}
+    for t in texts:
+        s = b" " * (ORDER - 1) + symbols(t)
+        for i in range(ORDER - 1, len(s)):
+            for k in range(ORDER):
+                counts.setdefault(s[i - k : i], Counter())[s[i]] += 1
+    model = Automaton.of_counts(counts)
+    raw = symbols(rare)
+    expected = model.score(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), model.start)[0]
+    found = {r.doc_id: r.score for r in score(spark.createDataFrame([(i, t, f, "x", 1) for i, t, f in rows], SCHEMA), F.col("trains"), block_bytes=5000).collect()}
+    assert found[10] == pytest.approx(expected, abs=0.01) and found[10] == pytest.approx(found[3], abs=1e-6)
+    assert sum(n.total() for n in counts.values()) // ORDER > 2 * STATE_SHARE
