@@ -296,6 +296,11 @@ def _block_scores(buckets: int):
     return work
 
 
+def placed(rows: DataFrame, blocks: int) -> DataFrame:
+    """The rows with a block for each by its written row number, so that rows which repeat whole are spread, too."""
+    return rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
+
+
 def score(docs: DataFrame, trains, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Id, ``trains``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
@@ -307,11 +312,11 @@ def score(docs: DataFrame, trains, id_column: str = "doc_id", text_column: str =
     """
     kind = docs.schema[id_column].dataType.simpleString()
     given = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.coalesce(trains, F.lit(False)).alias("trains"))
+    given = written(given.withColumn("row", F.monotonically_increasing_id()), "lm-texts")
     size = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(size) // block_bytes))
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     # Texts move once: both uses below share this exchange.
-    dealt = given.withColumn("block", block).repartition(blocks, "block")
+    dealt = placed(given, blocks).repartition(blocks, "block")
     words = dealt.groupBy("block").applyInArrow(_words, "word long, n long, block long")
     by_word = Window.partitionBy("word")
     counts = words.select(

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from keystrata.llm import lm_scoring
 from keystrata.llm.lm_scoring import ORDER, STATE_SHARE, Automaton, score, spelled
 from keystrata.llm.words import Words
 
@@ -122,3 +123,13 @@ def test_contexts_stay_whatever_the_size_of_the_corpus(spark):
     found = {r.doc_id: r.score for r in score(spark.createDataFrame([(i, t, f, "x", 1) for i, t, f in rows], SCHEMA), F.col("trains"), block_bytes=5000).collect()}
     assert found[10] == pytest.approx(expected, abs=0.01) and found[10] == pytest.approx(found[3], abs=1e-6)
     assert sum(n.total() for n in counts.values()) // ORDER > 2 * STATE_SHARE
+
+
+def test_rows_that_repeat_whole_are_spread_over_blocks(spark, monkeypatch):
+    rows = [(None, "the same text " * 10, True)] * 200
+    found = []
+    placed = lm_scoring.placed
+    monkeypatch.setattr(lm_scoring, "placed", lambda *a: found.append(placed(*a)) or found[-1])
+    same(run(spark, rows, block_bytes=7000), brute(rows))
+    per_block = Counter(r.block for r in found[0].select("block").collect())
+    assert len(per_block) == 4 and max(per_block.values()) < 100
