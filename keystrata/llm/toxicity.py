@@ -34,6 +34,19 @@ def _bytes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
 
 
+def _parts(word: bytes) -> list[bytes]:
+    """The word in parts of at most _WORD_BYTES, cut before whole characters."""
+    parts, at = [], 0
+    while at < len(word):
+        end = at + _WORD_BYTES
+        if end < len(word):
+            while end > at + _WORD_BYTES - 4 and word[end] & 0xC0 == 0x80:
+                end -= 1
+        parts.append(word[at:end])
+        at = end
+    return parts
+
+
 def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the words, each between blanks, and how many bytes of its word stand before each place."""
     data = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8)
@@ -162,7 +175,7 @@ class _Scorer:
             place, known = _find(self.keys, unique)
         if (~known).any():
             fresh = [words.word(i) for i in index[~known]]
-            parts = [[w[a : a + _WORD_BYTES] for a in range(0, len(w), _WORD_BYTES)] for w in fresh]
+            parts = [_parts(w) for w in fresh]
             owner = np.repeat(np.arange(len(parts)), [len(w) for w in parts])
             found = np.bincount(owner, weights=self.model.word_differences([p for w in parts for p in w]), minlength=len(parts))
             keys = np.concatenate([self.keys, unique[~known]])
@@ -184,9 +197,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(unique):
             continue
         weight = np.stack([np.bincount(inverse, weights=toxic[words.text_of] == side, minlength=len(unique)) for side in (0, 1)])
-        spelled = [words.word(i)[:_WORD_BYTES] for i in index]
+        parts_of = [_parts(words.word(i)) for i in index]
+        spelled = [p for w in parts_of for p in w]
         data, depth = _spelled(spelled)
-        owner = np.repeat(np.arange(len(spelled)), [len(w) + 2 for w in spelled])
+        word_of = np.repeat(np.arange(len(parts_of)), [len(w) for w in parts_of])
+        owner = np.repeat(word_of, [len(w) + 2 for w in spelled])
         parents = np.zeros(len(data), np.uint64)
         begun = _beginnings(data, depth)
         parents[1:] = begun[:-1]

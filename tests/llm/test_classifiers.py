@@ -101,3 +101,15 @@ def test_gradients_and_tables_agree_with_the_network():
             values.append(loss())
         net.parameters[name][at] = before
         assert (values[0] - values[1]) / 2e-3 == pytest.approx(g[name][at], abs=2e-3)
+
+
+def test_toxicity_learns_from_the_whole_of_long_words():
+    import pyarrow as pa
+
+    text = "日本語文" * 20 + "毒毒毒"
+    parts = toxicity._parts(text.encode())
+    assert b"".join(parts) == text.encode() and all(len(p) <= 64 and p.decode() for p in parts)
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([1])], names=["text", "toxic"])
+    counted = pa.Table.from_batches(toxicity._count(iter([batch])))
+    ones = [n for k, n in zip(counted.column("k").to_pylist(), counted.column("n1").to_pylist()) if k == 1]
+    assert sum(ones) == len(text.encode()) + 2 * len(parts)
