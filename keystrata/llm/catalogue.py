@@ -15,8 +15,11 @@ from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.licenses import scan_licenses
 from keystrata.llm.ngram_join import ngram_join
 from keystrata.llm.packing import pack
+from keystrata.llm.spelling import group_spellings
 from keystrata.llm.suffix_dedup import suffix_dedup
+from keystrata.llm.token_counts import count_tokens
 from keystrata.llm.topk import top_k
+from keystrata.llm.whitening import whiten
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -140,6 +143,21 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+@query()
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return group_spellings(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     _importable(spark)
     return corpus_pipeline.run(spark, folder)
