@@ -66,10 +66,11 @@ class Lake:
         self.create_database(area)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(
-            f"CREATE TABLE {name} ({ddl}) USING parquet {parts} {buckets} LOCATION '{self._version(table, area)}'"
+            f"CREATE TABLE {name} ({ddl}) USING parquet {parts} {buckets} LOCATION '{self.new_folder(table, area)}'"
         )
 
-    def _version(self, table: str, area: str) -> str:
+    def new_folder(self, table: str, area: str = "rawvault") -> str:
+        """A folder for a new state of the table or of some partitions."""
         return f"{self.folder(table, area)}/v-{uuid.uuid4().hex}"
 
     def exists(self, table: str, area: str = "rawvault") -> bool:
@@ -117,11 +118,12 @@ class Lake:
     def swap(self, table: str, state: DataFrame, area: str = "rawvault") -> None:
         """Replace the contents by ``state``, which may read the table itself.
 
-        Only for plain tables, as the ones kept by upsert and reload are.
+        Only for plain tables, as the ones kept by upsert and reload are. Of partitioned tables single partitions are
+        replaced, see `keystrata.sources.partitions`.
         """
         if any(self.layout(table, area)):
-            raise ValueError(f"{table} is partitioned or bucketed; append to it instead")
-        name, folder = self.name(table, area), self._version(table, area)
+            raise ValueError(f"{table} is partitioned or bucketed; replace its partitions or append to it instead")
+        name, folder = self.name(table, area), self.new_folder(table, area)
         schema = self.read(table, area).schema
         typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
         state.select(*typed).write.parquet(folder)
@@ -171,7 +173,7 @@ class Lake:
         self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         if bucket_by:
             rows = rows.repartition(bucket_by[0], *bucket_by[1])
-        writer = rows.write.format("parquet").option("path", self._version(table, area))
+        writer = rows.write.format("parquet").option("path", self.new_folder(table, area))
         if bucket_by:
             writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
         writer.saveAsTable(fresh)
