@@ -88,12 +88,41 @@ class ViewShape:
             raise ValueError(f"ranked must be 'before join' or 'after join', not {self.ranked!r}")
 
 
+def own_columns(columns: Sequence[str], hubs: Sequence[tuple[str, Sequence[str]]], shape: ViewShape, link_key: str | None = None) -> list[str]:
+    """Columns of a satellite that a view reads. ``hubs`` are hash key and business columns of each."""
+    hub_columns = {c for _, business in hubs for c in business}
+    hub_keys = {key for key, _ in hubs}
+    return [
+        c
+        for c in columns
+        if c not in hub_columns
+        and (
+            c in shape.output
+            or c in shape.version_keys
+            or c in (shape.order_by, shape.change_column, link_key)
+            or (link_key is None and c in hub_keys)
+            or (shape.ties is not None and c in shape.ties)
+        )
+    ]
+
+
+def narrowing_keys(own: Sequence[str], hubs: Sequence[tuple[str, Sequence[str]]], shape: ViewShape, link_key: str | None = None) -> list[str]:
+    """Keys by which only the newest satellite row can come into a view."""
+    if shape.ranked == "before join":
+        return list(shape.version_keys)
+    # Rows of one link key meet the same hubs, so only the newest per (link key, own version columns) can
+    # win after the join. Dropping the others first keeps old versions out of every join shuffle.
+    anchor = [link_key] if link_key is not None else [key for key, _ in hubs]
+    return [*anchor, *(k for k in shape.version_keys if k in own and k not in anchor)]
+
+
 def current_view(
     satellite: DataFrame,
     hubs: Sequence[Hub],
     shape: ViewShape,
     link: DataFrame | None = None,
     link_key: str | None = None,
+    narrowed: bool = False,
 ) -> DataFrame:
     """Latest version per key without deleted keys, joined to its hubs (through a link when given).
 
@@ -101,34 +130,17 @@ def current_view(
     ``'after join'`` ranks only rows that found all hubs, and may use hub columns as version keys.
 
     The delete test comes after ranking: a newest row marked deleted hides the older versions, and a row
-    without a change mark is dropped.
+    without a change mark is dropped. ``narrowed`` says that the satellite rows are the newest by `narrowing_keys` already.
     """
-    hub_columns = {c for hub in hubs for c in hub.columns}
-    hub_keys = {hub.key for hub in hubs}
-    own = [
-        c
-        for c in satellite.columns
-        if c not in hub_columns
-        and (
-            c in shape.output
-            or c in shape.version_keys
-            or c in (shape.order_by, shape.change_column, link_key)
-            or (link is None and c in hub_keys)
-            or (shape.ties is not None and c in shape.ties)
-        )
-    ]
+    names = [(hub.key, hub.columns) for hub in hubs]
+    by = link_key if link is not None else None
+    own = own_columns(satellite.columns, names, shape, by)
     rows = satellite.select(*map(quoted, own))
-
-    if shape.ranked == "before join":
-        joined = _join_hubs(latest_by(rows, shape.version_keys, shape.order_by, shape.ties), hubs, link, link_key)
-    else:
-        # Rows of one link key meet the same hubs, so only the newest per (link key, own version columns) can
-        # win after the join. Dropping the others first keeps old versions out of every join shuffle.
-        anchor = [link_key] if link is not None else [hub.key for hub in hubs]
-        own_keys = [k for k in shape.version_keys if k in own and k not in anchor]
+    if not narrowed:
         ties = None if shape.ties is None else [c for c in shape.ties if c in own]
-        narrowed = latest_by(rows, [*anchor, *own_keys], shape.order_by, ties)
-        joined = _join_hubs(narrowed, hubs, link, link_key)
+        rows = latest_by(rows, narrowing_keys(own, names, shape, by), shape.order_by, ties)
+    joined = _join_hubs(rows, hubs, link, link_key)
+    if shape.ranked == "after join":
         joined = latest_by(joined, shape.version_keys, shape.order_by, shape.ties)
 
     kept = joined.filter(quoted(shape.change_column) != shape.deleted)

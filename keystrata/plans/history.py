@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystrata.functions.hashing import quoted
-from keystrata.operators.counts import count_as
+from keystrata.operators.columns import select_target
+from keystrata.operators.counts import Fingerprint, count_as
 from keystrata.sources.files import append_count_log
 from keystrata.sources.tables import Lake
 
@@ -30,7 +31,7 @@ def direct_insert(lake: Lake, table: str, staged: DataFrame, area: str = "hist_d
 
 
 class CountMismatch(RuntimeError):
-    pass
+    """The merged table has not all rows of both, or has some that neither had."""
 
 
 class UnfinishedMerge(RuntimeError):
@@ -40,7 +41,8 @@ class UnfinishedMerge(RuntimeError):
 def merge_history(lake: Lake, daily: str, history: str, area: str = "rawvault", resume: bool = False) -> dict[str, int]:
     """Append a history table to its daily table, check the counts, then leave the history table empty.
 
-    Both tables are copied to ``<table>_bkp`` first. A count mismatch stops before anything is removed. From the
+    Both tables are copied to ``<table>_bkp`` first. The check is of contents, not of counts alone: a row that is lost while another
+    is doubled is found, see `Fingerprint`. A mismatch stops before anything is removed. From the
     first change on until the end, the table ``<daily>_merging`` marks the merge as unfinished: another call refuses, so
     that nothing is added twice and the good copies stay, unless ``resume`` puts both tables back from their copies and
     merges anew. With an empty history table nothing is done.
@@ -52,16 +54,18 @@ def merge_history(lake: Lake, daily: str, history: str, area: str = "rawvault",
         for table in (daily, history):
             lake.create_like(table, f"{table}_bkp", area)
             lake.append(table, lake.read(f"{table}_bkp", area), area)
-    before, added = lake.read(daily, area).count(), lake.read(history, area).count()
-    if added:
+    columns = lake.columns(daily, area)
+    before, added = Fingerprint.of(lake.read(daily, area)), Fingerprint.of(select_target(lake.read(history, area), columns))
+    if added.row_count:
         if not lake.exists(marker, area):
             lake.backup(daily, area)
             lake.backup(history, area)
             lake.create(marker, "history string", area=area)
         lake.append(daily, lake.read(history, area), area)
-        total = lake.read(daily, area).count()
+        total = Fingerprint.of(lake.read(daily, area))
         if total != before + added:
-            raise CountMismatch(f"{daily}: {before} + {added} rows expected, {total} found")
+            counts = f"{before.row_count} + {added.row_count} rows expected, {total.row_count} found"
+            raise CountMismatch(f"{daily}: {counts}" + ", with other contents" * (total.row_count == before.row_count + added.row_count))
         lake.truncate(history, area)
     lake.drop(marker, area)
-    return {"daily_count": before, "history_count": added, "total_count": before + added}
+    return {"daily_count": before.row_count, "history_count": added.row_count, "total_count": (before + added).row_count}

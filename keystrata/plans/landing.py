@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keystrata.functions.times import archive_folder
 from keystrata.operators.columns import Moment
-from keystrata.sources.files import FILE_PATH, ledger, numbered_lines, parse_numbered, widest, write_parquet
+from keystrata.sources.files import FILE_PATH, ledger, measured_lines, parse_numbered, write_parquet
 
 
 def staged_lines(spark: SparkSession, paths: str | Sequence[str], width: int | None = None) -> DataFrame:
@@ -17,8 +17,8 @@ def staged_lines(spark: SparkSession, paths: str | Sequence[str], width: int | N
 
     There are as many fields as the widest line has, or ``width`` if that is more.
     """
-    numbered = numbered_lines(spark, paths)
-    return parse_numbered(numbered, max(width or 1, widest(numbered)))
+    numbered, splits = measured_lines(spark, paths)
+    return parse_numbered(numbered, max(width or 1, splits.agg(F.max("width")).first()[0] or 1))
 
 
 def with_file_day(df: DataFrame, name: str = "file_day") -> DataFrame:

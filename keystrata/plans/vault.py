@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 
 from keystrata.functions.hashing import hash_diff, hash_key, hash_raw, quoted, satellite_diff_columns
 from keystrata.operators import columns as C
-from keystrata.operators.counts import count_by
 from keystrata.operators.latest import latest_transaction, one_per_key
 from keystrata.operators.merge import current_hashes, in_partitions, insert_only, new_versions
 from keystrata.operators.transforms import apply_satellite, apply_staging, parse_file_date
 from keystrata.plans.config import FeedConfig, HubSpec, LinkSpec, SameAsSpec
+from keystrata.plans.counted import append_counted, logged_counts
+from keystrata.plans.current import CurrentVersions, append_and_merge, for_delta_check, repair
 from keystrata.session import written
 from keystrata.sources.files import BatchResult, append_count_log, load_in_batches, read_parquet
 from keystrata.sources.tables import Lake
@@ -171,18 +172,22 @@ def satellite_rows(
     ignore: tuple[str, ...] = (),
     partition: str | Mapping[str, str | None] | None = None,
     direct: bool = False,
+    current: CurrentVersions | None = None,
 ) -> DataFrame:
     """Rows to append to a satellite.
 
     ``direct`` appends every distinct version of the batch. Otherwise versions equal to the current one are
     left out; with ``partition``, a column or columns with the format of text values, a version is compared with
-    all versions in the partitions the batch touches.
+    all versions in the partitions the batch touches. With ``current`` the current versions are read from their table,
+    and only from the buckets of the batch's keys.
     """
     shape = SatelliteShape.of(target.schema, key)
     versions = satellite_versions(df, shape, ignore)
     if direct:
         return one_per_key(versions, [shape.key, shape.diff])
-    if partition is None:
+    if partition is None and current is not None:
+        known = current.near(versions)
+    elif partition is None:
         known = current_hashes(target, shape.key, shape.diff, of=versions)
     else:
         known = in_partitions(target, versions, partition)
@@ -231,7 +236,7 @@ class VaultFeed:
         self.load_satellites(apply_satellite(with_hashes(df, self.hashes), self.config.transforms))
         if self.config.history:
             for table in self.config.satellites:
-                append_count_log(count_by(self.lake.read(table)), count_log or self._count_log())
+                append_count_log(logged_counts(self.lake, table), count_log or self._count_log())
 
     def run_files(self, files: Sequence[str], count_log: str | None = None) -> list[BatchResult]:
         """Load files in as many groups as the feed asks for; see `load_in_batches`."""
@@ -298,16 +303,32 @@ class VaultFeed:
         ignore = UNMAPPED_COLUMNS if config.replicated else ()
         for table in config.satellites:
             target = self.lake.read(table)
+            current = self._current(table, target)
             rows = satellite_rows(
                 self._subset(df, "SPLIT_SAT", table),
                 target,
                 ignore=ignore,
                 partition=self._partition(table),
                 direct=config.flag("DIRECTINSERT") or config.history,
+                current=current,
             )
-            self.lake.append(table, rows)
+            if current is not None:
+                append_and_merge(current, rows)
+            elif config.history:
+                append_counted(self.lake, table, rows, [] if config.source_is_file else [config.record_source])
+            else:
+                self.lake.append(table, rows)
             self._finish(table)
 
+    def _current(self, table: str, target: DataFrame) -> CurrentVersions | None:
+        """The satellite's table ``_CV`` of current versions, when it has one."""
+        shape = SatelliteShape.of(target.schema)
+        current = for_delta_check(self.lake, table, shape.key, shape.diff, shape.columns)
+        if not current.exists():
+            return None
+        repair(current)
+        return current
+
     def _partition(self, table: str) -> dict[str, str | None] | None:
         """Partition columns to compare within and the formats of their values, when the feed asks for it.
 

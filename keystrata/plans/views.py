@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from keystrata.operators.latest import Hub, ViewShape, current_view
+from keystrata.operators.latest import Hub, ViewShape, current_view, narrowing_keys, own_columns
+from keystrata.plans.current import CurrentVersions
 from keystrata.sources.tables import Lake
 
 
@@ -211,12 +212,24 @@ VIEWS = {
 }
 
 
+def current_versions(lake: Lake, name: str, buckets: int = 64) -> CurrentVersions:
+    """The table ``<view>_CV``: the satellite rows that can come into a view, in the columns that it reads."""
+    view = VIEWS[name]
+    hubs = [(f"{table}_HSH_KEY", columns) for table, columns in view.hubs.items()]
+    own = own_columns(lake.columns(view.satellite), hubs, view.shape, view.link_key)
+    keys = narrowing_keys(own, hubs, view.shape, view.link_key)
+    ties = None if view.shape.ties is None else tuple(c for c in view.shape.ties if c in own)
+    return CurrentVersions(lake, view.satellite, tuple(keys), view.shape.order_by, tuple(own), ties, f"{name}_CV", buckets)
+
+
 def view_rows(lake: Lake, name: str) -> DataFrame:
-    """Rows of a named view over the vault of an environment."""
+    """Rows of a named view over the vault of an environment, from its table of current versions if there is one."""
     view = VIEWS[name]
     hubs = [Hub(lake.read(table), f"{table}_HSH_KEY", columns) for table, columns in view.hubs.items()]
     link = lake.read(view.link) if view.link else None
-    return current_view(lake.read(view.satellite), hubs, view.shape, link, view.link_key)
+    current = current_versions(lake, name)
+    narrowed = current.exists()
+    return current_view(current.rows() if narrowed else lake.read(view.satellite), hubs, view.shape, link, view.link_key, narrowed)
 
 
 def register_views(lake: Lake) -> list[str]:

@@ -56,13 +56,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of text files with their numbers; see `measured_lines`."""
+    return measured_lines(spark, paths)[0]
+
+
+def measured_lines(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Lines of text files as ``(value, _adfFilePath, line)`` with the 1-based line number in each file.
 
     Files are split as usual, also a file that holds most of the data. One pass writes every line with its split
     and its place there to the shared folder; splits may be cut differently in another pass, so the lines in
     earlier splits of a file are counted on that copy too. Their known size lets Spark broadcast these counts
     (a row per split) when they are small and join them by shuffle when they are not. Lines themselves are never
-    shuffled to be counted.
+    shuffled to be counted. The second result has a row per split with the fields of its widest line as ``width``,
+    from the same pass that counts lines.
     """
     lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
         "value",
@@ -72,16 +78,19 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         F.monotonically_increasing_id().alias("__id"),
     )
     lines = written(lines, "landed-lines")
-    per_split = lines.groupBy(FILE_PATH, "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__lines"))
+    per_split = lines.groupBy(FILE_PATH, "__start").agg(
+        F.min("__id").alias("__first"), F.count("*").alias("__lines"), F.max(field_count()).alias("width")
+    )
     earlier = Window.partitionBy(FILE_PATH).orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.select(
         FILE_PATH,
         "__start",
         (F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+        "width",
     )
-    return lines.join(written(offsets, "line-offsets"), [FILE_PATH, "__start"]).select(
-        "value", FILE_PATH, (F.col("__id") + F.col("__shift") + 1).alias("line")
-    )
+    offsets = written(offsets, "line-offsets")
+    numbered = lines.join(offsets, [FILE_PATH, "__start"])
+    return numbered.select("value", FILE_PATH, (F.col("__id") + F.col("__shift") + 1).alias("line")), offsets
 
 
 def field_count(line: str = "value"):

@@ -8,7 +8,7 @@ no transaction: readers see the old state until the switch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,12 +99,15 @@ class Lake:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table, area)}").filter("col_name = 'Num Buckets'")
         return int(described.head().data_type)
 
-    def append(self, table: str, rows: DataFrame, area: str = "rawvault") -> None:
+    def append(
+        self, table: str, rows: DataFrame, area: str = "rawvault", observed: Callable[[DataFrame], DataFrame] | None = None
+    ) -> None:
         """Insert rows by the target's columns and order.
 
         Rows for a partitioned table are rebalanced by partition, which keeps files few and splits a
         partition that holds most of the rows over several tasks. Rows for a bucketed table are brought to one
-        task per bucket, which writes one file.
+        task per bucket, which writes one file. ``observed`` attaches an observation to the rows; it is put behind
+        all shuffles, where a task that is repeated does not count twice.
         """
         rows = select_target(rows, self.columns(table, area))
         parts, buckets = self.layout(table, area)
@@ -112,6 +115,8 @@ class Lake:
             rows = rows.repartition(self._bucket_count(table, area), *buckets)
         elif parts:
             rows = rows.hint("rebalance", *parts)
+        if observed:
+            rows = observed(rows)
         rows.write.insertInto(self.name(table, area))
         self.spark.catalog.refreshTable(self.name(table, area))
 
