@@ -11,7 +11,7 @@ from keystrata.catalogue.registry import query, sql_hash_key, sql_hash_raw, sql_
 from keystrata.functions.hashing import hash_key
 from keystrata.functions.times import moment
 from keystrata.operators.columns import delta_metadata, select_target, subset_for
-from keystrata.operators.counts import count_as, count_by, extend_log, reconcile
+from keystrata.operators.counts import count_as, count_by, extend_log, reconcile, reconcile_contents
 from keystrata.operators.merge import in_partitions, upsert
 from keystrata.plans import calendar as K
 from keystrata.plans import vault as V
@@ -211,7 +211,7 @@ def sat_load_partition_filtered(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     with first as (select user_id, event_type, value, cast(ts as date) as day from events where ts < timestamp '2024-01-12'),
-    second as (select * from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-14')
+    second as (select * from events where ts >= timestamp '2024-01-10')
     select count(*) as rows_in, count(distinct user_id) as users from first f
     where f.day in (select cast(ts as date) from second) or f.event_type in (select distinct event_type from second where event_type <> 'click')
     """
@@ -224,7 +224,7 @@ def partitions_of_two_columns(spark: SparkSession, sf: str) -> DataFrame:
     lake = _lake(spark)
     lake.create("SAT_KNOWN", known.schema, ["event_type", "day"])
     lake.append("SAT_KNOWN", known)
-    batch = events.filter("ts >= timestamp_ntz'2024-01-10' and ts < timestamp_ntz'2024-01-14'").select(
+    batch = events.filter("ts >= timestamp_ntz'2024-01-10'").select(
         F.date_format("ts", "dd/MM/yyyy").alias("day"), F.when(F.col("event_type") != "click", F.col("event_type")).alias("event_type")
     )
     touched = in_partitions(lake.read("SAT_KNOWN"), batch, {"day": "dd/MM/yyyy", "event_type": None})
@@ -300,20 +300,45 @@ class _Interrupted(Lake):
         raise InterruptedError("the driver was lost")
 
 
+_ROW_TEXT = " || ".join(
+    f"coalesce(length({t}) || ':' || {t}, '~')"
+    for t in ("cast(o_orderkey as varchar)", "cast(o_custkey as varchar)", "o_orderstatus", "cast(o_orderdate as varchar)", "nullif(o_orderpriority, '5-LOW')")
+)
+
+
 @query(
-    """select count(*) filter (where o_orderdate >= timestamp '1998-01-01') as daily_count,
-              count(*) filter (where o_orderdate < timestamp '1998-01-01') as history_count, count(*) as total_count, true as ok
-       from orders"""
+    f"""
+    with h as (select o_orderdate < timestamp '1998-01-01' as old, md5({_ROW_TEXT}) as h from orders),
+    x as (select part, cast('0x' || substr(h, 1, 16) as ubigint) as a, cast('0x' || substr(h, 17, 16) as ubigint) as b from (
+            select 'daily' as part, h from h where not old union all select 'history', h from h where old union all select 'total', h from h))
+    select part, count(*) as row_count, cast(sum(a) as varchar) as sum_high, cast(sum(b) as varchar) as sum_low,
+        lpad(lower(hex(bit_xor(a))), 16, '0') || lpad(lower(hex(bit_xor(b))), 16, '0') as xor, true as ok
+    from x group by part
+    """
 )
 def history_merge_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    """A history table merged into its daily table; count and fingerprint of both before and of the whole after."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority")
+    )
     lake = _lake(spark)
     lake.create("SAT_ORDER", orders.schema)
     lake.create("SAT_ORDER_HIST", orders.schema)
     lake.append("SAT_ORDER", orders.filter("o_orderdate >= timestamp_ntz'1998-01-01'"))
     lake.append("SAT_ORDER_HIST", orders.filter("o_orderdate < timestamp_ntz'1998-01-01'"))
     merge_history(lake, "SAT_ORDER", "SAT_ORDER_HIST")
-    return reconcile(lake.read("SAT_ORDER_bkp"), lake.read("SAT_ORDER_HIST_bkp"), lake.read("SAT_ORDER"))
+    return reconcile_contents(lake.read("SAT_ORDER_bkp"), lake.read("SAT_ORDER_HIST_bkp"), lake.read("SAT_ORDER"))
+
+
+@query(
+    """select count(*) filter (where o_orderdate >= timestamp '1998-01-01') as daily_count,
+              count(*) filter (where o_orderdate < timestamp '1998-01-01') as history_count, count(*) as total_count, true as ok
+       from orders"""
+)
+def history_merge_counts(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    recent = F.col("o_orderdate") >= F.expr("timestamp_ntz'1998-01-01'")
+    return reconcile(orders.filter(recent), orders.filter(~recent), orders)
 
 
 @query(

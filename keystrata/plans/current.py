@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keystrata.functions.hashing import quoted
 from keystrata.operators.latest import latest_by
@@ -54,7 +55,7 @@ class CurrentVersions:
     def create(self) -> None:
         """Create the table and fill it from the satellite; the only time that history is ranked."""
         schema = self.lake.read(self.satellite, self.area).select(*map(quoted, self._columns)).schema
-        self.lake.create(self.table, schema.add(BUCKET, "int"), [BUCKET], self.area)
+        self.lake.create(self.table, T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]), [BUCKET], self.area)
         self.merge(self.lake.read(self.satellite, self.area))
 
     def _placed(self, rows: DataFrame) -> DataFrame:
