@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,15 +47,48 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/keystrata/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark setting: shuffle files go at the end of the query that made them, not when the driver collects its garbage.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder once and read from there.
 
     For rows that several branches of a plan use. Unlike a cache it outlives its executors, and its size is
-    known when joins are planned.
+    known when joins are planned. The shuffles that led to it are of no more use then and leave the disks. `released`
+    removes the folder again.
     """
-    folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_folder(spark, name)
+    with _setting(spark, _SHUFFLE_CLEANUP, "true"):
+        df.write.parquet(folder)
+    rows = spark.read.schema(df.schema).parquet(folder)
+    _folders[rows] = folder
+    return rows
+
+
+def released(*written_rows: DataFrame) -> None:
+    """Remove what `written` wrote, once all that is made of it has been written itself."""
+    for rows in written_rows:
+        folder = _folders.pop(rows, None)
+        if folder:
+            path = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 _base: str | None = None
