@@ -20,18 +20,26 @@ from keystrata.session import written
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with their ``row`` number, and ``place``, by which the rows of a group are ranked and told apart."""
-    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "corpus-pipeline-rows")
-    return rows.withColumn("place", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    """The documents, whatever their columns are called, as ``document`` with their ``text``, a ``row`` number, and ``place``.
+
+    By the place the rows of a group are ranked and told apart.
+    """
+    rows = written(docs.select(F.struct(*docs.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "corpus-pipeline-rows")
+    key = F.col("document.doc_id")
+    return rows.withColumns({"text": F.col("document.text"), "place": F.struct(key.isNull().alias("no_id"), key.alias("doc_id"), "row")})
 
 
 def _of(rows: DataFrame, places: DataFrame) -> DataFrame:
     """The documents of the numbered rows at these places."""
-    return rows.join(places.select(F.col("place.row").alias("row")), "row", "left_semi").drop("row", "place")
+    return rows.join(places.select(F.col("place.row").alias("row")), "row", "left_semi").select("document.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5; the models learn from the labels of these documents."""
+    """Documents whose toxicity score is below 0.5; the models learn from the labels of these documents.
+
+    A NULL text is scored as an empty one. Rows with a NULL id or one that repeats are scored each by its own text; only labels of
+    ids are learned from. Columns of any name stay.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     # The whole row goes along as the id, so that nothing needs to be joined back.
     scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("document"), "text"), model, id_column="document")
@@ -39,19 +47,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with equal texts: the one with the smallest id."""
+    """One document of each group with equal texts: the one with the smallest id.
+
+    NULL and empty texts are one group. Ids that are NULL come last; equal or NULL ids are told apart by row number. Columns
+    of any name stay.
+    """
     rows = _numbered(docs)
     return _of(rows, exact_dedup(rows, id_column="place").filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingles link at a Jaccard similarity of 0.8: the one with the smallest id."""
+    """One document of each group that five-word shingles link at a Jaccard similarity of 0.8: the one with the smallest id.
+
+    A NULL text or one without words is linked with nothing and stays. Ids that are NULL come last; equal or NULL ids are
+    told apart by row number. Columns of any name stay.
+    """
     rows = _numbered(docs)
     return _of(rows, ngram_join(rows, k=5, above=(80, 100), id_column="place").filter("place = component_id"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 200 bytes that stand at more than one place; only whole characters go."""
+    """All documents, without the strings of 200 bytes that stand at more than one place; only whole characters go.
+
+    A NULL text becomes an empty one. Rows are worked on each for itself, so NULL and equal ids do no harm. ``n_chars`` is counted
+    anew; other columns of any name stay.
+    """
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
     cut = suffix_dedup(docs.select(F.struct(*rest).alias("document"), "text"), whole_characters=True, id_column="document")
     text = F.decode("kept", "UTF-8")
@@ -59,7 +79,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens and their places in sequences of 1024."""
+    """Pieces of the documents' tokens and their places in sequences of 1024.
+
+    A NULL or empty text gives the end id alone. Each row is a document, whatever its id.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
 
 
