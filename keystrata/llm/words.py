@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+_LONG = 32  # bytes; the sum of powers takes some different longer words for equal
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -58,7 +61,10 @@ class Words:
         up, down = power(len(self.data))
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        found = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        for i in np.flatnonzero(self.ends - self.starts > _LONG):
+            found[i] = int.from_bytes(hashlib.blake2b(self.word(i), digest_size=8).digest(), "little")
+        return found
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
