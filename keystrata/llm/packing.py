@@ -9,6 +9,7 @@ a task that runs again reads the same split in the same order and gives the same
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -65,8 +66,11 @@ def _encoder(path: str) -> CachedEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return CachedEncoder(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+    with open(path, encoding="utf-8") as lines:
+        added = json.load(lines).get("added_tokens") or []
+    return CachedEncoder(
+        lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)], added={t["content"]: t["id"] for t in added}
+    )
 
 
 def pack(
@@ -80,7 +84,8 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``tokens``, ``sequence_id``, ``offset``.
 
-    A document is its token ids and then ``end_id``; a NULL text counts as empty and gives ``end_id`` alone. Only
+    A document is its token ids, as the library gives them without added special tokens, and then ``end_id``; a special
+    token that stands in the text counts as the library takes it by default. A NULL text counts as empty and gives ``end_id`` alone. Only
     documents longer than ``capacity`` are cut: their first piece has the remainder, the others are full. ``tokens``
     are the ids of the piece as little-endian unsigned 32-bit numbers. Places in a sequence are gapless from 0 and
     no sequence is longer than ``capacity``. Ids may be NULL or repeat: each row is a document of its own. Other

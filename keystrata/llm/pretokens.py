@@ -7,7 +7,8 @@ regular expression engine; pieces are then known by a 64-bit hash, so that an en
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Collection
 from functools import lru_cache
 
 import numpy as np
@@ -86,12 +87,28 @@ def piece_starts(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def piece_starts_around(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """`piece_starts` where the spans from ``begin`` to ``end`` are whole pieces, and texts end before and start behind them."""
+    cuts = np.unique(np.concatenate([begin, end]))
+    starts = piece_starts(np.insert(points, cuts, _BORDER))
+    extra = cuts + np.arange(len(cuts))  # places of the inserted borders
+    starts = starts[~np.isin(starts, extra)]
+    starts = starts - np.searchsorted(extra, starts)
+    span = np.searchsorted(begin, starts, side="left") - 1  # the last that begins before
+    return starts[(span < 0) | (starts >= end[span])]
+
+
 class Pieces:
-    """The pieces of a list of texts: ``bounds`` (code points), ``hashes``, and the text each belongs to."""
+    """The pieces of a list of texts: ``bounds`` (code points), ``hashes``, and the text each belongs to.
+
+    ``added`` tokens are pieces of their own, and what stands between them is split as if it were a text.
+    """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], added: Collection[str] = ()):
         points, borders = points_of(texts)
-        starts = piece_starts(points)
+        pattern = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        spans = [(borders[i] + 1 + m.start(), borders[i] + 1 + m.end()) for i, text in enumerate(texts) if any(a in text for a in added) for m in pattern.finditer(text)]
+        starts = piece_starts_around(points, *np.array(spans, np.int64).T) if spans else piece_starts(points)
         ends = np.append(starts[1:], len(points))
         real = points[starts] != _BORDER
         self.points, self.starts, self.ends = points, starts[real], ends[real]
@@ -112,11 +129,12 @@ class Pieces:
 class CachedEncoder:
     """Encodes texts through an encoder of single pieces, which is asked once for each different piece.
 
-    The cache holds at most ``most`` pieces; beyond that it starts afresh.
+    The cache holds at most ``most`` pieces; beyond that it starts afresh. ``added`` tokens are encoded apart from the
+    text around them.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 1 << 20):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 1 << 20, added: Collection[str] = ()):
+        self.encode, self.most, self.added = encode, most, added
         self._clear()
 
     def _clear(self) -> None:
@@ -133,7 +151,7 @@ class CachedEncoder:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, and the offsets of the texts in them."""
-        pieces = Pieces(texts)
+        pieces = Pieces(texts, self.added)
         unique, index, inverse = np.unique(pieces.hashes, return_index=True, return_inverse=True)
         place = self._place(unique)
         if len(self.keys) + int((place < 0).sum()) > self.most:

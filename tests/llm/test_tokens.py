@@ -20,6 +20,7 @@ HARD = [
     "", " ", "  ", "\n", " \n ", "a  b", "a \n b\n\n", "don't we'll I'M 'tis 'sx !'s ''s  's \n's x'relic they'velo 'l 'll", "x" * 3000,
     "é 　 ü ß\x1c\x1d a", "1234 5a6 ٣٤ ½", "日本語 テキスト 한국어", "👩‍👩‍👧 ok", "<|endoftext|> <|im_start|>", "\x00\x01 tab\tend", "ab" * 700 + " " * 90 + "c",
 ]
+SPECIAL = ["a<|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>\n x", "it<|endoftext|>'s  <|endoftext|", "don't<|endoftext|>  ", "x " * 400 + "<|endoftext|>" * 3 + " y"]
 
 
 @pytest.fixture(scope="module")
@@ -89,7 +90,9 @@ def test_packing(spark):
     rows = [(i, t, 0) for i, t in enumerate([*words, *HARD])] + [(None, None, 1), (5, "twice", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, piece int").coalesce(2)
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
+    assert tokenizer.encode("a<|endoftext|> b", add_special_tokens=False).ids[1] == 50256
+    rows += [(200 + i, t, 0) for i, t in enumerate(SPECIAL)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, piece int").coalesce(2)
     expected = sorted(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t, _ in rows)
     sequences, documents = defaultdict(list), defaultdict(list)
     for r in pack(df, JSON, open_bins=4).collect():
@@ -110,6 +113,8 @@ def test_packing(spark):
             assert all(p[2] == 1024 for p in pieces[1:])
     whole = [b"".join(p[3] for p in sorted(v)) for k, v in documents.items() if k != 5] + [p[3] for p in documents[5] if p[2] < 100]
     assert sorted(w for w in whole) == sorted(e for e in expected if len(e) in {len(x) for x in whole})[: len(whole)] or set(whole) <= set(expected)
+    for i, t in enumerate(SPECIAL):
+        assert b"".join(p[3] for p in sorted(documents[200 + i])) == np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()
     assert pack(df.limit(0), JSON).collect() == []
 
 
