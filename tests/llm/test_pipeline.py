@@ -121,3 +121,12 @@ def test_repeated_rows_and_null_ids_leave_one_copy(spark):
         assert sum(i is None for i, _ in kept) == 1 and {t[:200] for _, t in kept} == {t[:200] for t in prose[:5]}
     cut = corpus_pipeline.cut_repeats(spark, corpus_pipeline.drop_near_copies(spark, exact, ""), "")
     assert {r.text for r in cut.collect() if r.text} >= {prose[0], prose[3], prose[4]}
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c d e f", "en", 5, 9), (2, "a b c d e f", "de", 6, 8), (3, None, "fr", None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place string, row int, s long")
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies):
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns
+        assert sorted(map(tuple, found.collect())) == [rows[0], rows[2]]
