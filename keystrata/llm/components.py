@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystrata.session import written
+from keystrata.session import released, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,6 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(smallest, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         after = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "components")
         changed = after.count() != edges.count() or not after.join(edges, ["u", "v"], "left_anti").isEmpty()
+        released(edges)
         edges = after
         if not changed:
             break

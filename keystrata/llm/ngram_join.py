@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from keystrata.llm.batches import text_slices, utf8
 from keystrata.llm.components import components
 from keystrata.llm.words import Words, mixed
-from keystrata.session import written
+from keystrata.session import released, written
 
 SKETCH_BITS = 1024
 FREQUENT = 1000  # sets that hold a shingle, from which on it is frequent; raised so that at most 2 ** 20 are
@@ -186,9 +186,9 @@ def _index(frequent, part: float, lack: tuple[int, int]):
                     blocks.append(low << 31 | high)
             if not rows:
                 continue
-            owner = batch.column("s").take(pa.array(np.concatenate(rows)))
-            columns = [pa.array(np.concatenate(signatures).view(np.int64)), pa.array(np.concatenate(blocks)), owner]
-            yield pa.RecordBatch.from_arrays(columns, names=["signature", "block", "s"])
+            at = pa.array(np.concatenate(rows))
+            columns = [pa.array(np.concatenate(signatures).view(np.int64)), pa.array(np.concatenate(blocks)), batch.column("s").take(at), batch.column("n").take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["signature", "block", "s", "n"])
 
     return work
 
@@ -350,6 +350,7 @@ def ngram_join(
     members = written(rows.select("row", "id", "n", "f1", "f2").join(sets, ["n", "f1", "f2"], "left").select("row", "id", "n", "s"), "ngram-join-members")
     first = members.filter("row = s").select("s")
     alone = written(rows.select(F.col("row").alias("s"), "h", "n", "order", "bits", "wide").join(first, "s", "left_semi"), "ngram-join-distinct")
+    released(rows)
 
     spark = docs.sparkSession
     counted = written(alone.select("order").mapInArrow(_counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(f"n >= {int(frequent_from)}"), "ngram-join-frequent")
@@ -359,11 +360,14 @@ def ngram_join(
     by = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[by], held[by]))
 
-    # Most shingles are in one set alone: only meetings of two sets or more go on.
+    # Most shingles are in one set alone, and most sets that meet by chance differ in size: only sets go on that meet one
+    # of a size which allows the similarity. If any set does, the next in the order of sizes does.
     met = Window.partitionBy("signature", "block")
-    index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long")
-    index = index.withColumn("m", F.count(F.lit(1)).over(met)).filter("m > 1")
-    index = written(dealt(index), "ngram-join-index")
+    by_size = met.orderBy("n")
+    index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long, n long")
+    index = index.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more")).withColumn("m", F.count(F.lit(1)).over(met))
+    fits = (above[1] * F.col("less") >= above[0] * F.col("n")) | (above[1] * F.col("n") >= above[0] * F.col("more"))
+    index = written(dealt(index.filter(fits)), "ngram-join-index")
 
     def meet(labels: DataFrame | None) -> DataFrame:
         """Pairs that may be similar: a forest of each meeting, or with labels all pairs between different ones."""
@@ -393,11 +397,13 @@ def ngram_join(
     labels = written(components(checked.filter("similar")), "ngram-join-labels")
     apart = meet(labels.select(F.col("node").alias("s"), F.col("component").alias("c")))
     more = written(plausible(apart).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
+    released(index, forest, apart)
     joined = labels
     if not more.isEmpty():
         joined = components(checked.filter("similar").select("a", "b").union(verify(more).filter("similar").select("a", "b")))
     classes = members.join(joined.select(F.col("node").alias("s"), "component"), "s", "left")
     classes = written(classes.select("id", "n", F.coalesce("component", "s").alias("c"), "row"), "ngram-join-classes")
+    released(members, alone, counted, wanted, texts, checked, labels, more)
     smallest = classes.filter("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))
     return classes.join(smallest, "c", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")

@@ -167,3 +167,29 @@ def test_large_meetings_of_rare_shingles_are_dealt(spark):
 def test_small_sets_of_frequent_shingles(spark):
     rows = [(i, t) for i, t in enumerate(["a", "b", "a b", "c"] + [f"a x{j}" for j in range(8)] + [f"a b y{j}" for j in range(8)])]
     assert run(spark, rows, 1, (1, 2), frequent_from=3) == brute(rows, 1, (1, 2))
+
+
+def test_long_words_are_told_apart(spark):
+    """Two words for which a sum of powers modulo 2 ** 64 is the same."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one + " x y"), (2, other + " x y"), (3, one + " x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join(docs, k=3, above=(90, 100)).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_chance_meetings_of_other_sizes_lose_no_link(spark):
+    """Many sets of all sizes share a few shingles; only those of like size can be similar."""
+    rng = random.Random(11)
+    common = " ".join(f"c{i}" for i in range(12))
+    rows = []
+    for i in range(60):
+        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 150)))
+        rows.append((i, f"{common} {own}"))
+        if i % 3 == 0:
+            rows.append((100 + i, f"{common} {own} end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for above in ((90, 100), (80, 100)):
+        found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(docs, k=3, above=above, frequent_from=8).collect())
+        assert found == sorted(brute(rows, 3, above))
