@@ -5,10 +5,10 @@ arcs carry smoothed probabilities (interpolated Witten-Bell), and a failure arc
 to the context without its first byte. A text is spelled from left to right, one end sign after each word and one
 after the text; its score adds up the log-probabilities on its path.
 
-The automaton grows with the corpus and stays in a table. As no context is left out, the last ORDER - 1 symbols alone
-say where a path goes on, so a step is an n-gram. Its weight, with the failure arcs on the way, is worked out by joins,
-once for each different n-gram. Blocks of texts send their different words and n-grams once and get back the words'
-counts in the corpus and the n-grams' weights.
+The automaton grows with the corpus and stays in a table; no context is left out. A block of texts needs only the states that its
+own texts pass: it asks for its different n-grams once, joins follow the failure arcs for each of them and send back the
+weight of the arc with those of the failures on the way. From these the block builds its own automaton, in which every
+state has its arcs at hand, and traverses it from left to right. Words' counts in the corpus come the same way.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from keystrata.llm.words import Words, mixed
 from keystrata.session import written
 
 ORDER = 6  # bytes, the predicted one included
-STATE_SHARE = 1 << 14  # leaves nothing out here: a corpus of fewer symbols, as in tests, has the same states with it
 BLOCK_BYTES = 16 << 20
 WORD_END, TEXT_END = 0x20, 0x00
 _SEGMENT = 2048
@@ -79,7 +78,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Automaton:
-    """The automaton of a small corpus in memory, against which the weights in the table are held.
+    """The whole automaton of a small corpus in memory, its failure arcs apart: blocks' automata are tested against it.
 
     ``contexts``: bytes of each state, shortest first, the empty one at 0. ``arcs``: per state, symbol to count."""
 
@@ -229,25 +228,78 @@ def _answered(key, arcs: pa.Table, asked: pa.Table) -> pa.Table:
     return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "weights": pa.array(packed, pa.binary())})
 
 
-def _block_words(table: pa.Table) -> tuple[list[pa.RecordBatch], list[np.ndarray], np.ndarray, np.ndarray]:
-    """Slices of a block, the word hashes of each, and the block's distinct hashes with their numbers in training texts."""
-    parts = list(text_slices(iter(table.combine_chunks().to_batches()), "text"))
-    hashes, unique, counts = [], [np.zeros(0, np.uint64)], [np.zeros(0)]
-    for part in parts:
-        words = Words(*utf8(part.column("text")))
-        hashes.append(words.hashes)
-        trained = np.asarray(part.column("trains"))[words.text_of]
-        found, inverse = np.unique(hashes[-1], return_inverse=True)
-        unique.append(found)
-        counts.append(np.bincount(inverse, weights=trained, minlength=len(found)))
-    merged, inverse = np.unique(np.concatenate(unique), return_inverse=True)
-    return parts, hashes, merged, np.bincount(inverse, weights=np.concatenate(counts), minlength=len(merged)).astype(np.int64)
+class _Block:
+    """The texts of a block in slices, and the block's distinct words with their numbers in training texts."""
+
+    def __init__(self, table: pa.Table):
+        self.parts = list(text_slices(iter(table.combine_chunks().to_batches()), "text"))
+        self.words = [Words(*utf8(part.column("text"))) for part in self.parts]
+        unique, counts, self.inverse = [np.zeros(0, np.uint64)], [np.zeros(0)], []
+        for part, words in zip(self.parts, self.words):
+            trained = np.asarray(part.column("trains"))[words.text_of]
+            found, inverse = np.unique(words.hashes, return_inverse=True)
+            unique.append(found)
+            counts.append(np.bincount(inverse, weights=trained, minlength=len(found)))
+            self.inverse.append(inverse)
+        self.unique, merged = np.unique(np.concatenate(unique), return_inverse=True)
+        self.n = np.bincount(merged, weights=np.concatenate(counts), minlength=len(self.unique)).astype(np.int64)
+        # Of each slice, where its distinct words are among the block's.
+        self.place = np.split(merged, np.cumsum([len(u) for u in unique[1:]])[:-1]) if self.parts else []
 
 
 def _words(table: pa.Table) -> pa.Table:
     """The distinct words of a block: hash and how often its training texts have them."""
-    _, _, unique, n = _block_words(table)
-    return pa.table({"word": unique.view(np.int64), "n": n, "block": np.full(len(unique), table.column("block")[0].as_py(), np.int64)})
+    block = _Block(table)
+    return pa.table({"word": block.unique.view(np.int64), "n": block.n, "block": np.full(len(block.unique), table.column("block")[0].as_py(), np.int64)})
+
+
+class BlockAutomaton:
+    """The states that a block's texts pass, from its different n-grams and the weights of these, both sorted by n-gram.
+
+    A state is a context of ORDER - 1 symbols. Its arcs lie side by side; a set of bits says for which symbols there are
+    any, and the number of smaller symbols in it is the place of the arc. The failure arcs are in the weights.
+    """
+
+    def __init__(self, grams: np.ndarray, weight: np.ndarray):
+        context, symbol = grams >> np.uint64(8), (grams & np.uint64(255)).astype(np.int64)
+        self.contexts, first, owner = np.unique(context, return_index=True, return_inverse=True)
+        self.weight = np.append(weight.astype(np.float32), np.float32(0))
+        bits = np.zeros((len(self.contexts), 4), np.uint64)
+        np.bitwise_or.at(bits, (owner, symbol >> 6), np.uint64(1) << (symbol & 63).astype(np.uint64))
+        before = np.cumsum(np.bitwise_count(bits), axis=1, dtype=np.int64) - np.bitwise_count(bits)
+        self.bits, self.first = bits.ravel(), (first[:, None] + before).ravel().astype(np.int32)
+        after = grams & np.uint64((1 << 8 * (ORDER - 1)) - 1)
+        self.follow = np.append(self.state(after), 0).astype(np.int32)
+
+    def state(self, contexts: np.ndarray) -> np.ndarray:
+        """Number of each context; of one that no text goes on from, any."""
+        return np.minimum(np.searchsorted(self.contexts, contexts), max(len(self.contexts) - 1, 0))
+
+    def score(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Sum of weights on the path of each text. Texts are cut into segments that are traversed side by side."""
+        sizes = np.diff(offsets)
+        number = -(-sizes // _SEGMENT)
+        owner = np.repeat(np.arange(len(sizes)), number)
+        part = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+        begin = offsets[owner] + part * _SEGMENT
+        length = np.minimum(offsets[owner + 1] - begin, _SEGMENT)
+        by = np.argsort(-length, kind="stable")
+        owner, begin, length, part = owner[by], begin[by], length[by], part[by]
+        # A text starts behind word ends, a later segment behind the last symbols of the one before.
+        context = np.zeros(len(begin), np.uint64)
+        for k in range(ORDER - 1, 0, -1):
+            seen = np.where(part > 0, symbols[np.maximum(begin - k, 0)], WORD_END)
+            context = context << np.uint64(8) | seen.astype(np.uint64)
+        state, total = self.state(context).astype(np.int64), np.zeros(len(owner))
+        live = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), side="left")  # segments longer than t
+        for t, n in enumerate(live.tolist()):
+            symbol = symbols[begin[:n] + t]
+            cell = state[:n] * 4 + (symbol >> 6)
+            below = (np.uint64(1) << (symbol & 63).astype(np.uint64)) - np.uint64(1)
+            arc = self.first[cell] + np.bitwise_count(self.bits[cell] & below)
+            total[:n] += self.weight[arc]
+            state[:n] = self.follow[arc]
+        return np.bincount(owner, weights=total, minlength=len(sizes))
 
 
 def _block_scores(buckets: int):
@@ -256,41 +308,45 @@ def _block_scores(buckets: int):
         corpus = counts.column("c").to_numpy()
         sent_words = counts.column("word").to_numpy().view(np.uint64)
         leads = int(np.count_nonzero(counts.column("leads").to_numpy() & (corpus > 0)))
-        parts, hashes, unique, c = _block_words(texts)
-        grams = _steps(parts)
+        block = _Block(texts)
+        path = [spelled(words) for words in block.words]
+        grams = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_ngrams(*p)) for p in path)]))
         by, ranges = _by_bucket(grams, buckets)
         weight = np.empty(len(grams))
         answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("weights")))
         for k, a, b in ranges:
             weight[by[a:b]] = np.frombuffer(answer[k].as_buffer(), "<f4")
+        automaton = BlockAutomaton(grams, weight)
         # Words of this block alone were not sent back: their counts here are all there are.
-        sent = np.searchsorted(unique, sent_words)
-        alone = np.ones(len(unique), bool)
-        alone[sent] = False
+        c = block.n
+        at = np.searchsorted(block.unique, sent_words)
+        alone = np.ones(len(c), bool)
+        alone[at] = False
         own = int(np.count_nonzero(alone & (c > 0)))
-        c[sent] = corpus
-        out = []
-        for part, h in zip(parts, hashes):
-            words = Words(*utf8(part.column("text")))
-            each = c[np.searchsorted(unique, h)]
-            m, trains = part.num_rows, np.asarray(part.column("trains"))
-            symbols, offsets = spelled(words)
-            steps, inverse = np.unique(_ngrams(symbols, offsets), return_inverse=True)
-            path = weight[np.searchsorted(grams, steps)][inverse]
+        c[at] = corpus
+        known, logs = (c > 0).astype(np.float64), np.log10(c + _ADD)
+        # All slices are traversed at once.
+        shift = np.cumsum([0, *(len(p[0]) for p in path)])
+        offsets = np.concatenate([[0], *(p[1][1:] + at for p, at in zip(path, shift))])
+        scores = automaton.score(np.concatenate([p[0] for p in path]), offsets)
+        out, done = [], 0
+        for part, words, inverse, place in zip(block.parts, block.words, block.inverse, block.place):
+            m, trains, mine = part.num_rows, np.asarray(part.column("trains")), place[inverse]
             out.append(
                 pa.table(
                     {
                         "id": part.column("id"),
                         "trains": part.column("trains"),
                         "n_words": words.per_text,
-                        "known_words": np.bincount(words.text_of, weights=each > 0, minlength=m).astype(np.int64),
-                        "logs": np.bincount(words.text_of, weights=np.log10(each + _ADD), minlength=m).astype(np.float64),
-                        "score": np.bincount(np.repeat(np.arange(m), np.diff(offsets)), weights=path, minlength=m).astype(np.float64),
+                        "known_words": np.bincount(words.text_of, weights=known[mine], minlength=m).astype(np.int64),
+                        "logs": np.bincount(words.text_of, weights=logs[mine], minlength=m).astype(np.float64),
+                        "score": scores[done : done + m],
                         "train_words": np.where(trains, words.per_text, 0),
                         "new_words": np.where((np.arange(m) == 0) & (not out), own + leads, 0),
                     }
                 )
             )
+            done += m
         return pa.concat_tables(out)
 
     return work

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keystrata.llm import lm_scoring
-from keystrata.llm.lm_scoring import ORDER, STATE_SHARE, Automaton, score, spelled
+from keystrata.llm.lm_scoring import ORDER, Automaton, BlockAutomaton, _ngrams, score, spelled
 from keystrata.llm.words import Words
 
 SCHEMA = "doc_id long, text string, trains boolean, score string, block long"
@@ -24,17 +24,15 @@ def symbols(text):
 
 def witten_bell(train):
     """Function from (context, symbol) to probability, by the definition."""
-    counts, total = {}, 0
+    counts = {}
     for t in train:
         s = b" " * (ORDER - 1) + symbols(t)
         for i in range(ORDER - 1, len(s)):
-            total += 1
             for k in range(ORDER):
                 counts.setdefault(s[i - k : i], Counter())[s[i : i + 1]] += 1
-    states = {c for c, n in counts.items() if not c or n.total() * STATE_SHARE >= total}
 
     def p(context, x):
-        if context and context not in states:
+        if context and context not in counts:
             return p(context[1:], x)
         lower = p(context[1:], x) if context else 1 / 256
         n = counts.get(context)
@@ -122,7 +120,54 @@ def test_contexts_stay_whatever_the_size_of_the_corpus(spark):
     expected = model.score(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), model.start)[0]
     found = {r.doc_id: r.score for r in score(spark.createDataFrame([(i, t, f, "x", 1) for i, t, f in rows], SCHEMA), F.col("trains"), block_bytes=5000).collect()}
     assert found[10] == pytest.approx(expected, abs=0.01) and found[10] == pytest.approx(found[3], abs=1e-6)
-    assert sum(n.total() for n in counts.values()) // ORDER > 2 * STATE_SHARE
+
+
+def test_a_blocks_automaton_walks_as_the_whole_one():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abé", k=rng.randrange(1, 9))) for _ in range(rng.randrange(900))) for _ in range(12)] + ["", "x"]
+    counts = {}
+    for t in texts[:6]:
+        s = b" " * (ORDER - 1) + symbols(t)
+        for i in range(ORDER - 1, len(s)):
+            for k in range(ORDER):
+                counts.setdefault(s[i - k : i], Counter())[s[i]] += 1
+    whole = Automaton.of_counts(counts)
+    raw = [symbols(t) for t in texts]
+    path, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    grams = np.unique(_ngrams(path, offsets))
+
+    def weight(gram):
+        state = 0
+        for x in int(gram).to_bytes(ORDER, "big"):
+            last, state = state, whole.follow[state, whole.symbol_of[x]]
+        return whole.weight[last, whole.symbol_of[x]]
+
+    block = BlockAutomaton(grams, np.array([weight(g) for g in grams]))
+    assert max(map(len, raw)) > 2 * lm_scoring._SEGMENT
+    assert np.allclose(block.score(path, offsets), whole.score(path, offsets, whole.start), rtol=1e-5)
+
+
+def test_blocks_are_scored_by_their_automata(spark, monkeypatch):
+    """The query's path goes through the traversal: the tasks see a changed one, too, as its function travels with them."""
+    walked = []
+    score_path = BlockAutomaton.score
+    monkeypatch.setattr(BlockAutomaton, "score", lambda self, *a: walked.append(len(self.contexts)) or score_path(self, *a))
+    import pyarrow as pa
+
+    texts = pa.table({"id": [1, 2], "text": ["ab ab", "b"], "trains": [True, False], "block": [0, 0]})
+    asked = lm_scoring._asked(1)(texts)
+    grams = np.frombuffer(asked.column("grams")[0].as_py(), np.uint64)
+    sent = pa.table({"word": pa.array([None], pa.int64()), "c": pa.array([0], pa.int64()), "leads": [False], "bucket": [0], "weights": pa.array([np.full(len(grams), -1, "<f4").tobytes()])})
+    found = lm_scoring._block_scores(1)(None, texts, sent)
+    assert walked and found.column("score").to_pylist() == [-7.0, -3.0]
+
+
+def test_long_words_are_told_apart(spark):
+    """Two words for which a sum of powers modulo 2 ** 64 is the same."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one + " x", True), (2, other + " x", False)]
+    same(run(spark, rows), brute(rows))
 
 
 def test_rows_that_repeat_whole_are_spread_over_blocks(spark, monkeypatch):
