@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystrata.functions.hashing import hash_diff, hash_key, hash_raw, quoted, satellite_diff_columns
+from keystrata.functions.times import moment
 from keystrata.operators import columns as C
 from keystrata.operators.latest import latest_transaction, one_per_key
 from keystrata.operators.merge import current_hashes, in_partitions, insert_only, new_versions
@@ -207,13 +208,15 @@ class VaultFeed:
 
     A repeated run adds nothing twice to hubs and links, nor to satellites that are compared with their current
     version, as long as the batch holds one version of a key. Direct inserts (``DIRECTINSERT``, history feeds) append what they get, so a run
-    that is repeated appends it again.
+    that is repeated appends it again; `keystrata.plans.exactly_once` sees to it that it is not. ``resumed`` says that an earlier run with
+    this load time broke off: satellites leave out the versions they have from it.
     """
 
     lake: Lake
     config: FeedConfig
     load_ts: C.Moment | None = None
     extract_ts: C.Moment | None = None
+    resumed: bool = False
 
     def __post_init__(self):
         # One literal per run, so that a task that runs again writes the same rows.
@@ -312,6 +315,8 @@ class VaultFeed:
                 direct=config.flag("DIRECTINSERT") or config.history,
                 current=current,
             )
+            if self.resumed:
+                rows = self._without_loaded(rows, target)
             if current is not None:
                 append_and_merge(current, rows)
             elif config.history:
@@ -320,6 +325,13 @@ class VaultFeed:
                 self.lake.append(table, rows)
             self._finish(table)
 
+    def _without_loaded(self, rows: DataFrame, target: DataFrame) -> DataFrame:
+        """Rows less the versions that the target has from this load; statistics of its files rule out most others."""
+        shape = SatelliteShape.of(target.schema)
+        mine = target.filter(quoted("LOAD_DATE_TIME") == moment(self.load_ts).cast(shape.types["LOAD_DATE_TIME"]))
+        at = [shape.key, shape.diff]
+        return rows.join(mine.select(*map(quoted, at)), at, "left_anti")
+
     def _current(self, table: str, target: DataFrame) -> CurrentVersions | None:
         """The satellite's table ``_CV`` of current versions, when it has one."""
         shape = SatelliteShape.of(target.schema)
