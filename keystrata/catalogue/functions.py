@@ -74,6 +74,24 @@ def hash_sat_diff_decimal(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("l_orderkey", "l_linenumber", hash_diff(columns, types, types).alias("hsh_diff"))
 
 
+# Products and quotients of prices: doubles with up to 17 digits, small ones among them.
+_DOUBLES = {
+    "net": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+    "unit": "l_extendedprice / l_quantity / 7",
+    "tiny": "l_discount / l_extendedprice / l_extendedprice / l_extendedprice",
+    "large": "l_extendedprice * l_extendedprice * l_extendedprice * l_partkey",
+}
+_DOUBLE_TEXTS = ", ".join(f"case when contains({t}, 'e') then {t} else rtrim(rtrim({t}, '0'), '.') end" for t in (f"cast({e} as varchar)" for e in _DOUBLES.values()))
+
+
+@query(f"select l_orderkey, l_linenumber, sha1(concat_ws(':', {_DOUBLE_TEXTS}) || ':') as hsh_diff from lineitem")
+def hash_sat_diff_double(spark: SparkSession, sf: str) -> DataFrame:
+    """Change hash over doubles: each with the fewest digits from which it is read back."""
+    df = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", *(f"{e} as {n}" for n, e in _DOUBLES.items()))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select("l_orderkey", "l_linenumber", hash_diff(list(_DOUBLES), types, types).alias("hsh_diff"))
+
+
 @query(
     f"""select o_orderkey, {sql_hash_raw('o_orderkey', 'o_custkey')} as "HSH_KEY",
                {sql_hash_raw('o_orderkey', 'o_custkey', "nullif(o_orderstatus, 'F')", 'o_orderpriority', 'o_orderdate')} as "HSH_DIFF"

@@ -17,6 +17,7 @@ from keystrata.plans import vault as V
 from keystrata.plans.config import FeedConfig
 from keystrata.plans.contracts import CONTRACTS
 from keystrata.plans.current import CurrentVersions, append_and_merge, for_delta_check
+from keystrata.plans.exactly_once import follow_folder
 from keystrata.plans.partitioned import upsert_partitions
 from keystrata.plans.views import current_versions, view_rows
 from keystrata.plans.warehouse import to_warehouse
@@ -240,25 +241,22 @@ def upsert_partitioned_orders(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read("REF_ORDER")
 
 
-@query(
-    """
-    with o as (select 'orders-' || o_orderstatus as file, o_orderdate < timestamp '1997-01-01' as first from orders)
-    select 'log after 1' as kind, file as source, cast(count(*) as varchar) as n from o where first group by file
-    union all select 'log after 2', file, cast(count(*) as varchar) from o group by file
-    union all select 'hub', file, cast(count(*) as varchar) from o group by file
-    """
-)
-def history_feed_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Two history loads whose record source is the file: counts logged per satellite from the writes, and the hub's sources."""
-    flat = {k: v for k, v in _FEED.items() if not k.startswith("Prop")} | {"load_type": "Hist_Data", "BUSINESSPARTITIONDATE": "BUS"}
-    lake = _lake(
+_HISTORY_FEED = {k: v for k, v in _FEED.items() if not k.startswith("Prop")} | {"load_type": "Hist_Data", "BUSINESSPARTITIONDATE": "BUS"}
+
+
+def _history_lake(spark: SparkSession) -> Lake:
+    return _lake(
         spark,
         HUB_ORDER=f"HUB_ORDER_HSH_KEY string, ORDER_NO bigint, {_META}",
         HUB_CUSTOMER=f"HUB_CUSTOMER_HSH_KEY string, CUSTOMER_NO bigint, {_META}",
         LINK_ORDER_CUSTOMER=f"LINK_ORDER_CUSTOMER_HSH_KEY string, HUB_ORDER_HSH_KEY string, HUB_CUSTOMER_HSH_KEY string, {_META}",
         SAT_ORDER=f"HUB_ORDER_HSH_KEY string, SAT_ORDER_HSH_DIFF string, CHANGE_TYPE string, EXTRACT_DATE_TIME timestamp_ntz, PRIORITY_CODE string, AMOUNT decimal(15,2), {_META}",
     )
-    raw = table(spark, sf, "orders").select(
+
+
+def _history_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as files of a history feed bring them, a file per order status."""
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("ORDER_NO"),
         F.col("o_custkey").alias("CUSTOMER"),
         F.col("o_orderdate").alias("BUS"),
@@ -266,10 +264,23 @@ def history_feed_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(15,2)").alias("AMOUNT"),
         F.concat(F.lit("orders-"), "o_orderstatus").alias("_srcFileName"),
     )
+
+
+@query(
+    """
+    with o as (select 'orders-' || o_orderstatus as file, o_orderdate < timestamp '1997-01-01' as first from orders)
+    select 'log after 1' as kind, file as source, cast(count(*) as varchar) as n from o where first group by file
+    union all select 'log after 2', file, cast(count(*) as varchar) from o group by file
+    union all select 'hub', file, cast(count(*) as varchar) from o group by file
+    """
+)
+def history_feed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Two history loads whose record source is the file: counts logged per satellite from the writes, and the hub's sources."""
+    lake, raw = _history_lake(spark), _history_raw(spark, sf)
     logs = []
     for i, where in enumerate(("BUS < timestamp_ntz'1997-01-01'", "BUS >= timestamp_ntz'1997-01-01'"), start=1):
         log = shared_folder(spark, "count-log")
-        V.VaultFeed(lake, FeedConfig.from_parameters(flat), f"2024-01-0{i} 00:00:00").run(raw.filter(where), log)
+        V.VaultFeed(lake, FeedConfig.from_parameters(_HISTORY_FEED), f"2024-01-0{i} 00:00:00").run(raw.filter(where), log)
         logs.append(read_count_log(spark, log).select(F.lit(f"log after {i}").alias("kind"), F.col("FileName").alias("source"), F.col("Count").alias("n")))
     hub = lake.read("HUB_ORDER").groupBy(F.col("RECORD_SOURCE").alias("source")).agg(F.count("*").cast("string").alias("n"))
     return logs[0].union(logs[1]).unionByName(hub.withColumn("kind", F.lit("hub")))
@@ -290,3 +301,23 @@ def warehouse_run_dates(spark: SparkSession, sf: str) -> DataFrame:
         to_warehouse(lake, settings, given, today=dt.date(1998, 5, 31))
     found = [lake.read(f"STG_{job}", "dimlayer").withColumn("job", F.lit(job)).select("job", "o_orderkey", "o_orderstatus") for job in jobs]
     return found[0].union(found[1])
+
+
+@query(
+    """select o_orderkey, 'orders-' || o_orderstatus as source,
+              timestamp '2024-03-01 00:00:00' + (case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end) * interval 1 second as load_ts
+       from orders"""
+)
+def history_feed_followed(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder followed as a stream: three drops of files and a call that finds nothing; every row once, with its batch's time."""
+    lake, raw = _history_lake(spark), _history_raw(spark, sf)
+    folder, mark = shared_folder(spark, "drops"), shared_folder(spark, "stream")
+    feed = V.VaultFeed(lake, FeedConfig.from_parameters(_HISTORY_FEED))
+    first = F.col("_srcFileName") == "orders-F"
+    for batch in (raw.filter(first), raw.filter(F.col("_srcFileName") == "orders-O"), raw.filter(~F.col("_srcFileName").isin("orders-F", "orders-O")), None):
+        if batch is not None:
+            batch.write.mode("append").parquet(folder)
+        follow_folder(feed, folder, raw.schema, mark, now=dt.datetime(2024, 3, 1))
+    hub = lake.read("HUB_ORDER").select("HUB_ORDER_HSH_KEY", "ORDER_NO")
+    rows = lake.read("SAT_ORDER").join(hub, "HUB_ORDER_HSH_KEY")
+    return rows.select(F.col("ORDER_NO").alias("o_orderkey"), F.col("RECORD_SOURCE").alias("source"), F.col("LOAD_DATE_TIME").alias("load_ts"))

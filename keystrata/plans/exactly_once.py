@@ -114,7 +114,9 @@ def run_new_files(feed: VaultFeed, paths: Sequence[str], count_log: str | None =
             results.append(BatchResult(tuple(files), f"{type(error).__name__}: {error}".splitlines()[0]))
 
     for begun in ledger.unfinished():
-        attempt(ledger.files_of(begun.load_id), begun)
+        files = ledger.files_of(begun.load_id)
+        if files:  # else a batch of a stream, which the stream repeats itself
+            attempt(files, begun)
     fresh = written(ledger.new_files(listed(lake, paths)), "new-files")
     names = [r.file for r in fresh.select("file").orderBy("file").collect()]  # names of files, not rows
     for group in split_evenly(names, feed.config.batches):
@@ -126,7 +128,7 @@ def run_new_files(feed: VaultFeed, paths: Sequence[str], count_log: str | None =
     return results
 
 
-def follow_folder(feed: VaultFeed, folder: str, schema: T.StructType | str, checkpoint: str, files_per_batch: int = 1000, name: str = "stream") -> int:
+def follow_folder(feed: VaultFeed, folder: str, schema: T.StructType | str, checkpoint: str, files_per_batch: int = 1000, name: str = "stream", now: dt.datetime | None = None) -> int:
     """Load what has come into a folder since the last call, as a stream that ends when it has caught up; returns batches loaded.
 
     Spark keeps in ``checkpoint`` which files each batch has, and gives a batch that broke off the same files and number
@@ -135,8 +137,8 @@ def follow_folder(feed: VaultFeed, folder: str, schema: T.StructType | str, chec
     ledger, done = LoadLedger(feed.lake, feed.config.record_source), []
 
     def load(batch: DataFrame, number: int) -> None:
-        begun = ledger.begin(f"{name}-{number}")
-        if begun is not None and not batch.isEmpty():
+        begun = ledger.begin(f"{name}-{number}", now=now) if not batch.isEmpty() else None
+        if begun is not None:
             _run(feed, ledger, begun, batch, None)
             done.append(number)
 

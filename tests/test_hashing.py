@@ -1,4 +1,5 @@
 import hashlib
+import random
 from decimal import Decimal
 
 import pytest
@@ -103,3 +104,13 @@ def test_instants_hash_alike_in_every_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert found["UTC"] == found["Australia/Melbourne"] == found["America/New_York"] and len(set(found["UTC"])) == 5
+
+
+def test_double_texts_have_the_fewest_digits(spark):
+    """As Python prints them, on any Java: some of these come out of Java 17 with a digit too many."""
+    rng = random.Random(3)
+    values = [2.0**-44, 1e23, 2e-3, 2.2250738585072014e-308, 1.7976931348623157e308, 0.1 + 0.2, 1 / 3, 2.0**53, 1e15 / 3, -5.430536952729196e-272, 1e16, 9999999999999998.0, 1e-4, 9.5e-5]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(500)] + [rng.randrange(10**6) / 7 * 10.0 ** rng.randrange(-30, 16) for _ in range(1500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r.t for r in df.select(H.double_text(F.col("x")).alias("t")).collect()]
+    assert [f if "e" in f or "." in f else f + ".0" for f in found] == list(map(repr, values))
