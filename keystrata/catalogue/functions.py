@@ -81,7 +81,7 @@ _DOUBLES = {
     "tiny": "l_discount / l_extendedprice / l_extendedprice / l_extendedprice",
     "large": "l_extendedprice * l_extendedprice * l_extendedprice * l_partkey",
 }
-_DOUBLE_TEXTS = ", ".join(f"case when contains({t}, 'e') then {t} else rtrim(rtrim({t}, '0'), '.') end" for t in (f"cast({e} as varchar)" for e in _DOUBLES.values()))
+_DOUBLE_TEXTS = ", ".join(f"case when contains({t}, '.') then rtrim(rtrim({t}, '0'), '.') else {t} end" for t in (f"cast({e} as varchar)" for e in _DOUBLES.values()))
 
 
 @query(f"select l_orderkey, l_linenumber, sha1(concat_ws(':', {_DOUBLE_TEXTS}) || ':') as hsh_diff from lineitem")

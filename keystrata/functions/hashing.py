@@ -80,26 +80,27 @@ def shortest_digits(column: Column) -> Column:
     def parts(text: Column) -> Column:
         mantissa = F.split_part(text, F.lit("E"), F.lit(1))
         power = F.coalesce(F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
-        return F.struct(
-            F.translate(mantissa, "-.", "").try_cast("bigint").alias("digits"),
-            (power - F.length(mantissa) + F.locate(".", mantissa)).alias("power"),
-            F.length(F.ltrim(F.translate(mantissa, "-.", ""), F.lit("0"))).alias("size"),
+        digits = F.ltrim(F.translate(mantissa, "-.", ""), F.lit("0"))
+        printed = F.struct(
+            digits.try_cast("bigint").alias("digits"), (power - F.length(mantissa) + F.locate(".", mantissa)).alias("power"), F.length(digits).alias("size")
         )
+        whole = F.abs(column).try_cast("bigint")  # exact, where Java's text is rounded
+        exact = F.struct(whole.alias("digits"), F.lit(0).alias("power"), F.length(whole.cast("string")).alias("size"))
+        return F.when((F.abs(column) >= 2.0**53) & (F.abs(column) < 9.2e18), exact).otherwise(printed)
 
     def shortest(p: Column) -> Column:
-        def near(count: int) -> list[Column]:
-            # Java prints 18 digits at most: one, two or three go.
-            def number(way: int) -> Column:
-                div = lambda n: F.call_function("div", p["digits"] + F.lit(way * n // 2), F.lit(n))
-                less = F.when(p["size"] == count + 1, div(10)).when(p["size"] == count + 2, div(100)).otherwise(div(1000))
-                text = F.concat(less.cast("string"), F.lit("E"), (p["power"] + p["size"] - count).cast("string"))
-                return F.when(p["size"] > count, text)
-
-            return [number(1), number(0), number(2)]  # rounded, cut off, cut off and one more
+        def number(count: int, way: int) -> Column:
+            # There are 19 digits at most: one to four go.
+            div = lambda n: F.call_function("div", p["digits"] + F.lit(way * n // 2), F.lit(n))
+            less = F.when(p["size"] == count + 1, div(10)).when(p["size"] == count + 2, div(100)).when(p["size"] == count + 3, div(1000)).otherwise(div(10000))
+            return F.concat(less.cast("string"), F.lit("E"), (p["power"] + p["size"] - count).cast("string"))
 
         given = F.concat(p["digits"].cast("string"), F.lit("E"), p["power"].cast("string"))
-        tries = F.filter(F.array(*(t for n in (15, 16, 17) for t in near(n))), lambda t: t.try_cast("double") == F.abs(column))
-        return F.when(p["size"] <= 15, given).otherwise(F.coalesce(F.try_element_at(tries, F.lit(1)), given))
+        # Rounded to 15 digits, then to 16, cut off there, cut off and one more, then to 17.
+        found = F.when(p["size"] <= 15, given)
+        for count, way in ((15, 1), (16, 1), (16, 0), (16, 2), (17, 1)):
+            found = found.when((p["size"] > count) & (number(count, way).try_cast("double") == F.abs(column)), number(count, way))
+        return found.otherwise(given)
 
     return _let(_let(column.cast("string"), parts), shortest)
 
@@ -134,8 +135,12 @@ def number_text(column: Column, source_type: T.DataType | None = None) -> Column
     Trailing zeros are cut only from texts with a decimal point: ``100.00`` and ``100`` give ``100``.
     """
     if isinstance(source_type, T.DoubleType):
-        text = double_text(column)
-    elif isinstance(source_type, T.DecimalType) and source_type.scale > 6:
+        cut_off = lambda t: F.when(t.contains("."), F.rtrim(F.rtrim(t, F.lit("0")), F.lit("."))).otherwise(t)
+        # Up to 15 digits, and between 1e-3 and 1e7, Java's text is the shortest already, and without a power.
+        java = column.cast("string")
+        brief = (F.length(java) <= 16) & ~java.contains("E") & ~F.isnan(column) & (F.abs(column) != float("inf"))
+        return F.coalesce(F.when(brief, cut_off(java)).otherwise(_let(double_text(column), cut_off)), F.lit("None"))
+    if isinstance(source_type, T.DecimalType) and source_type.scale > 6:
         # Below 1e-6 a decimal prints as 1.2E-7; a cast does so only without ANSI mode.
         text = F.when(column.isNotNull(), F.format_string("%s", column))
     else:
