@@ -249,7 +249,7 @@ def near_words(words: DataFrame, meeting: int = MEETING) -> DataFrame:
     rank[np.lexsort((np.arange(_GRAMS), frequency))] = np.arange(_GRAMS)
 
     schema = "part long, side int, place long, pivot boolean, id long, word string, n long, size long"
-    index = written(words.mapInArrow(_signatures(rank, frequency), schema), "spelling-index")
+    index = words.mapInArrow(_signatures(rank, frequency), schema)
     parts = index.groupBy("part").agg(F.count(F.lit(1)).alias("m"), F.count_if("pivot").alias("pivots")).filter("m > 1 and pivots > 0")
     index = written(index.join(parts.select("part", "m"), "part"), "spelling-meetings")
     few, many = index.filter(F.col("m") <= meeting), index.filter(F.col("m") > meeting)
