@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from keystrata.llm.batches import SLICE_BYTES, text_slices, utf8
 from keystrata.llm.words import mixed, power
-from keystrata.session import written
+from keystrata.session import released, written
 
 LENGTH = 200
 ANCHOR = 64
@@ -333,6 +333,7 @@ def suffix_dedup(
     runs = written(runs.select("row", *(F.col(c).cast("int") for c in ("first", "last", "place")), "anchor", "piece"), "suffix-dedup-runs")
     met = written(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "suffix-dedup-anchors")
     shared = written(runs.join(met, "anchor"), "suffix-dedup-shared")
+    released(runs, met)
 
     pieces = shared.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last", "place")).alias("one"))
     pieces = written(pieces.select("anchor", "piece", "n", "one.*"), "suffix-dedup-pieces")
@@ -344,6 +345,7 @@ def suffix_dedup(
     partly = placed.mapInArrow(_repeats(length), "anchor long, piece long, a long, b long")
     whole = pieces.filter("n > 1").select("anchor", "piece", F.lit(0).cast("long").alias("a"), (F.col("last") - F.col("first")).cast("long").alias("b"))
     repeats = written(partly.union(whole), "suffix-dedup-repeats")
+    released(pieces)
 
     marks = shared.join(repeats, ["anchor", "piece"]).select("row", (F.col("first") + F.col("a")).cast("int").alias("a"), (F.col("first") + F.col("b")).cast("int").alias("b"))
     by_row = marks.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
