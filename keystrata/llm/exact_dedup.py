@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystrata.session import written
+from keystrata.session import released, written
 
 
 def hash128(text: Column) -> Column:
@@ -65,6 +65,7 @@ def exact_dedup(
         .select("h", F.sha2("text", 256).alias("sha"), F.col("n").alias("own_n"), F.col("keep_id").alias("own_keep"))
     )
     clashing = written(regrouped, "exact-dedup-clashes")
+    released(members, first)
     found = keys.join(groups.select("h", "n", "keep_id"), "h").join(clashing, ["h", "sha"], "left")
     own = F.col("own_n").isNotNull()
     keep_id = F.when(own, F.col("own_keep")).otherwise(F.col("keep_id"))
