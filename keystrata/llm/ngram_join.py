@@ -8,13 +8,14 @@ small that one common shingle may do have all of theirs indexed alone.
 
 Sets that meet in the index are compared by their sizes and by 1024 parity bits, which bound the difference of two
 sets from below, and pair by pair by as many parity bits as the sets need. What is left is verified on whole texts:
-first one pair of a spanning forest for each set, and then, where that left sets apart, every pair that lies between
-different components.
+first one pair of a spanning forest for each set; then, as long as that brings large groups together, again with other
+sets in the middle of the trees; and at last every pair that still lies between different components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ SKETCH_BITS = 1024
 FREQUENT = 1000  # sets that hold a shingle, from which on it is frequent; raised so that at most 2 ** 20 are
 MARKS = 1 << 26  # bits by which texts are sorted out before they are moved: 8 MB
 MEETING = 4096  # sets that are compared in one place
+MANY_PAIRS = 4  # possible pairs for each index row, from which on another forest is verified before all pairs are
 ALONE = -1  # the block of rare shingles
 _MULTIPLIERS = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
 
@@ -210,23 +212,24 @@ def prefix(is_hot: np.ndarray, is_low: np.ndarray, need: int) -> tuple[np.ndarra
     return np.concatenate([rare, rest[~is_hot[rest]]]), np.concatenate([frequent, rest[is_hot[rest]]])
 
 
-def _meetings(above: tuple[int, int], forest: bool):
-    """Pairs of each signature that may be similar. Rows come sorted by (signature, block).
+def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
+    """Pairs of each signature that may be similar and lie between different components. Rows come sorted by (signature, block).
 
-    ``forest``: of these pairs only a spanning forest, smallest ids first; else all between different components.
+    ``forest``: of these pairs only a spanning forest of the components, from the sets that come first: in turn 0 those
+    of smallest number, in each later one others. Else all pairs.
     """
     numerator, denominator = above
 
     def pairs_of(s, n, bits, c):
-        order = np.argsort(s, kind="stable")
-        s, n, bits, c = s[order], n[order], bits[order], c[order]
-        new = np.ones(len(s), bool)
-        new[1:] = s[1:] != s[:-1]
-        s, n, bits, c = s[new], n[new], bits[new], c[new]
+        s, first = np.unique(s, return_index=True)
+        n, bits, c = n[first], bits[first], c[first]
+        if turn:
+            order = np.argsort(mixed(s.view(np.uint64) * np.uint64(_MULTIPLIERS[turn % 64]) + np.uint64(turn)))
+            s, n, bits, c = s[order], n[order], bits[order], c[order]
         left, right = [], []
-        tree = np.arange(len(s))
+        tree = np.unique(c, return_inverse=True)[1]
         for i in range(len(s) - 1):
-            later = np.flatnonzero((c[i + 1 :] != c[i]) & (tree[i + 1 :] != tree[i])) + i + 1
+            later = np.flatnonzero(tree[i + 1 :] != tree[i]) + i + 1
             small, large = np.minimum(n[i], n[later]), np.maximum(n[i], n[later])
             later = later[denominator * small >= numerator * large]
             # |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|) for Jaccard t, and the parity bits differ in no more places.
@@ -369,21 +372,29 @@ def ngram_join(
     fits = (above[1] * F.col("less") >= above[0] * F.col("n")) | (above[1] * F.col("n") >= above[0] * F.col("more"))
     index = written(dealt(index.filter(fits)), "ngram-join-index")
 
-    def meet(labels: DataFrame | None) -> DataFrame:
-        """Pairs that may be similar: a forest of each meeting, or with labels all pairs between different ones."""
-        rows = index.withColumn("c", F.col("s"))
-        if labels is not None:
-            rows = index.join(labels, "s", "left").withColumn("c", F.coalesce("c", "s"))
-            rows = rows.withColumn("apart", F.min("c").over(met) != F.max("c").over(met)).filter("apart").drop("apart")
+    def meet(rows: DataFrame, forest: bool, turn: int = 0) -> DataFrame:
+        """Pairs of the sets that meet in these rows, and whose components ``c`` differ, that may be similar."""
         near = rows.join(alone.select("s", "n", "bits"), "s").repartition("signature", "block").sortWithinPartitions("signature", "block")
-        return written(near.mapInArrow(_meetings(above, labels is None), "a long, b long").distinct(), "ngram-join-pairs")
+        return written(near.mapInArrow(_meetings(above, forest, turn), "a long, b long").distinct(), "ngram-join-pairs")
+
+    def still_apart(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, int, int]:
+        """Rows of meetings that hold several components, and how many pairs between them and rows there are."""
+        rows = rows.select("signature", "block", "s").join(found.select(F.col("node").alias("s"), F.col("component").alias("c")), "s", "left")
+        # A component that has most of a meeting is counted before it moves.
+        rows = rows.withColumn("c", F.coalesce("c", "s"))
+        sizes = rows.groupBy("signature", "block", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("signature", "block")
+        sizes = written(sizes.agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same")).filter("m * m > same"), "ngram-join-meetings")
+        pairs, size = sizes.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+        rows = written(rows.join(sizes.select("signature", "block"), ["signature", "block"], "left_semi"), "ngram-join-apart")
+        released(sizes)
+        return rows, int(pairs), int(size)
 
     def plausible(pairs: DataFrame) -> DataFrame:
         side = lambda c: alone.select(F.col("s").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(above), "a long, b long")
 
-    forest = meet(None)
-    # Every set with any pair is in the forest, so texts are fetched once, for both rounds.
+    forest = meet(index.withColumn("c", F.col("s")), forest=True)
+    # Every set with any pair is in the forest, so texts are fetched once, for all rounds, and other sets are done with.
     wanted = written(alone.select("s", "h").join(forest.select(F.explode(F.array("a", "b")).alias("s")).distinct(), "s"), "ngram-join-wanted")
     # Equal texts would give one row each; any of them serves.
     texts = _marked(given.select("h", "text"), wanted).join(wanted, "h").groupBy("s").agg(F.min("text").alias("text"))
@@ -393,17 +404,37 @@ def ngram_join(
         side = lambda c: texts.select(F.col("s").alias(c), F.col("z").alias(f"z_{c}"))
         return written(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(k, above), "a long, b long, similar boolean"), "ngram-join-verified")
 
-    checked = verify(written(plausible(forest).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-join-forest"))
-    labels = written(components(checked.filter("similar")), "ngram-join-labels")
-    apart = meet(labels.select(F.col("node").alias("s"), F.col("component").alias("c")))
-    more = written(plausible(apart).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
-    released(index, forest, apart)
-    joined = labels
+    def one_each(pairs: DataFrame) -> DataFrame:
+        """One pair for each set that is not in the middle of a tree; the smaller set first."""
+        one = plausible(pairs).groupBy("b").agg(F.min("a").alias("a"))
+        return written(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-join-forest")
+
+    def similar() -> DataFrame:
+        return reduce(DataFrame.union, checked).filter("similar").select("a", "b")
+
+    checked = [verify(one_each(forest))]
+    joined = components(similar())
+    rows, pairs, size = still_apart(index.join(wanted.select("s"), "s", "left_semi"), joined)
+    released(index, forest)
+    turn, before = 1, None
+    # Each set of a large group gets another partner, until hardly any is left apart or partners no longer help.
+    while pairs > MANY_PAIRS * size and (before is None or 10 * pairs < 9 * before):
+        forest = meet(rows, forest=True, turn=turn)
+        checked.append(verify(one_each(forest)))
+        earlier, before = rows, pairs
+        joined = components(similar())
+        rows, pairs, size = still_apart(earlier, joined)
+        released(earlier, forest)
+        turn += 1
+    apart = meet(rows, forest=False)
+    more = written(plausible(apart).join(reduce(DataFrame.union, checked).select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
+    released(rows, apart)
     if not more.isEmpty():
-        joined = components(checked.filter("similar").select("a", "b").union(verify(more).filter("similar").select("a", "b")))
+        checked.append(verify(more))
+        joined = components(similar())
     classes = members.join(joined.select(F.col("node").alias("s"), "component"), "s", "left")
     classes = written(classes.select("id", "n", F.coalesce("component", "s").alias("c"), "row"), "ngram-join-classes")
-    released(members, alone, counted, wanted, texts, checked, labels, more)
+    released(members, alone, counted, wanted, texts, *checked, more)
     smallest = classes.filter("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))
     return classes.join(smallest, "c", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")

@@ -193,3 +193,27 @@ def test_chance_meetings_of_other_sizes_lose_no_link(spark):
     for above in ((90, 100), (80, 100)):
         found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(docs, k=3, above=above, frequent_from=8).collect())
         assert found == sorted(brute(rows, 3, above))
+
+
+def test_a_large_group_around_a_text_that_fails_is_not_paired_out(spark, monkeypatch):
+    """All of the group may be similar to its first text, by their parity bits, but none is: others link them."""
+    base = [f"t{i}" for i in range(600)]
+    outlier = [f"o{i}" if i % 45 == 5 and i < 585 else w for i, w in enumerate(base)]
+    rows = [(0, " ".join(outlier))] + [(i, " ".join(base[: i * 9] + [f"n{i}"] + base[i * 9 + 1 :])) for i in range(1, 60)]
+    seen = {}
+
+    def counting(df, name):
+        out = module_written(df, name)
+        seen.setdefault(name, []).append(out.count())
+        return out
+
+    module_written = module.written
+    monkeypatch.setattr(module, "written", counting)
+    assert run(spark, rows, 5, (80, 100)) == brute(rows, 5, (80, 100))
+    assert seen["ngram-join-more"][0] <= len(rows) and len(seen["ngram-join-forest"]) > 1
+
+
+def test_turns_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(module, "MANY_PAIRS", 0)
+    for k, above in ((5, (80, 100)), (3, (1, 2))):
+        assert run(spark, sample(k + 7), k, above, frequent_from=15) == brute(sample(k + 7), k, above)
