@@ -59,6 +59,25 @@ def landing_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return checked.filter(F.size(F.array_except("files", "seen")) == 0).select("segment", "staging_row_count", "load_ts", "wide_rows", "wide_keys")
 
 
+@query(
+    r"""select cast(doc_id as varchar) as doc, md5(translate(coalesce(text, ''), '\' || chr(13), '/ ')) as text_md5,
+               length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) as breaks, source, true as lines_add_up from documents"""
+)
+def landing_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as CSV with their line breaks inside quoted fields; the first lines of records and their breaks fill each file."""
+    folder = shared_folder(spark, "landing")
+    text = F.translate(F.coalesce("text", F.lit("")), "\\\r", "/ ")
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    docs = table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted, "source").alias("value"))
+    docs.write.text(folder)
+    staged = staged_lines(spark, folder, multi_line=True)
+    text, line = F.coalesce("Prop_1", F.lit("")), F.col("Prop_3").cast("bigint")
+    breaks = (F.length(text) - F.length(F.replace(text, F.lit("\n")))).cast("bigint")
+    rows = staged.select(S.FILE_PATH, F.col("Prop_0").alias("doc"), F.md5(text).alias("text_md5"), breaks.alias("breaks"), F.col("Prop_2").alias("source"), line.alias("line"))
+    files = rows.groupBy(S.FILE_PATH).agg((F.max(F.col("line") + F.col("breaks")) == F.sum(F.col("breaks") + 1)).alias("lines_add_up"))
+    return rows.join(files, S.FILE_PATH).select("doc", "text_md5", "breaks", "source", "lines_add_up")
+
+
 @query(
     """select cast(o_orderkey as varchar) as "Order No", o_orderstatus as "Status", o_orderpriority as "Priority Text" from orders"""
 )

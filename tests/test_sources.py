@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +235,63 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def _one_task(text):
+    """Records and their first lines, as one reader finds them from the start of a file."""
+    out, held, first = [], [], 0
+    lines = text.split("\n")[:-1]
+    for number, line in enumerate(lines, 1):
+        odd = len(re.sub(r"\\.", "", line).split('"')) % 2 == 0
+        if not held and not (odd and any(len(re.sub(r"\\.", "", x).split('"')) % 2 == 0 for x in lines[number:])):
+            out.append((number, line))
+        elif not held:
+            held, first = [line], number
+        else:
+            held.append(line)
+            if odd:
+                out.append((first, "\n".join(held)))
+                held = []
+    return out
+
+
+def test_records_with_quoted_breaks_across_splits(spark, tmp_path):
+    rng = random.Random(5)
+    files = {}
+    for name, size in (("a.csv", 400), ("b.csv", 60), ("plain.csv", 0), ("empty.csv", 0), ("open.csv", 20)):
+        records = []
+        for i in range(size):
+            breaks = "\n".join("x" * rng.randrange(60) + rng.choice(["", ",", '\\"', '""', "\u00e9"]) for _ in range(rng.choice([1, 1, 1, 2, 3, 40])))
+            records.append(rng.choice([f'{i},"{breaks}",end', f"{i},plain,end", f'"{breaks}","{breaks}"', "", '"one, quoted",2']))
+        if name == "plain.csv":
+            records = [f"{i},b" for i in range(50)]
+        if name == "open.csv":
+            records.append('never,"closed')
+            records += ["after,this", "and,that"]
+        files[name] = "".join(r + "\n" for r in records)
+        (tmp_path / name).write_text(files[name])
+    settings = {"spark.sql.files.maxPartitionBytes": "200b", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = S.numbered_records(spark, str(tmp_path))[0].collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for name, text in files.items():
+        mine = sorted((r.line, r.value) for r in found if r[S.FILE_PATH].endswith("/" + name))
+        assert mine == _one_task(text), name
+
+
+def test_fields_of_records_with_breaks(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('1,"a\nb, ""c",x\r\n2,"d",y,z\n3,"e \\" f\n\n",w\n')
+    rows = sorted(tuple(r)[:5] for r in staged_lines(spark, str(tmp_path), multi_line=True).collect())
+    assert [(r[0], r[2], r[3], r[4]) for r in rows] == [("1", "x", None, "1"), ("2", "y", "z", "3"), ("3", "w", None, "4")]
+    assert rows[2][1] == 'e " f\n\n' and "a\nb, " in rows[0][1]
+
+
+def test_width_of_lines_with_long_and_escaped_fields(spark):
+    lines = ['1,"' + "a, " * 50_000 + '",2', '1,"' + '\\", ' * 20_000 + '",2', 'a\\,b', 'x,\\\\"a,b"', '"a\\\\",b', '1, "p,q" ,3']
+    found = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string").select("i", S.field_count().alias("n")).collect()
+    assert [r.n for r in sorted(found)] == [3, 3, 2, 3, 2, 3]
