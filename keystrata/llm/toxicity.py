@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -270,17 +271,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, sizes: dict, bounds: dict) -> tuple[
 
 
 def score_differences(docs: DataFrame, model: ToxicityModel, id_column: str, text_column: str) -> DataFrame:
-    """Id column, ``whole`` and ``telling``: length-normalised toxic minus ordinary log-likelihoods."""
+    """Id column, ``whole`` and ``telling``: length-normalised toxic minus ordinary log-likelihoods.
+
+    ``text_column`` may be a field of a struct that is the id, as ``id.field``: texts then go to the workers once.
+    """
     kind = docs.schema[id_column].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was fitted on
 
+    field = text_column.removeprefix(f"{id_column}.") if text_column.startswith(f"{id_column}.") else None
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
+        if field is not None:
+            batches = (pa.RecordBatch.from_arrays([b.column("id"), pc.struct_field(b.column("id"), [field])], names=["id", "text"]) for b in batches)
         for part in text_slices(batches, "text"):
             whole, telling = scorer(strings(part.column("text")))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(whole), pa.array(telling)], names=[id_column, "whole", "telling"])
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), *([] if field else [F.col(text_column).alias("text")]))
     return rows.mapInArrow(work, f"`{id_column}` {kind}, whole double, telling double")
 
 
