@@ -42,7 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     # The whole row goes along as the id, so that nothing needs to be joined back.
-    scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("document"), "text"), model, id_column="document")
+    scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("document")), model, id_column="document", text_column="document.text")
     return scored.filter("predicted = 0").select("document.*")
 
 
