@@ -113,3 +113,12 @@ def test_toxicity_learns_from_the_whole_of_long_words():
     counted = pa.Table.from_batches(toxicity._count(iter([batch])))
     ones = [n for k, n in zip(counted.column("k").to_pylist(), counted.column("n1").to_pylist()) if k == 1]
     assert sum(ones) == len(text.encode()) + 2 * len(parts)
+
+
+def test_toxicity_of_a_text_inside_the_id(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["good day", "bad bad day", None, "", "bad"] * 8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("bad" in (t or ""))) for i, t in enumerate(["good day", "bad bad day", None, "", "bad"] * 8)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    plain = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    nested = toxicity.score(docs.selectExpr("struct(doc_id, text) as document"), model, id_column="document", text_column="document.text").collect()
+    assert {r.document.doc_id: r.score for r in nested} == plain and len(plain) == 40
