@@ -28,6 +28,7 @@ TRUST = 5.0  # counts of its own that a class needs after some beginning to weig
 TELLING = 3.0  # a word tells when its log-likelihoods differ by more
 CALIBRATION = 5  # one labelled text of so many is kept for the logistic curve
 _WORD_BYTES = 64  # a longer word is spelled in parts of this size
+_SCORED_BYTES = 512 << 10  # texts scored at once: some hundred bytes of numbers are held for each of these
 
 
 def _bytes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +285,7 @@ def score_differences(docs: DataFrame, model: ToxicityModel, id_column: str, tex
         scorer = _Scorer(shared.value)
         if field is not None:
             batches = (pa.RecordBatch.from_arrays([b.column("id"), pc.struct_field(b.column("id"), [field])], names=["id", "text"]) for b in batches)
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", _SCORED_BYTES):
             whole, telling = scorer(strings(part.column("text")))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(whole), pa.array(telling)], names=[id_column, "whole", "telling"])
 
