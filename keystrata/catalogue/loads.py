@@ -17,6 +17,7 @@ from keystrata.plans import calendar as K
 from keystrata.plans import vault as V
 from keystrata.plans.config import FeedConfig, HubSpec, LinkSpec, SameAsSpec
 from keystrata.plans.history import UnfinishedMerge, direct_insert, merge_history, parse_text_date
+from keystrata.plans.key_prefixes import KeyPrefixes
 from keystrata.session import shared_folder
 from keystrata.sources.tables import Lake
 
@@ -62,6 +63,27 @@ def hub_load_two_batches(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read(hub.name)
 
 
+@query(
+    f"""
+    select {sql_hash_key('l_orderkey')} as "HUB_ORDER_HSH_KEY", l_orderkey as "ORDER_NO",
+           case when min(l_shipdate) < timestamp '1994-06-01' then 'b1' when min(l_shipdate) < timestamp '1996-06-01' then 'b2' else 'b3' end as "RECORD_SOURCE"
+    from lineitem group by l_orderkey
+    """
+)
+def hub_load_key_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    """Three overlapping loads of all orders by the ship dates of their lines; each meets the hub with possible hits only."""
+    hub = HubSpec("HUB_ORDER", ("ORDER_NO",), {"l_orderkey": "ORDER_NO"})
+    lake = _lake(spark, HUB_ORDER="HUB_ORDER_HSH_KEY string, ORDER_NO bigint, RECORD_SOURCE string")
+    lines, day = table(spark, sf, "lineitem"), F.col("l_shipdate")
+    prefixes = KeyPrefixes(lake, hub.name, hub.hash_key)
+    prefixes.rebuild(expected=lines.count())
+    loads = {"b1": day < "1994-06-01", "b2": (day >= "1994-01-01") & (day < "1996-06-01"), "b3": day >= "1996-01-01"}
+    for source, chosen in loads.items():
+        rows = V.map_hub(lines.filter(chosen), hub, source)
+        prefixes.append_new(V.hashed_rows(rows, lake.columns(hub.name), V.hub_hash(hub)))
+    return lake.read(hub.name)
+
+
 @query(
     f"""select 'HUB_ECONOMY' as hub, {sql_hash_key('p_name')} as hsh_key, p_name from part where p_type = 'ECONOMY' group by p_name
         union all

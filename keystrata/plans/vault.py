@@ -27,6 +27,7 @@ from keystrata.operators.transforms import apply_satellite, apply_staging, parse
 from keystrata.plans.config import FeedConfig, HubSpec, LinkSpec, SameAsSpec
 from keystrata.plans.counted import append_counted, logged_counts
 from keystrata.plans.current import CurrentVersions, append_and_merge, for_delta_check, repair
+from keystrata.plans.key_prefixes import KeyPrefixes
 from keystrata.session import written
 from keystrata.sources.files import BatchResult, append_count_log, load_in_batches, read_parquet
 from keystrata.sources.tables import Lake
@@ -120,20 +121,25 @@ def define_same_as(df: DataFrame, spec: SameAsSpec) -> DataFrame:
     return df.withColumns({column: F.lit(value) for column, value in spec.definitions.items()})
 
 
-def key_rows(df: DataFrame, target: DataFrame, key: str, hashes: Hashes) -> DataFrame:
-    """Rows to append to a hub or link: target columns, one per hash key, unknown keys only.
+def hashed_rows(df: DataFrame, columns: Sequence[str], hashes: Hashes) -> DataFrame:
+    """Distinct rows in the columns of a hub or link, with their hash keys.
 
     A batch names the same key many times. Equal rows are dropped before anything is hashed: that is a hash
     aggregation with a map-side part, so repeated keys, also a very frequent one, neither get hashed row by
     row nor sorted nor sent over the network.
     """
-    wanted = set(target.columns)
+    wanted = set(columns)
     for name in reversed(hashes):
         if name in wanted:
             wanted |= set(hashes[name].columns)
     used = {name: spec for name, spec in hashes.items() if name in wanted}
     distinct = C.select_target(df, sorted(wanted - set(used))).distinct()
-    return insert_only(target, C.select_target(with_hashes(distinct, used), target.columns), [key])
+    return C.select_target(with_hashes(distinct, used), columns)
+
+
+def key_rows(df: DataFrame, target: DataFrame, key: str, hashes: Hashes) -> DataFrame:
+    """Rows to append to a hub or link: target columns, one per hash key, unknown keys only."""
+    return insert_only(target, hashed_rows(df, target.columns, hashes), [key])
 
 
 @dataclass(frozen=True)
@@ -283,7 +289,11 @@ class VaultFeed:
         return with_hashes(df, kept)
 
     def _append_keys(self, table: str, rows: DataFrame, key: str) -> None:
-        self.lake.append(table, key_rows(rows, self.lake.read(table), key, self.hashes))
+        prefixes = KeyPrefixes(self.lake, table, key)
+        if prefixes.exists():
+            prefixes.append_new(hashed_rows(rows, self.lake.columns(table), self.hashes))
+        else:
+            self.lake.append(table, key_rows(rows, self.lake.read(table), key, self.hashes))
         self._finish(table)
 
     def load_links(self, df: DataFrame) -> DataFrame:
