@@ -148,12 +148,15 @@ def numbered_records(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
 
 
 def field_count(line: str = "value"):
-    """Fields of a CSV line, or more: commas outside quoted fields, plus one; all commas where quotes are doubled."""
+    """Fields of a CSV line, or more: commas outside quoted fields, plus one; all commas where quotes are doubled inside a field."""
     text = F.col(line)
-    # Escapes first: no group is repeated in the second pattern, so fields may be of any length.
+    # Escapes first: no group is repeated in the later patterns, so fields may be of any length.
     unescaped = F.regexp_replace(text, r'\\["\\]', "_")
+    # Without a quote left over, quoted fields are whole and all others plain: an empty field or an escaped quote at the
+    # end of a field is no doubled quote.
+    plain = F.regexp_replace(unescaped, r'(^|,)"[^"]*+"(?=,|\z)', "$1")
     quoted_away = F.regexp_replace(unescaped, r'(^|,)\s*"[^"]*+"', "$1")
-    counted = F.when(F.contains(text, F.lit('""')), text).otherwise(quoted_away)
+    counted = F.when(~F.contains(plain, F.lit('"')), plain).when(F.contains(text, F.lit('""')), text).otherwise(quoted_away)
     return F.length(counted) - F.length(F.replace(counted, F.lit(","))) + 1
 
 

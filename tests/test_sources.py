@@ -295,3 +295,15 @@ def test_width_of_lines_with_long_and_escaped_fields(spark):
     lines = ['1,"' + "a, " * 50_000 + '",2', '1,"' + '\\", ' * 20_000 + '",2', 'a\\,b', 'x,\\\\"a,b"', '"a\\\\",b', '1, "p,q" ,3']
     found = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string").select("i", S.field_count().alias("n")).collect()
     assert [r.n for r in sorted(found)] == [3, 3, 2, 3, 2, 3]
+
+
+def test_width_of_lines_with_escaped_quotes_at_the_end_of_a_field(spark):
+    lines = ['1,"a, b, c = \\"d\\"",src', '1,"","a,b"', '"","",""', '"a,"",b"', '1,"a, ""b"" c",2', '"\\"a, b"']
+    found = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string").select("i", S.field_count().alias("n")).collect()
+    assert [r.n for r in sorted(found)] == [3, 3, 3, 3, 4, 1]
+
+
+def test_line_number_is_the_column_after_the_last_field(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('1,"a, b\nc, \\"d\\"",src\n2,plain,src\n')
+    rows = sorted(tuple(r)[:-1] for r in staged_lines(spark, str(tmp_path), multi_line=True).collect())
+    assert rows == [("1", 'a, b\nc, "d"', "src", "1"), ("2", "plain", "src", "3")]
