@@ -73,33 +73,43 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def shortest_digits(column: Column) -> Column:
     """Absolute value of a double as ``<digits>E<power>``, with the fewest digits from which the same double is read.
 
-    Java prints enough digits, but before Java 19 at times more than it takes. Numbers of 15, 16 and 17 digits next to
-    them are tried, the nearest first; the first that reads back as the same number is it. (Below 2.3e-308 even fewer may do.)
+    Java prints enough digits, but before Java 19 at times more than it takes, and rounded ones. Numbers of 15, 16 and 17 digits
+    next to them are tried, the nearest first; the first that reads back as the same number is it. From 2^30 up to 1e37 all
+    digits of the number itself are taken instead, so that nothing is rounded twice. (Below 2.3e-308 even fewer may do.)
     """
+    size, whole = F.abs(column), F.floor(F.abs(column))
+    number_of = lambda n, digits: F.lit(n).cast(f"decimal({digits},0)")
 
     def parts(text: Column) -> Column:
         mantissa = F.split_part(text, F.lit("E"), F.lit(1))
         power = F.coalesce(F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
         digits = F.ltrim(F.translate(mantissa, "-.", ""), F.lit("0"))
-        printed = F.struct(
-            digits.try_cast("bigint").alias("digits"), (power - F.length(mantissa) + F.locate(".", mantissa)).alias("power"), F.length(digits).alias("size")
+
+        def given(text: Column, power: Column) -> Column:
+            return F.struct(text.alias("digits"), power.alias("power"), F.length(text).alias("size"))
+
+        # Halves, quarters and so on have as many decimals as there are of them: 22 from 2^30 on.
+        rest = ((size - whole.cast("double")) * 2.0**22).try_cast("bigint").cast("decimal(7,0)")
+        broken = (whole.cast("decimal(16,0)") * number_of(str(10**22), 23) + rest * number_of(str(5**22), 16)).cast("string")
+        high = F.floor(size / 2.0**60)
+        low = (size - high.cast("double") * 2.0**60).try_cast("bigint")
+        large = (high.cast("decimal(19,0)") * number_of(str(2**60), 19) + low.cast("decimal(19,0)")).cast("string")
+        return (
+            F.when((F.length(digits) <= 15) | (size < 2.0**30) | (size >= 1e37), given(digits, power - F.length(mantissa) + F.locate(".", mantissa)))
+            .when(size < 2.0**53, given(broken, F.lit(-22)))
+            .otherwise(given(large, F.lit(0)))
         )
-        whole = F.abs(column).try_cast("bigint")  # exact, where Java's text is rounded
-        exact = F.struct(whole.alias("digits"), F.lit(0).alias("power"), F.length(whole.cast("string")).alias("size"))
-        return F.when((F.abs(column) >= 2.0**53) & (F.abs(column) < 9.2e18), exact).otherwise(printed)
 
     def shortest(p: Column) -> Column:
-        def number(count: int, way: int) -> Column:
-            # There are 19 digits at most: one to four go.
-            div = lambda n: F.call_function("div", p["digits"] + F.lit(way * n // 2), F.lit(n))
-            less = F.when(p["size"] == count + 1, div(10)).when(p["size"] == count + 2, div(100)).when(p["size"] == count + 3, div(1000)).otherwise(div(10000))
-            return F.concat(less.cast("string"), F.lit("E"), (p["power"] + p["size"] - count).cast("string"))
-
-        given = F.concat(p["digits"].cast("string"), F.lit("E"), p["power"].cast("string"))
-        # Rounded to 15 digits, then to 16, cut off there, cut off and one more, then to 17.
+        def number(count: int, way: str) -> Column:
+            head, rest = F.substring(p["digits"], 1, count).try_cast("bigint"), F.rtrim(F.substring(p["digits"], count + 1, 38), F.lit("0"))
+            more = {"down": F.lit(0), "up": F.lit(1), "near": F.when((rest > "5") | ((rest == "5") & (head % 2 == 1)), 1).otherwise(0)}[way]
+            return F.concat((head + more).cast("string"), F.lit("E"), (p["power"] + p["size"] - count).cast("string"))
+
+        given = F.concat(p["digits"], F.lit("E"), p["power"].cast("string"))
         found = F.when(p["size"] <= 15, given)
-        for count, way in ((15, 1), (16, 1), (16, 0), (16, 2), (17, 1)):
-            found = found.when((p["size"] > count) & (number(count, way).try_cast("double") == F.abs(column)), number(count, way))
+        for count, way in ((15, "near"), (16, "near"), (16, "down"), (16, "up"), (17, "near")):
+            found = found.when((p["size"] > count) & (number(count, way).try_cast("double") == size), number(count, way))
         return found.otherwise(given)
 
     return _let(_let(column.cast("string"), parts), shortest)

@@ -114,3 +114,12 @@ def test_double_texts_have_the_fewest_digits(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     found = [r.t for r in df.select(H.double_text(F.col("x")).alias("t")).collect()]
     assert [f if "e" in f or "." in f else f + ".0" for f in found] == list(map(repr, values))
+
+
+def test_double_text_of_numbers_between_two_short_texts(spark):
+    rng = random.Random(3)
+    values = [9215521127966058496.0, 9214726604897855488.0, 9220184299561534464.0, 9211320530987242496.0, 1125899906842624.25, 1125899906842624.75, 2.0**63, 2.0**30 + 2.0**-22]
+    values += [2.0 ** rng.uniform(30, 122) for _ in range(3000)] + [v * s for v in (2.0**53, 2.0**60, 1e37) for s in (1 - 2.0**-53, 1.0, 1 + 2.0**-52)]
+    df = spark.createDataFrame([(v,) for v in values], "d double").repartition(4)
+    rows = df.select("d", H.number_text(F.col("d"), df.schema["d"].dataType).alias("t")).collect()
+    assert [(r.d, r.t) for r in rows if r.t != python_number(r.d)] == []
