@@ -71,10 +71,14 @@ def stored_versions(table: DataFrame, versions: DataFrame) -> DataFrame:
 
     Closed rows are read only for keys that have a version from before their open row.
     """
+    # A dimension's rows have many columns, most of them NULL: of a few columns Spark would guess far too small a size
+    # and broadcast millions of keys. Written alone, their size is known.
     is_open = quoted(CURRENT) == "Y"
-    open_rows = table.filter(is_open).join(versions.select(KEY).distinct(), KEY, "left_semi")
-    since = open_rows.select(KEY, quoted(START).alias("__since"))
-    late = written(versions.join(since, KEY).filter(quoted(START) < F.col("__since")).select(KEY).distinct(), "dimension-late")
+    keys = written(versions.select(KEY).distinct(), "dimension-keys")
+    open_rows = table.filter(is_open).join(keys, KEY, "left_semi")
+    since = written(open_rows.select(KEY, quoted(START).alias("__since")), "dimension-since")
+    starts = written(versions.select(KEY, START), "dimension-starts")
+    late = written(starts.join(since, KEY).filter(quoted(START) < F.col("__since")).select(KEY).distinct(), "dimension-late")
     if late.isEmpty():
         return open_rows
     return open_rows.unionByName(table.filter(~is_open).join(late, KEY, "left_semi"))
@@ -87,11 +91,11 @@ def chained(stored: DataFrame, versions: DataFrame) -> DataFrame:
     that say the same as the version before them, stored or not.
     """
     at = [KEY, START]
-    given = versions.select(*at, quoted(DIFF).alias("__given"))
+    given = versions.select(*at, quoted(DIFF).alias("__given")).hint("merge")
     old = stored.select(*at, DIFF, quoted(END).alias("old_end"), CLOSED_BY).join(given, at, "left")
     old = old.withColumn("corrected", F.coalesce(F.col("__given") != quoted(DIFF), F.lit(False)))
     old = old.withColumn(DIFF, F.coalesce("__given", quoted(DIFF))).drop("__given").withColumn("is_stored", F.lit(True))
-    new = versions.select(*at, DIFF).join(stored.select(*at), at, "left_anti").withColumns({"is_stored": F.lit(False), "corrected": F.lit(False)})
+    new = versions.select(*at, DIFF).join(stored.select(*at).hint("merge"), at, "left_anti").withColumns({"is_stored": F.lit(False), "corrected": F.lit(False)})
     placed = in_order(old.unionByName(new, allowMissingColumns=True), at, "dimension-chain")
     before = with_neighbour(placed, "before", [KEY, DIFF])
     repeats = F.coalesce((F.col("before")[KEY] == quoted(KEY)) & (F.col("before")[DIFF] == quoted(DIFF)), F.lit(False))
@@ -105,7 +109,8 @@ def scd2_apply(lake: Lake, contract: Contract, batch: DataFrame, load_ts: Moment
 
     ``batch`` has the contract's columns, as far as it knows them, with ``HSH_KEY``, ``HSH_DIFF`` and the start. New rows are numbered on
     from the largest surrogate key by key and start; stored rows keep theirs, and their start. A load that is repeated changes
-    nothing. One that broke off is completed before the next.
+    nothing. One that broke off is completed before the next. Joins between the batch, the stored rows of its keys and what
+    changes of them are never broadcast: all are as large as the batch, and wide rows are far larger in memory than in files.
     """
     finish_switch(lake, contract.table, area)
     table = lake.read(contract.table, area)
@@ -129,15 +134,15 @@ def scd2_apply(lake: Lake, contract: Contract, batch: DataFrame, load_ts: Moment
     own = {contract.identity, *at, END, CURRENT, INSERTED, UPDATED, CLOSED_BY}
     contents = [f.name for f in contract.fields if f.name not in own]
 
-    added = versions.drop(contract.identity or "").join(chain.filter("not is_stored").select(*at, "new_end", CLOSED_BY), at)
+    added = versions.drop(contract.identity or "").join(chain.filter("not is_stored").select(*at, "new_end", CLOSED_BY).hint("merge"), at)
     if contract.identity:
         last = table.agg(F.coalesce(F.max(quoted(contract.identity)), F.lit(0))).first()[0]
         place = F.concat_ws(" ", KEY, F.date_format(START, "yyyy-MM-dd HH:mm:ss"))
         added = with_surrogate_keys(added.withColumn("__place", place), contract.identity, last, "__place").drop("__place")
     added = added.withColumns(validity | {INSERTED: stamp})
 
-    new_contents = versions.select(*at, F.struct(*map(quoted, contents)).alias("__contents"))
-    changed = stored.drop(CLOSED_BY).join(chain.filter("is_stored").select(*at, "corrected", "new_end", CLOSED_BY), at).join(new_contents, at, "left")
+    new_contents = versions.select(*at, F.struct(*map(quoted, contents)).alias("__contents")).hint("merge")
+    changed = stored.drop(CLOSED_BY).join(chain.filter("is_stored").select(*at, "corrected", "new_end", CLOSED_BY).hint("merge"), at).join(new_contents, at, "left")
     changed = changed.withColumns({c: F.when(F.col("corrected"), F.col("__contents")[c]).otherwise(quoted(c)) for c in contents} | validity)
     columns = table.columns
     fresh = written(added.select(*columns).unionByName(changed.select(*columns)), "dimension-rows")
@@ -145,7 +150,8 @@ def scd2_apply(lake: Lake, contract: Contract, batch: DataFrame, load_ts: Moment
     # Partitions that rows leave or enter are replaced; closed ones only if a late version fell into them.
     left = chain.filter("is_stored").select(F.when(quoted(CLOSED_BY) == STILL_OPEN, "Y").otherwise("N").alias(CURRENT), CLOSED_BY)
     touched = touched_partitions(left.union(fresh.select(*_PARTITIONS)), _PARTITIONS)
-    kept = table.filter(in_listed(table.schema, touched)).join(chain.filter("is_stored").select(*at), at, "left_anti")
+    replaced = written(chain.filter("is_stored").select(*at), "dimension-replaced")
+    kept = table.filter(in_listed(table.schema, touched)).join(replaced, at, "left_anti")
     replace_partitions(lake, contract.table, kept.select(*columns).unionByName(fresh), touched, area)
     return applied
 

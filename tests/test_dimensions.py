@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keystrata.plans.contracts import CONTRACTS
-from keystrata.plans.dimensions import NO_END, Applied, as_of, create_dimension, dimension_rows, scd2_apply
+from keystrata.plans.dimensions import NO_END, Applied, as_of, batch_versions, create_dimension, dimension_rows, scd2_apply, stored_versions
 
 CONTRACT = CONTRACTS["DIM_CUSTOMER"]
 DAY = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
@@ -121,3 +121,18 @@ def test_dimensions_that_allow_no_null(spark, lake, name):
     assert rows.columns == [f.name for f in contract.fields] and rows.count() == 2
     required = [f.name for f in contract.fields if f.required and f.name.startswith(("ROW_", "RECORD_", "CURRENT", "HSH", contract.identity or "-"))]
     assert rows.na.drop(subset=required).count() == 2
+
+
+def test_keys_of_a_large_batch_are_not_broadcast(spark, lake, plan_of):
+    create_dimension(lake, CONTRACT)
+    days = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    batch = spark.range(20_000).select(F.sha1(F.col("id").cast("string")).alias("HSH_KEY"), days.alias("ROW_EFFECTIVE_DTM"), F.sha1(F.lit("x")).alias("HSH_DIFF"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200KB")  # the keys alone take 800
+    try:
+        versions = batch_versions(batch, CONTRACT, DAY(1))
+        plan = plan_of(stored_versions(lake.read(CONTRACT.table, "dimlayer"), versions))
+        assert scd2_apply(lake, CONTRACT, batch, DAY(1)) == Applied(added=20_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" not in plan
