@@ -130,7 +130,8 @@ def current_view(
     ``'after join'`` ranks only rows that found all hubs, and may use hub columns as version keys.
 
     The delete test comes after ranking: a newest row marked deleted hides the older versions, and a row
-    without a change mark is dropped. ``narrowed`` says that the satellite rows are the newest by `narrowing_keys` already.
+    without a change mark is dropped. ``narrowed`` says that the satellite rows are the newest by `narrowing_keys` already;
+    ranked after the join, it may also be set when nearly all are, as ranking drops the others.
     """
     names = [(hub.key, hub.columns) for hub in hubs]
     by = link_key if link is not None else None

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from keystrata.catalogue import QUERIES
 from keystrata.operators.latest import Hub, ViewShape, current_view, latest_by, latest_transaction, one_per_key
 from keystrata.plans.views import VIEWS, register_views
 
@@ -170,3 +171,24 @@ def test_a_key_with_a_third_of_the_rows(spark):
         shape = ViewShape(("HUB_X_HSH_KEY",), ("X", "v"), ranked=place)
         got = current_view(rows, [hub], shape).collect()
         assert {r.X: r.v for r in got} == want and len(got) == len(want) == 501
+
+
+@pytest.mark.parametrize("name, exchanges", [("current_view_link_5hubs_tz", 4)])
+def test_views_of_lines_move_no_hash_keys(spark, plan_of, name, exchanges):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        lines = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")).splitlines()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert not any("sha1" in line for line in lines[next(i for i, line in enumerate(lines) if "Exchange" in line) :])
+    # From the lines up: one exchange for each hub they meet, and one to rank where the last hub's key does not do.
+    scan = next(i for i, line in enumerate(lines) if "lineitem.parquet" in line)
+    depth, met = lines[scan].index("FileScan"), 0
+    for line in reversed(lines[:scan]):
+        place = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if place < depth:
+            depth, met = place, met + ("Exchange" in line)
+    assert met == exchanges
