@@ -16,7 +16,7 @@ from keystrata.llm.exact_dedup import exact_dedup
 from keystrata.llm.ngram_join import ngram_join
 from keystrata.llm.packing import pack
 from keystrata.llm.suffix_dedup import suffix_dedup
-from keystrata.session import written
+from keystrata.session import small_batches, written
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A NULL text is scored as an empty one. Rows with a NULL id or one that repeats are scored each by its own text; only labels of
     ids are learned from. Columns of any name stay.
     """
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     # The whole row goes along as the id, so that nothing needs to be joined back.
     scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("document")), model, id_column="document", text_column="document.text")
@@ -62,6 +63,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A NULL text or one without words is linked with nothing and stays. Ids that are NULL come last; equal or NULL ids are
     told apart by row number. Columns of any name stay.
     """
+    small_batches(spark)
     rows = _numbered(docs)
     return _of(rows, ngram_join(rows, k=5, above=(80, 100), id_column="place").filter("place = component_id"))
 
@@ -72,6 +74,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A NULL text becomes an empty one. Rows are worked on each for itself, so NULL and equal ids do no harm. ``n_chars`` is counted
     anew; other columns of any name stay.
     """
+    small_batches(spark)
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
     cut = suffix_dedup(docs.select(F.struct(*rest).alias("document"), "text"), whole_characters=True, id_column="document")
     text = F.decode("kept", "UTF-8")
@@ -83,6 +86,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A NULL or empty text gives the end id alone. Each row is a document, whatever its id.
     """
+    small_batches(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
 
 

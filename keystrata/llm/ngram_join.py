@@ -33,6 +33,9 @@ SKETCH_BITS = 1024
 FREQUENT = 1000  # sets that hold a shingle, from which on it is frequent; raised so that at most 2 ** 20 are
 MARKS = 1 << 26  # bits by which texts are sorted out before they are moved: 8 MB
 MEETING = 4096  # sets that are compared in one place
+PAIRS = 1 << 16  # pairs that are sent on together
+_SLICE_BYTES = 512 << 10  # texts worked on at once: up to some hundred bytes of numbers are held for each of these
+_SKETCHED = 512  # sets whose parity bits are counted together: 4 MB
 MANY_PAIRS = 4  # possible pairs for each index row, from which on another forest is verified before all pairs are
 ALONE = -1  # the block of rare shingles
 _MULTIPLIERS = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
@@ -84,13 +87,11 @@ def _sets(k: int, part: float, lack: tuple[int, int]):
     border = np.uint64(min(int(part * 2**64), 2**64 - 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", _SLICE_BYTES):
             s = Shingles(*utf8(batch.column("text")), k)
             n_low = np.bincount(s.owner[s.hashes < border], minlength=len(s.sizes))
             need = np.minimum(s.sizes, np.maximum(n_low, s.sizes * lack[0] // lack[1] + 2))
-            cells = s.owner * SKETCH_BITS + (s.hashes & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-            odd = (np.bincount(cells, minlength=len(s.sizes) * SKETCH_BITS) & 1).astype(np.uint8).reshape(-1, SKETCH_BITS)
-            bits = np.packbits(odd, axis=1)
+            bits = _sketches(s)
             wide = [_wide(s.hashes[a:b]) for a, b in zip(s.bounds, s.bounds[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,6 +110,18 @@ def _sets(k: int, part: float, lack: tuple[int, int]):
     return work
 
 
+def _sketches(s: Shingles) -> np.ndarray:
+    """The parity bits of each set, a row each. Counts of short texts take far more room than the texts, so only some sets are counted at once."""
+    bits = np.zeros((len(s.sizes), SKETCH_BITS // 8), np.uint8)
+    for first in range(0, len(s.sizes), _SKETCHED):
+        last = min(first + _SKETCHED, len(s.sizes))
+        mine = slice(s.bounds[first], s.bounds[last])
+        cells = (s.owner[mine] - first) * SKETCH_BITS + (s.hashes[mine] & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+        odd = (np.bincount(cells, minlength=(last - first) * SKETCH_BITS) & 1).astype(np.uint8)
+        bits[first:last] = np.packbits(odd.reshape(-1, SKETCH_BITS), axis=1)
+    return bits
+
+
 def _wide(hashes: np.ndarray) -> bytes:
     """Parity bits of a set, 1 to 2 for each of its shingles."""
     size = max(64, 1 << (len(hashes) - 1).bit_length()) if len(hashes) else 64
@@ -226,7 +239,6 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
         if turn:
             order = np.argsort(mixed(s.view(np.uint64) * np.uint64(_MULTIPLIERS[turn % 64]) + np.uint64(turn)))
             s, n, bits, c = s[order], n[order], bits[order], c[order]
-        left, right = [], []
         tree = np.unique(c, return_inverse=True)[1]
         for i in range(len(s) - 1):
             later = np.flatnonzero(tree[i + 1 :] != tree[i]) + i + 1
@@ -235,14 +247,19 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
             # |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|) for Jaccard t, and the parity bits differ in no more places.
             differ = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1, dtype=np.int64)
             later = later[differ * (denominator + numerator) <= (denominator - numerator) * (n[i] + n[later])]
-            for j in later.tolist():
-                if forest:
-                    if tree[i] == tree[j]:
-                        continue
-                    tree[tree == tree[j]] = tree[i]
-                left.append(s[i])
-                right.append(s[j])
-        return left, right
+            if forest:
+                new = []
+                for j in later.tolist():
+                    if tree[i] != tree[j]:
+                        tree[tree == tree[j]] = tree[i]
+                        new.append(j)
+                later = np.array(new, np.int64)
+            if len(later):
+                yield np.full(len(later), s[i]), s[later]
+
+    def sent(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        left, right = (np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in found)]) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -256,13 +273,16 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
             change = np.flatnonzero((rest[0][1:] != rest[0][:-1]) | (rest[1][1:] != rest[1][:-1])) + 1
             edges = np.concatenate([[0], change, [len(rest[0])]] if batch is None else [[0], change])
             sizes = np.diff(edges)
-            left, right = [], []
+            found, n = [], 0
             for a, m in zip(edges[:-1][sizes > 1], sizes[sizes > 1]):
-                x, y = pairs_of(*(rest[k][a : a + m] for k in (2, 3, 5, 4)))
-                left += x
-                right += y
+                for pairs in pairs_of(*(rest[k][a : a + m] for k in (2, 3, 5, 4))):
+                    found.append(pairs)
+                    n += len(pairs[0])
+                    if n >= PAIRS:  # all pairs of one meeting may be millions
+                        yield sent(found)
+                        found, n = [], 0
             rest = [x[edges[-1] :] for x in rest]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            yield sent(found)
 
     return work
 
@@ -274,7 +294,7 @@ def _and_end(batches):
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for part in text_slices(batches, "text"):
+    for part in text_slices(batches, "text", _SLICE_BYTES):
         texts = [pack.compress(t.as_buffer()) for t in part.column("text").cast(pa.large_binary())]
         yield pa.RecordBatch.from_arrays([part.column("s"), pa.array(texts, pa.binary())], names=["s", "z"])
 

@@ -18,12 +18,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystrata.llm.batches import SLICE_BYTES, text_slices, utf8
+from keystrata.llm.batches import text_slices, utf8
 from keystrata.llm.words import mixed, power
 from keystrata.session import released, written
 
 LENGTH = 200
 ANCHOR = 64
+SLICE_BYTES = 512 << 10  # texts worked on at once: up to some hundred bytes of numbers are held for each of these
 COLLECTION_BYTES = 192 << 10  # pieces that are inserted together; the pieces of one anchor stay together
 BLOCK = 8192  # different pieces of one anchor beyond which they are compared block by block
 
@@ -174,7 +175,7 @@ def _intervals(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
-    for batch in text_slices(batches, "text"):
+    for batch in text_slices(batches, "text", SLICE_BYTES):
         raw, offsets = utf8(batch.column("text"))
         blob = memoryview(raw.tobytes())
         texts = pa.array([pack.compress(blob[a:b]) for a, b in zip(offsets, offsets[1:])], pa.binary())

@@ -50,6 +50,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 #: Spark setting: shuffle files go at the end of the query that made them, not when the driver collects its garbage.
 _SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Spark setting: bytes of an Arrow batch that goes to a Python worker. By default 64 MB, so that 10,000 rows of texts go at once.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -69,6 +72,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return rows
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on Python workers get texts in Arrow batches of at most this size, unless the session has a size of its own.
+
+    A batch is held by the executor and by the worker, outside the heap, and what a worker once took it keeps for later stages.
+    """
+    if _BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(_BATCH_BYTES, size)
+
+
 def released(*written_rows: DataFrame) -> None:
     """Remove what `written` wrote, once all that is made of it has been written itself."""
     for rows in written_rows:

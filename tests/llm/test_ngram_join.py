@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
@@ -217,3 +218,30 @@ def test_turns_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(module, "MANY_PAIRS", 0)
     for k, above in ((5, (80, 100)), (3, (1, 2))):
         assert run(spark, sample(k + 7), k, above, frequent_from=15) == brute(sample(k + 7), k, above)
+
+
+def test_all_pairs_of_a_large_meeting_are_sent_in_parts():
+    n = 600
+    columns = {"signature": np.zeros(n, np.int64), "block": np.zeros(n, np.int64), "s": np.arange(n), "n": np.full(n, 50), "c": np.arange(n)}
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), pa.array([bytes(module.SKETCH_BITS // 8)] * n, pa.binary())], names=[*columns, "bits"])
+    parts = list(module._meetings((80, 100), forest=False)(iter([batch])))
+    assert max(p.num_rows for p in parts) < (1 << 16) + n
+    found = {(a, b) for p in parts for a, b in zip(p.column("a").to_pylist(), p.column("b").to_pylist())}
+    assert found == {(a, b) for a in range(n) for b in range(a + 1, n)} and sum(p.num_rows for p in parts) == len(found)
+
+
+def test_short_texts_take_little_room():
+    n = 10_000
+    texts = ["" if i % 7 == 0 else f"w{i} common w{i % 5} of a text {'' if i % 2 else 'more'}" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([""] * n), pa.array(texts)], names=["id", "h", "text"])
+    work = module._sets(5, 0.32, (20, 100))
+    tracemalloc.start()
+    try:
+        got = [bits for part in work(iter([batch])) for bits in part.column("bits").to_pylist()]
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+    for text, bits in zip(texts, got, strict=True):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        odd = np.bincount((Shingles(raw, np.array([0, len(raw)]), 5).hashes & np.uint64(module.SKETCH_BITS - 1)).astype(np.int64), minlength=module.SKETCH_BITS) & 1
+        assert np.packbits(odd.astype(np.uint8)).tobytes() == bits

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -130,3 +131,27 @@ def test_columns_of_any_name_stay(spark):
         found = stage(spark, docs, "")
         assert found.columns == docs.columns
         assert sorted(map(tuple, found.collect())) == [rows[0], rows[2]]
+
+
+def test_stages_send_texts_to_workers_in_small_batches(spark, folder):
+    path, _, _ = folder
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    wide = spark.range(0, 6000, 1, 1).selectExpr("repeat('x', 3000) as text").mapInArrow(sizes, "size long")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            if stage is corpus_pipeline.drop_copies:  # has no Python worker
+                continue
+            spark.conf.unset(key)
+            stage(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+            assert 0 < max(r.size for r in wide.collect()) < 5 << 20, stage
+        spark.conf.set(key, "1m")
+        corpus_pipeline.pack_sequences(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
