@@ -8,8 +8,9 @@ small that one common shingle may do have all of theirs indexed alone.
 
 Sets that meet in the index are compared by their sizes and by 1024 parity bits, which bound the difference of two
 sets from below, and pair by pair by as many parity bits as the sets need. What is left is verified on whole texts:
-first one pair of a spanning forest for each set; then, as long as that brings large groups together, again with other
-sets in the middle of the trees; and at last every pair that still lies between different components.
+a meeting with few pairs sends them all, one with many only a spanning forest. First one pair for each set is verified;
+then, as long as that brings large groups together, meetings that held pairs back send forests with other sets in the
+middle of the trees; and at last every pair that still lies between different components.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ MEETING = 4096  # sets that are compared in one place
 PAIRS = 1 << 16  # pairs that are sent on together
 _SLICE_BYTES = 512 << 10  # texts worked on at once: up to some hundred bytes of numbers are held for each of these
 _SKETCHED = 512  # sets whose parity bits are counted together: 4 MB
-MANY_PAIRS = 4  # possible pairs for each index row, from which on another forest is verified before all pairs are
+MANY_PAIRS = 4  # possible pairs for each index row, from which on a meeting sends a forest, and another is verified before all pairs are
 ALONE = -1  # the block of rare shingles
 _MULTIPLIERS = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
 
@@ -164,7 +165,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _index(frequent, part: float, lack: tuple[int, int]):
     """Signatures of each set. ``frequent``: sorted frequent shingles and the number of sets that hold each.
 
-    Rare shingles go to block ALONE, what is frequent to as many blocks as its sets need.
+    Rare shingles go to block ALONE, what is frequent to as many blocks as its sets need. ``x``: the (first) shingle.
     """
     border = np.uint64(min(int(part * 2**64), 2**64 - 1))
 
@@ -175,7 +176,7 @@ def _index(frequent, part: float, lack: tuple[int, int]):
             place = np.minimum(np.searchsorted(hot, tokens), max(len(hot) - 1, 0))
             is_hot = hot[place] == tokens if len(hot) else np.zeros(len(tokens), bool)
             sizes = batch.column("n").to_numpy()
-            rows, signatures, blocks = [], [], []
+            rows, signatures, blocks, firsts = [], [], [], []
             for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
                 need = int(sizes[i]) * lack[0] // lack[1] + 1
                 hot_here = is_hot[a:b]
@@ -183,13 +184,15 @@ def _index(frequent, part: float, lack: tuple[int, int]):
                 rows.append(np.full(len(rare), i))
                 signatures.append(tokens[a:b][rare])
                 blocks.append(np.full(len(rare), ALONE))
+                firsts.append(tokens[a:b][rare])
                 if len(pairs):
                     x, y = np.triu_indices(len(pairs), 1)
-                    signature = mixed(tokens[a + pairs[x]] * np.uint64(_MULTIPLIERS[0]) + tokens[a + pairs[y]] * np.uint64(_MULTIPLIERS[1]))
+                    one = tokens[a + pairs[x]]
+                    signature = mixed(one * np.uint64(_MULTIPLIERS[0]) + tokens[a + pairs[y]] * np.uint64(_MULTIPLIERS[1]))
                     # A frequent pair may be held by as many sets as its rarer half; they are compared block by block.
                     parts = -(-np.minimum(held[place[a + pairs[x]]], held[place[a + pairs[y]]]) // MEETING)
                     if int(sizes[i]) <= need:  # the set ends before its prefix: one shingle in common may do
-                        signature = np.concatenate([signature, tokens[a + pairs]])
+                        signature, one = (np.concatenate([v, tokens[a + pairs]]) for v in (signature, one))
                         parts = np.concatenate([parts, -(-held[place[a + pairs]] // MEETING)])
                     mine = int(mixed(np.array([batch.column("s")[i].as_py()], np.int64).view(np.uint64))[0])
                     number = np.repeat(np.arange(len(parts)), parts)
@@ -198,12 +201,14 @@ def _index(frequent, part: float, lack: tuple[int, int]):
                     low, high = np.minimum(own.astype(np.int64), other), np.maximum(own.astype(np.int64), other)
                     rows.append(np.full(len(number), i))
                     signatures.append(signature[number])
+                    firsts.append(one[number])
                     blocks.append(low << 31 | high)
             if not rows:
                 continue
             at = pa.array(np.concatenate(rows))
             columns = [pa.array(np.concatenate(signatures).view(np.int64)), pa.array(np.concatenate(blocks)), batch.column("s").take(at), batch.column("n").take(at)]
-            yield pa.RecordBatch.from_arrays(columns, names=["signature", "block", "s", "n"])
+            columns.append(pa.array(np.concatenate(firsts).view(np.int64)))
+            yield pa.RecordBatch.from_arrays(columns, names=["signature", "block", "s", "n", "x"])
 
     return work
 
@@ -228,8 +233,9 @@ def prefix(is_hot: np.ndarray, is_low: np.ndarray, need: int) -> tuple[np.ndarra
 def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
     """Pairs of each signature that may be similar and lie between different components. Rows come sorted by (signature, block).
 
-    ``forest``: of these pairs only a spanning forest of the components, from the sets that come first: in turn 0 those
-    of smallest number, in each later one others. Else all pairs.
+    ``forest``: a meeting with more than MANY_PAIRS of these pairs for each set, four times as many in each later turn, sends
+    only a spanning forest of the components, from the sets that come first: in turn 0 those of smallest number, in each later
+    one others. Its signature and block follow in a row of their own, as it held pairs back. Else all pairs.
     """
     numerator, denominator = above
 
@@ -240,6 +246,16 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
             order = np.argsort(mixed(s.view(np.uint64) * np.uint64(_MULTIPLIERS[turn % 64]) + np.uint64(turn)))
             s, n, bits, c = s[order], n[order], bits[order], c[order]
         tree = np.unique(c, return_inverse=True)[1]
+        room, kept = MANY_PAIRS * 4**turn * len(s), []  # all pairs, as long as they are few
+
+        def joining(i, later):
+            new = []
+            for j in later.tolist():
+                if tree[i] != tree[j]:
+                    tree[tree == tree[j]] = tree[i]
+                    new.append(j)
+            return np.full(len(new), s[i]), s[np.array(new, np.int64)]
+
         for i in range(len(s) - 1):
             later = np.flatnonzero(tree[i + 1 :] != tree[i]) + i + 1
             small, large = np.minimum(n[i], n[later]), np.maximum(n[i], n[later])
@@ -247,19 +263,27 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
             # |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|) for Jaccard t, and the parity bits differ in no more places.
             differ = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1, dtype=np.int64)
             later = later[differ * (denominator + numerator) <= (denominator - numerator) * (n[i] + n[later])]
-            if forest:
-                new = []
-                for j in later.tolist():
-                    if tree[i] != tree[j]:
-                        tree[tree == tree[j]] = tree[i]
-                        new.append(j)
-                later = np.array(new, np.int64)
-            if len(later):
+            if not len(later):
+                continue
+            if not forest:
                 yield np.full(len(later), s[i]), s[later]
-
-    def sent(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        left, right = (np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in found)]) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
+                continue
+            kept.append((i, later))
+            room -= len(later)
+            if room < 0:
+                yield from (joining(*pairs) for pairs in kept)
+                kept = []
+        if room < 0:
+            yield None
+        else:
+            yield from ((np.full(len(later), s[i]), s[later]) for i, later in kept)
+
+    def sent(found: list[tuple[np.ndarray, np.ndarray]], held_back: list[tuple[int, int]] = ()) -> pa.RecordBatch:
+        n, m = sum(len(pair[0]) for pair in found), len(held_back)
+        pairs = [pa.array(np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in found)])) for k in (0, 1)]
+        places = [pa.array([place[k] for place in held_back], pa.int64()) for k in (0, 1)]
+        columns = [*([x, pa.nulls(m, pa.int64())] for x in pairs), *([pa.nulls(n, pa.int64()), x] for x in places)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in columns], names=["a", "b", "signature", "block"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -273,16 +297,19 @@ def _meetings(above: tuple[int, int], forest: bool, turn: int = 0):
             change = np.flatnonzero((rest[0][1:] != rest[0][:-1]) | (rest[1][1:] != rest[1][:-1])) + 1
             edges = np.concatenate([[0], change, [len(rest[0])]] if batch is None else [[0], change])
             sizes = np.diff(edges)
-            found, n = [], 0
+            found, held_back, n = [], [], 0
             for a, m in zip(edges[:-1][sizes > 1], sizes[sizes > 1]):
                 for pairs in pairs_of(*(rest[k][a : a + m] for k in (2, 3, 5, 4))):
+                    if pairs is None:
+                        held_back.append((int(rest[0][a]), int(rest[1][a])))
+                        continue
                     found.append(pairs)
                     n += len(pairs[0])
                     if n >= PAIRS:  # all pairs of one meeting may be millions
                         yield sent(found)
                         found, n = [], 0
             rest = [x[edges[-1] :] for x in rest]
-            yield sent(found)
+            yield sent(found, held_back)
 
     return work
 
@@ -331,17 +358,17 @@ def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(bits), "bucket").filter(is_set).select(*texts.columns)
 
 
-def dealt(index: DataFrame, most: int = MEETING) -> DataFrame:
-    """Signature, block and set; shingles indexed alone by more than ``most`` sets (``m``) are spread over blocks, too.
+def dealt(index: DataFrame, most: int = MEETING, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Signature, block, set and the columns that are ``carried``; shingles indexed alone by more than ``most`` sets (``m``) are spread over blocks, too.
 
     Rare ones are that many only where the bound of frequent ones had to be raised above ``most``.
     """
     parts = F.when((F.col("block") == ALONE) & (F.col("m") > most), F.ceil(F.col("m") / most)).otherwise(1)
     own = F.pmod(F.xxhash64("s"), "parts")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
-    rows = index.withColumn("parts", parts.cast("long")).select("signature", "block", "s", "parts", own.alias("own"), other)
+    rows = index.withColumn("parts", parts.cast("long")).select("signature", "block", "s", *carried, "parts", own.alias("own"), other)
     pair = F.shiftleft(F.least("own", "other"), 31).bitwiseOR(F.greatest("own", "other"))
-    return rows.select("signature", F.when(F.col("parts") > 1, pair).otherwise(F.col("block")).alias("block"), "s")
+    return rows.select("signature", F.when(F.col("parts") > 1, pair).otherwise(F.col("block")).alias("block"), "s", *carried)
 
 
 def ngram_join(
@@ -387,35 +414,52 @@ def ngram_join(
     # of a size which allows the similarity. If any set does, the next in the order of sizes does.
     met = Window.partitionBy("signature", "block")
     by_size = met.orderBy("n")
-    index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long, n long")
+    index = alone.select("s", "n", "order").mapInArrow(_index(frequent, part, lack), "signature long, block long, s long, n long, x long")
     index = index.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more")).withColumn("m", F.count(F.lit(1)).over(met))
     fits = (above[1] * F.col("less") >= above[0] * F.col("n")) | (above[1] * F.col("n") >= above[0] * F.col("more"))
-    index = written(dealt(index.filter(fits)), "ngram-join-index")
+    index = written(dealt(index.filter(fits), carried=("x",)), "ngram-join-index")
 
     def meet(rows: DataFrame, forest: bool, turn: int = 0) -> DataFrame:
-        """Pairs of the sets that meet in these rows, and whose components ``c`` differ, that may be similar."""
+        """Pairs of the sets that meet in these rows, and whose components ``c`` differ, that may be similar, and meetings that held some back."""
         near = rows.join(alone.select("s", "n", "bits"), "s").repartition("signature", "block").sortWithinPartitions("signature", "block")
-        return written(near.mapInArrow(_meetings(above, forest, turn), "a long, b long").distinct(), "ngram-join-pairs")
+        return written(near.mapInArrow(_meetings(above, forest, turn), "a long, b long, signature long, block long").distinct(), "ngram-join-pairs")
 
-    def still_apart(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, int, int]:
-        """Rows of meetings that hold several components, and how many pairs between them and rows there are."""
-        rows = rows.select("signature", "block", "s").join(found.select(F.col("node").alias("s"), F.col("component").alias("c")), "s", "left")
-        # A component that has most of a meeting is counted before it moves.
+    def pairs_in(sent: DataFrame) -> DataFrame:
+        return sent.filter("a is not null").select("a", "b")
+
+    def still_apart(rows: DataFrame, found: DataFrame, sent: DataFrame) -> tuple[DataFrame, int, int]:
+        """Rows of meetings that held pairs back and hold several components, and how many pairs between them and rows there are."""
+        rows = rows.select("signature", "block", "s", "x").join(found.select(F.col("node").alias("s"), F.col("component").alias("c")), "s", "left")
         rows = rows.withColumn("c", F.coalesce("c", "s"))
-        sizes = rows.groupBy("signature", "block", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("signature", "block")
-        sizes = written(sizes.agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same")).filter("m * m > same"), "ngram-join-meetings")
-        pairs, size = sizes.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
-        rows = written(rows.join(sizes.select("signature", "block"), ["signature", "block"], "left_semi"), "ngram-join-apart")
-        released(sizes)
+        # A meeting that held pairs back has a row without a set here. Meetings are small enough for one place.
+        rows = rows.unionByName(sent.filter("signature is not null").select("signature", "block"), allowMissingColumns=True).repartition("signature", "block")
+        rows = rows.withColumns({"back": F.max(F.col("s").isNull()).over(met), "m": F.count("s").over(met), "low": F.min("c").over(met), "high": F.max("c").over(met)})
+        rows = rows.filter("s is not null and back and low < high").withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("signature", "block", "c")))
+        rows = written(rows.select("signature", "block", "s", "x", "c", "m", "same"), "ngram-join-apart")
+        pairs, size = rows.agg(F.coalesce(F.sum(F.col("m") - F.col("same")), F.lit(0)) / 2, F.count(F.lit(1))).first()
         return rows, int(pairs), int(size)
 
+    def by_shingle(rows: DataFrame) -> DataFrame:
+        """The rows, where meetings of pairs of shingles become one of all their sets by the first shingle if that is less to compare.
+
+        Sets of a large group meet at every pair of frequent shingles they share, that is as often as the square of these.
+        """
+        sets = rows.groupBy("x", "s").agg(F.min("c").alias("c"), F.sum("m").alias("compared"))
+        fewer = sets.groupBy("x").agg(F.count(F.lit(1)).alias("m"), F.sum("compared").alias("compared")).filter("m * m <= compared")
+        fewer = written(fewer.select("x", "m"), "ngram-join-shingles")
+        joined = dealt(sets.join(fewer, "x").withColumns({"signature": F.col("x"), "block": F.lit(ALONE).cast("long")}), carried=("x", "c"))
+        rest = rows.join(fewer, "x", "left_anti").select(joined.columns)
+        found = written(joined.union(rest), "ngram-join-together")
+        released(fewer)
+        return found
+
     def plausible(pairs: DataFrame) -> DataFrame:
         side = lambda c: alone.select(F.col("s").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(above), "a long, b long")
 
-    forest = meet(index.withColumn("c", F.col("s")), forest=True)
-    # Every set with any pair is in the forest, so texts are fetched once, for all rounds, and other sets are done with.
-    wanted = written(alone.select("s", "h").join(forest.select(F.explode(F.array("a", "b")).alias("s")).distinct(), "s"), "ngram-join-wanted")
+    sent = meet(index.withColumn("c", F.col("s")), forest=True)
+    # Every set with any pair is in one that is sent, so texts are fetched once, for all rounds, and other sets are done with.
+    wanted = written(alone.select("s", "h").join(pairs_in(sent).select(F.explode(F.array("a", "b")).alias("s")).distinct(), "s"), "ngram-join-wanted")
     # Equal texts would give one row each; any of them serves.
     texts = _marked(given.select("h", "text"), wanted).join(wanted, "h").groupBy("s").agg(F.min("text").alias("text"))
     texts = written(texts.mapInArrow(_packed, "s long, z binary"), "ngram-join-texts")
@@ -424,31 +468,44 @@ def ngram_join(
         side = lambda c: texts.select(F.col("s").alias(c), F.col("z").alias(f"z_{c}"))
         return written(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(k, above), "a long, b long, similar boolean"), "ngram-join-verified")
 
-    def one_each(pairs: DataFrame) -> DataFrame:
-        """One pair for each set that is not in the middle of a tree; the smaller set first."""
-        one = plausible(pairs).groupBy("b").agg(F.min("a").alias("a"))
+    def one_each(pairs: DataFrame, turn: int = 0) -> DataFrame:
+        """One pair for each set that is not in the middle of a tree, in each turn with another set; the smaller set first."""
+        first = F.min_by("a", F.xxhash64("a", F.lit(turn))) if turn else F.min("a")
+        one = plausible(pairs).groupBy("b").agg(first.alias("a"))
         return written(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-join-forest")
 
+    def unchecked(pairs: DataFrame) -> DataFrame:
+        done = reduce(DataFrame.union, checked).select("a", "b")
+        return pairs.join(done.union(done.select("b", "a")), ["a", "b"], "left_anti")
+
     def similar() -> DataFrame:
         return reduce(DataFrame.union, checked).filter("similar").select("a", "b")
 
-    checked = [verify(one_each(forest))]
+    checked = [verify(one_each(pairs_in(sent)))]
     joined = components(similar())
-    rows, pairs, size = still_apart(index.join(wanted.select("s"), "s", "left_semi"), joined)
-    released(index, forest)
+    pairs_sent = [sent]
+    earlier, pairs, size = still_apart(index, joined, sent)
+    rows = by_shingle(earlier)
+    released(index, earlier)
     turn, before = 1, None
     # Each set of a large group gets another partner, until hardly any is left apart or partners no longer help.
     while pairs > MANY_PAIRS * size and (before is None or 10 * pairs < 9 * before):
-        forest = meet(rows, forest=True, turn=turn)
-        checked.append(verify(one_each(forest)))
+        sent = meet(rows, forest=True, turn=turn)
+        pairs_sent.append(sent)
+        checked.append(verify(one_each(unchecked(pairs_in(sent)), turn)))
         earlier, before = rows, pairs
         joined = components(similar())
-        rows, pairs, size = still_apart(earlier, joined)
-        released(earlier, forest)
+        rows, pairs, size = still_apart(earlier, joined, sent)
+        released(earlier)
         turn += 1
-    apart = meet(rows, forest=False)
-    more = written(plausible(apart).join(reduce(DataFrame.union, checked).select("a", "b"), ["a", "b"], "left_anti"), "ngram-join-more")
-    released(rows, apart)
+    if pairs:
+        pairs_sent.append(meet(rows, forest=False))
+    # All pairs of every meeting have been sent by now, unless links join their sets already.
+    side = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+    apart = reduce(DataFrame.union, map(pairs_in, pairs_sent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    apart = apart.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
+    more = written(plausible(unchecked(apart.select("a", "b"))), "ngram-join-more")
+    released(rows, *pairs_sent)
     if not more.isEmpty():
         checked.append(verify(more))
         joined = components(similar())

@@ -245,3 +245,29 @@ def test_short_texts_take_little_room():
         raw = np.frombuffer(text.encode(), np.uint8)
         odd = np.bincount((Shingles(raw, np.array([0, len(raw)]), 5).hashes & np.uint64(module.SKETCH_BITS - 1)).astype(np.int64), minlength=module.SKETCH_BITS) & 1
         assert np.packbits(odd.astype(np.uint8)).tobytes() == bits
+
+
+@pytest.mark.parametrize("few", [4, 0])
+def test_a_large_group_of_small_classes_is_compared_once(spark, monkeypatch, few):
+    """Sets of a group meet at all pairs of its shingles; those that are alike in twos or threes need no further rounds."""
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(160)]
+    rows = []
+    for i in range(40):
+        own = [f"n{i}-{j}" if j in places else w for places in [rng.sample(range(160), 8)] for j, w in enumerate(base)]
+        rows += [(3 * i, " ".join(own)), (3 * i + 1, " ".join([*own, "end"]))] + [(3 * i + 2, " ".join(["first", *own]))] * (i % 2)
+    seen = {}
+
+    def counting(df, name):
+        out = module_written(df, name)
+        seen.setdefault(name, []).append(out.count())
+        return out
+
+    module_written = module.written
+    monkeypatch.setattr(module, "written", counting)
+    monkeypatch.setattr(module, "MANY_PAIRS", few)
+    assert run(spark, rows, 5, (80, 100), frequent_from=8) == brute(rows, 5, (80, 100))
+    if few:
+        assert sum(seen["ngram-join-apart"]) == 0
+    else:  # all meetings hold back what they have; their sets meet by single shingles then
+        assert 0 < 3 * seen["ngram-join-together"][0] < seen["ngram-join-apart"][0]
