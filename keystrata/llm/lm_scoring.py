@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keystrata.llm.batches import text_slices, utf8
-from keystrata.llm.words import Words, mixed
-from keystrata.session import written
+from keystrata.llm.words import _SPACE, Words, mixed
+from keystrata.session import small_batches, written
 
 ORDER = 6  # bytes, the predicted one included
 BLOCK_BYTES = 16 << 20
 WORD_END, TEXT_END = 0x20, 0x00
+_START = np.uint64(sum(WORD_END << 8 * k for k in range(ORDER)))  # what a text starts behind
+_COUNTED_BYTES = 1 << 20  # texts whose n-grams are counted at once: up to some hundred bytes of numbers are held for each of these
+_SENT = 1 << 17  # n-grams sent at once: 2 MB
 _SEGMENT = 2048
 _ADD = 0.1
 
@@ -44,36 +47,45 @@ def spelled(words: Words) -> tuple[np.ndarray, np.ndarray]:
     texts = len(words.per_text)
     per_text = np.bincount(words.text_of, weights=sizes + 1, minlength=texts).astype(np.int64) + 1
     offsets = np.concatenate([[0], np.cumsum(per_text)])
+    last = np.cumsum(sizes + 1) - 1 + words.text_of  # one text end for each text before
+    inner = np.ones(offsets[-1], bool)
+    inner[last] = inner[offsets[1:] - 1] = False
     out = np.full(offsets[-1], WORD_END, np.uint8)
     out[offsets[1:] - 1] = TEXT_END
-    first = np.cumsum(sizes + 1) - (sizes + 1) + words.text_of  # one text end for each text before
-    total = int(sizes.sum())
-    inner = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[np.repeat(first, sizes) + inner] = np.maximum(words.data[np.repeat(words.starts, sizes) + inner], 1)
+    out[inner] = np.maximum(words.data[~_SPACE[words.data]], 1)
     return out, offsets
 
 
 def _ngrams(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The n-gram of the full order up to each symbol, packed. Each text starts behind a word end."""
-    packed = np.zeros(len(symbols), np.uint64)
-    place = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
-    for k in range(ORDER):
-        shifted = np.full(len(symbols), WORD_END, np.uint64)
-        shifted[k:] = symbols[: max(len(symbols) - k, 0)]
-        shifted[place < k] = WORD_END
-        packed |= shifted << np.uint64(8 * k)
+    shifted = symbols.astype(np.uint64)
+    packed = shifted.copy()
+    for k in range(1, min(ORDER, len(symbols))):
+        shifted <<= np.uint64(8)
+        packed[k:] |= shifted[:-k]
+    if len(symbols) < ORDER:
+        packed &= np.uint64((1 << 8 * ORDER) - 1)
+    for place in range(min(ORDER - 1, len(symbols))):
+        at = offsets[:-1] + place
+        at = at[at < offsets[1:]]
+        own = np.uint64((1 << 8 * (place + 1)) - 1)
+        packed[at] = packed[at] & own | _START & ~own
     return packed
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-grams of all texts and how often training texts have them."""
-    for part in text_slices(batches, "text"):
+    for part in text_slices(batches, "text", _COUNTED_BYTES):
         symbols, offsets = spelled(Words(*utf8(part.column("text"))))
         packed, trained = _ngrams(symbols, offsets), np.repeat(np.asarray(part.column("trains")), np.diff(offsets))
-        grams, n = np.unique(packed[trained], return_counts=True)
-        others = np.unique(packed[~trained])
-        columns = [np.concatenate([grams, others]).view(np.int64), np.concatenate([n, np.zeros(len(others), np.int64)])]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "n"])
+        for whose, times in ((trained, 1), (~trained, 0)):
+            mine = packed[whose]
+            mine.sort()
+            first = np.flatnonzero(np.concatenate([np.ones(min(len(mine), 1), bool), mine[1:] != mine[:-1]]))
+            n = np.diff(first, append=len(mine)) * times
+            for a in range(0, len(first), _SENT):  # the executor holds what is sent at once outside its heap
+                grams = mine[first[a : a + _SENT]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n[a : a + _SENT])], names=["gram", "n"])
 
 
 @dataclass
@@ -366,6 +378,7 @@ def score(docs: DataFrame, trains, id_column: str = "doc_id", text_column: str =
     counts as empty and has the end only, a NULL ``trains`` as false. Ids may be NULL or repeat; other columns are
     not read, whatever their names. Without training texts all symbols are equally likely. Words are told apart by 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
     given = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.coalesce(trains, F.lit(False)).alias("trains"))
     given = written(given.withColumn("row", F.monotonically_increasing_id()), "lm-texts")

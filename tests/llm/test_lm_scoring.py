@@ -1,9 +1,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +180,19 @@ def test_rows_that_repeat_whole_are_spread_over_blocks(spark, monkeypatch):
     same(run(spark, rows, block_bytes=7000), brute(rows))
     per_block = Counter(r.block for r in found[0].select("block").collect())
     assert len(per_block) == 4 and max(per_block.values()) < 100
+
+
+def test_ngrams_are_counted_in_little_room_and_sent_in_parts():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(32, 127, 4096, np.uint8).tobytes().decode() for _ in range(1024)]
+    trains = [i % 10 > 0 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(trains)], names=["text", "trains"])
+    tracemalloc.start()
+    try:
+        parts = list(lm_scoring._count(iter([batch])))
+        held = sum(p.nbytes for p in parts)
+        assert tracemalloc.get_traced_memory()[1] - held < 64 << 20
+    finally:
+        tracemalloc.stop()
+    assert max(p.num_rows for p in parts) <= 1 << 17
+    assert sum(sum(p.column("n").to_pylist()) for p in parts) == sum(len(symbols(t)) for t, f in zip(texts, trains) if f)
