@@ -10,7 +10,7 @@ Three text rules exist and differ only in how a column becomes text:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,77 +65,42 @@ def hash_raw(columns: Sequence[str], null: str = "skip") -> Column:
     return _sha1_of(texts)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+def _cut(text: Column) -> Column:
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 
-def shortest_digits(column: Column) -> Column:
-    """Absolute value of a double as ``<digits>E<power>``, with the fewest digits from which the same double is read.
+def shortest_text(column: Column) -> Column:
+    """Text of a double with the fewest digits from which the same double is read, the nearest of them, as Java lays it out.
 
-    Java prints enough digits, but before Java 19 at times more than it takes, and rounded ones. Numbers of 15, 16 and 17 digits
-    next to them are tried, the nearest first; the first that reads back as the same number is it. From 2^30 up to 1e37 all
-    digits of the number itself are taken instead, so that nothing is rounded twice. (Below 2.3e-308 even fewer may do.)
+    That is ``12.5`` from 1e-3 up to 1e7 and ``1.25E-7`` elsewhere. Before Java 19 a cast gives at times more digits than it takes,
+    and rounded ones. The JSON library that Spark itself brings along has the exact way (Schubfach), on any Java. Spark
+    takes the call for not deterministic, though it is: name the text in a select first to join or group by it. Where
+    one digit would do (up to 1e-322) it is of two, as 9.9E-324.
     """
-    size, whole = F.abs(column), F.floor(F.abs(column))
-    number_of = lambda n, digits: F.lit(n).cast(f"decimal({digits},0)")
-
-    def parts(text: Column) -> Column:
-        mantissa = F.split_part(text, F.lit("E"), F.lit(1))
-        power = F.coalesce(F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
-        digits = F.ltrim(F.translate(mantissa, "-.", ""), F.lit("0"))
-
-        def given(text: Column, power: Column) -> Column:
-            return F.struct(text.alias("digits"), power.alias("power"), F.length(text).alias("size"))
-
-        # Halves, quarters and so on have as many decimals as there are of them: 22 from 2^30 on.
-        rest = ((size - whole.cast("double")) * 2.0**22).try_cast("bigint").cast("decimal(7,0)")
-        broken = (whole.cast("decimal(16,0)") * number_of(str(10**22), 23) + rest * number_of(str(5**22), 16)).cast("string")
-        high = F.floor(size / 2.0**60)
-        low = (size - high.cast("double") * 2.0**60).try_cast("bigint")
-        large = (high.cast("decimal(19,0)") * number_of(str(2**60), 19) + low.cast("decimal(19,0)")).cast("string")
-        return (
-            F.when((F.length(digits) <= 15) | (size < 2.0**30) | (size >= 1e37), given(digits, power - F.length(mantissa) + F.locate(".", mantissa)))
-            .when(size < 2.0**53, given(broken, F.lit(-22)))
-            .otherwise(given(large, F.lit(0)))
-        )
-
-    def shortest(p: Column) -> Column:
-        def number(count: int, way: str) -> Column:
-            head, rest = F.substring(p["digits"], 1, count).try_cast("bigint"), F.rtrim(F.substring(p["digits"], count + 1, 38), F.lit("0"))
-            more = {"down": F.lit(0), "up": F.lit(1), "near": F.when((rest > "5") | ((rest == "5") & (head % 2 == 1)), 1).otherwise(0)}[way]
-            return F.concat((head + more).cast("string"), F.lit("E"), (p["power"] + p["size"] - count).cast("string"))
-
-        given = F.concat(p["digits"], F.lit("E"), p["power"].cast("string"))
-        found = F.when(p["size"] <= 15, given)
-        for count, way in ((15, "near"), (16, "near"), (16, "down"), (16, "up"), (17, "near")):
-            found = found.when((p["size"] > count) & (number(count, way).try_cast("double") == size), number(count, way))
-        return found.otherwise(given)
-
-    return _let(_let(column.cast("string"), parts), shortest)
+    writer = F.lit("com.fasterxml.jackson.core.io.NumberOutput"), F.lit("toString")
+    text = F.reflect(*writer, F.coalesce(column, F.lit(0.0)), F.lit(True))  # a NULL cannot be passed
+    return F.when(column.isNotNull(), text)
 
 
 def double_text(column: Column) -> Column:
     """Shortest round-trip text of a double, positional between 1e-4 and 1e16, else ``1.5e+16`` style."""
-    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
+    size, text = F.abs(column), shortest_text(column)
+    one_digit = F.format_string("%.0e", column)
 
-    def plain(shortest: Column) -> Column:
-        return F.rtrim(F.rtrim(shortest.try_cast("decimal(38,21)").cast("string"), F.lit("0")), F.lit("."))
+    def scientific(power: str, python_power: str) -> Column:
+        return F.replace(F.replace(text, F.lit(".0E"), F.lit("E")), F.lit(power), F.lit(python_power))
 
-    def scientific(shortest: Column) -> Column:
-        digits = F.split_part(shortest, F.lit("E"), F.lit(1))
-        power = F.split_part(shortest, F.lit("E"), F.lit(2)).try_cast("int") + F.length(digits) - 1
-        rest = F.rtrim(F.substring(digits, 2, 20), F.lit("0"))
-        point, exponent = F.when(rest == "", F.lit("")).otherwise(F.lit(".")), F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
-        filler = F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit(""))
-        return F.concat(F.substring(digits, 1, 1), point, rest, exponent, filler, F.abs(power).cast("string"))
-
-    size = F.abs(column)
+    # The text is made where it is used, and each branch uses it once.
     return (
         F.when(F.isnan(column), F.lit("nan"))
         .when(size == float("inf"), F.when(column > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(size == 0, F.when(column.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
-        .otherwise(F.concat(sign, _let(shortest_digits(column), lambda t: F.when((size >= 1e-4) & (size < 1e16), plain(t)).otherwise(scientific(t)))))
+        .when(size == 0, text)
+        .when((size >= 1e-3) & (size < 1e7), _cut(text))
+        .when((size >= 1e-4) & (size < 1e16), _cut(text.try_cast("decimal(38,21)").cast("string")))
+        .when(size >= 1e16, scientific("E", "e+"))
+        .when(size >= 1e-9, scientific("E-", "e-0"))
+        .when((size <= 1e-322) & (one_digit.try_cast("double") == column), one_digit)
+        .otherwise(scientific("E-", "e-"))
     )
 
 
@@ -145,18 +110,15 @@ def number_text(column: Column, source_type: T.DataType | None = None) -> Column
     Trailing zeros are cut only from texts with a decimal point: ``100.00`` and ``100`` give ``100``.
     """
     if isinstance(source_type, T.DoubleType):
-        cut_off = lambda t: F.when(t.contains("."), F.rtrim(F.rtrim(t, F.lit("0")), F.lit("."))).otherwise(t)
-        # Up to 15 digits, and between 1e-3 and 1e7, Java's text is the shortest already, and without a power.
-        java = column.cast("string")
-        brief = (F.length(java) <= 16) & ~java.contains("E") & ~F.isnan(column) & (F.abs(column) != float("inf"))
-        return F.coalesce(F.when(brief, cut_off(java)).otherwise(_let(double_text(column), cut_off)), F.lit("None"))
+        text, size = double_text(column), F.abs(column)
+        # Positional texts are cut already; asking them for a point would make them twice.
+        return F.coalesce(F.when((size >= 1e-4) & (size < 1e16), text).when(text.contains("."), _cut(text)).otherwise(text), F.lit("None"))
     if isinstance(source_type, T.DecimalType) and source_type.scale > 6:
         # Below 1e-6 a decimal prints as 1.2E-7; a cast does so only without ANSI mode.
         text = F.when(column.isNotNull(), F.format_string("%s", column))
     else:
         text = column.cast("string")
-    cut = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    return F.coalesce(F.when(text.contains("."), cut).otherwise(text), F.lit("None"))
+    return F.coalesce(F.when(text.contains("."), _cut(text)).otherwise(text), F.lit("None"))
 
 
 def is_number_target(target_type: T.DataType | str) -> bool:
